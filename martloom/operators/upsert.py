@@ -1,9 +1,10 @@
 """Upserts of one table into another, composed from joins.
 
-All joins here are semi, anti or left joins with the incoming rows on the right:
-when the increment is small Spark broadcasts it and the big target is read once
-without a shuffle; when it is large the plan becomes a sort-merge join whose
-left side adaptive execution can split if it is skewed. NULL keys never match.
+All joins here are semi, anti or left joins with the incoming rows on the right.
+An increment that was measured and found small (``small_side``) is broadcast and
+the big target is read without a shuffle; otherwise the plan is a sort-merge join
+whose left side adaptive execution can split if it is skewed. NULL keys never
+match.
 """
 
 from __future__ import annotations
@@ -16,6 +17,22 @@ from pyspark.sql import functions as F
 from martloom.operators.clean import dedup_latest
 
 
+# Largest measured increment that is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Measure a stored increment; mark it for broadcast if it is small enough.
+
+    Stored rows carry no size estimate, so without this Spark would shuffle the
+    target even for a handful of incoming rows. The mark holds for columns
+    picked from the result as well.
+    """
+    text = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
+    size = df.agg(F.sum(text + 16 * len(df.columns)).alias("bytes")).first().bytes or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 class DuplicateKeys(ValueError):
     """More than one incoming row for one target row."""
 

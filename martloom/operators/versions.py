@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.layout import MAX_FILE_ROWS, clustered
-from martloom.operators.upsert import merge_latest, merge_partial, merge_upsert, require_unique
+from martloom.operators.upsert import merge_latest, merge_partial, merge_upsert, require_unique, small_side
 from martloom.session import pinned
 
 ENTRY = (
@@ -276,7 +276,7 @@ def upsert(
     schema = _schema(entry)
     layout = Layout(entry.partition_by, layout.cluster_by, layout.spread_by)
     columns = schema.fieldNames()
-    source = pinned(source.select(columns))
+    source = small_side(pinned(source.select(columns)))
     parts = _parts(spark, root, entry.version).collect()
     by_key = {}
     for part in parts:
@@ -289,10 +289,10 @@ def upsert(
         return {r.k for r in df.select(_part_key(layout.partition_by).alias("k")).distinct().collect()}
 
     compared = list(update_columns) if update_columns else [c for c in columns if c not in keys]
-    home = stored(keys_of(source)).alias("t")
+    home = stored(keys_of(source)).join(source.select(*keys), list(keys), "left_semi").alias("t")
     same = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
     same += [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in compared]
-    changes = pinned(source.alias("s").join(home, same, "left_anti"))
+    changes = small_side(pinned(source.alias("s").join(home, same, "left_anti")))
     if changes.isEmpty():
         return Published(None)
     require_unique(changes, keys)
