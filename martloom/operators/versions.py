@@ -2,9 +2,9 @@
 
 A table is a folder:
 
-    data/v=N/...        files written by version N, by table partition
-    parts/version=N     which folder holds each table partition as of version N
-    log/version=N       one row: what made version N; written last
+    data/v=N/...     files written by version N, by table partition
+    log/version=N    one row: what made version N, and which folder holds each
+                     table partition as of then; written last
 
 A version exists once its log row does, so a job that dies half-way leaves
 nothing visible and the next one overwrites its leftovers. An upsert writes only
@@ -29,11 +29,10 @@ from martloom.operators.upsert import merge_latest, merge_partial, merge_upsert,
 from martloom.session import pinned
 
 ENTRY = (
-    "operation string, writer string, batch_id bigint, row_count bigint,"
-    " partition_by array<string>, columns string"
+    "operation string, writer string, batch_id bigint, row_count bigint, partition_by array<string>,"
+    " columns string, parts array<struct<part_key:string, folder:string, v:int, row_count:bigint>>"
 )
 LOG = f"version int, published_at timestamp, {ENTRY}"
-PARTS = "version int, part_key string, folder string, v int, row_count bigint"
 
 
 @dataclass(frozen=True)
@@ -68,7 +67,7 @@ def history(spark: SparkSession, root: str) -> DataFrame:
     log = _log(spark, root)
     if log is None:
         log = spark.createDataFrame([], LOG)
-    return log.drop("columns", "partition_by")
+    return log.drop("columns", "partition_by", "parts")
 
 
 def _entry(spark: SparkSession, root: str, version: int | None = None) -> T.Row | None:
@@ -93,10 +92,6 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return entry.version if entry else None
 
 
-def _parts(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.schema(PARTS).parquet(f"{root}/parts").filter(F.col("version") == version)
-
-
 def _part_key(columns: Sequence[str]) -> Column:
     """Partition values as one text, equal for equal values of any type."""
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns])) if columns else F.lit("")
@@ -119,10 +114,10 @@ def read(spark: SparkSession, root: str, version: int | None = None) -> DataFram
         if version is not None and exists(spark, root):
             raise ValueError(f"no version {version} of {root}")
         return None
-    return _read_folders(spark, root, entry, _parts(spark, root, entry.version).collect())
+    return _read_folders(spark, root, entry, entry.parts)
 
 
-def _write_data(df: DataFrame, root: str, version: int, layout: Layout) -> DataFrame:
+def _write_data(df: DataFrame, root: str, version: int, layout: Layout) -> list[T.Row]:
     """Write the files of a version; return its parts, counted from the file footers."""
     spark = df.sparkSession
     target = f"{root}/data/v={version}"
@@ -139,6 +134,7 @@ def _write_data(df: DataFrame, root: str, version: int, layout: Layout) -> DataF
         .groupBy("part_key", "folder")
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select("part_key", "folder", F.lit(version).alias("v"), "row_count")
+        .collect()
     )
 
 
@@ -146,20 +142,18 @@ def _commit(
     spark: SparkSession,
     root: str,
     version: int,
-    parts: DataFrame,
+    parts: Sequence[T.Row],
     operation: str,
     schema: T.StructType,
     partition_by: Sequence[str],
     writer: str | None,
     batch_id: int | None,
 ) -> int:
-    """Write the parts, then the log row. Returns the row count of the version."""
-    parts_path = f"{root}/parts/version={version}"
-    parts.coalesce(1).write.mode("overwrite").parquet(parts_path)
-    total = spark.read.parquet(parts_path).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n")).first().n
-    row = [(operation, writer, batch_id, total, list(partition_by), schema.json())]
+    """Write the log row. Returns the row count of the version."""
+    total = sum(p.row_count for p in parts)
+    row = (operation, writer, batch_id, total, list(partition_by), schema.json(), list(parts))
     (
-        spark.createDataFrame(row, ENTRY)
+        spark.createDataFrame([row], ENTRY)
         .withColumn("published_at", F.current_timestamp())
         .coalesce(1)
         .write.mode("overwrite")
@@ -208,9 +202,8 @@ def append(
     version = entry.version + 1
     df = df.select(_schema(entry).fieldNames())
     added = _write_data(df, root, version, Layout(entry.partition_by, layout.cluster_by, layout.spread_by))
-    kept = _parts(spark, root, entry.version).select(added.columns)
     total = _commit(
-        spark, root, version, kept.unionByName(added), "append", df.schema, entry.partition_by, writer, batch_id
+        spark, root, version, [*entry.parts, *added], "append", df.schema, entry.partition_by, writer, batch_id
     )
     return Published(version, inserted=total - entry.row_count)
 
@@ -220,8 +213,7 @@ def added_since(spark: SparkSession, root: str, version: int) -> DataFrame | Non
     entry = _entry(spark, root)
     if entry is None:
         return None
-    later = _parts(spark, root, entry.version).filter(F.col("v") > version).collect()
-    return _read_folders(spark, root, entry, later)
+    return _read_folders(spark, root, entry, [p for p in entry.parts if p.v > version])
 
 
 def last_batch(spark: SparkSession, root: str, writer: str) -> int:
@@ -239,8 +231,7 @@ def restore(spark: SparkSession, root: str, version: int) -> Published:
         raise ValueError(f"no version {version} of {root}")
     schema = _schema(entry)
     new = latest_version(spark, root) + 1
-    parts = _parts(spark, root, version).drop("version")
-    total = _commit(spark, root, new, parts, f"restore of {version}", schema, entry.partition_by, None, None)
+    total = _commit(spark, root, new, entry.parts, f"restore of {version}", schema, entry.partition_by, None, None)
     return Published(new, inserted=total)
 
 
@@ -277,9 +268,8 @@ def upsert(
     layout = Layout(entry.partition_by, layout.cluster_by, layout.spread_by)
     columns = schema.fieldNames()
     source = small_side(pinned(source.select(columns)))
-    parts = _parts(spark, root, entry.version).collect()
     by_key = {}
-    for part in parts:
+    for part in entry.parts:
         by_key.setdefault(part.part_key, []).append(part)
 
     def stored(part_keys) -> DataFrame:
@@ -311,16 +301,9 @@ def upsert(
 
     version = entry.version + 1
     added = _write_data(merged, root, version, layout)
-    kept = _parts(spark, root, entry.version).select(added.columns)
-    if layout.partition_by:
-        kept = kept.join(
-            spark.createDataFrame([(k,) for k in touched], "part_key string"), "part_key", "left_anti"
-        ).select(added.columns)
-        all_parts = kept.unionByName(added)
-    else:
-        all_parts = added
+    kept = [part for part in entry.parts if part.part_key not in touched]
     total = _commit(
-        spark, root, version, all_parts, "upsert", schema, layout.partition_by, writer, batch_id
+        spark, root, version, [*kept, *added], "upsert", schema, layout.partition_by, writer, batch_id
     )
     inserted = total - entry.row_count
     return Published(version, inserted, changes.count() - inserted)
