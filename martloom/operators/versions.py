@@ -151,11 +151,14 @@ def _commit(
 ) -> int:
     """Write the log row. Returns the row count of the version."""
     total = sum(p.row_count for p in parts)
-    row = (operation, writer, batch_id, total, list(partition_by), schema.json(), list(parts))
+    row = {
+        "operation": operation, "writer": writer, "batch_id": batch_id, "row_count": total,
+        "partition_by": list(partition_by), "columns": schema.json(), "parts": [p.asDict() for p in parts],
+    }
     (
-        spark.createDataFrame([row], ENTRY)
-        .withColumn("published_at", F.current_timestamp())
-        .coalesce(1)
+        spark.range(1, numPartitions=1)
+        .select(F.from_json(F.lit(json.dumps(row)), ENTRY).alias("e"))
+        .select(F.current_timestamp().alias("published_at"), "e.*")
         .write.mode("overwrite")
         .parquet(f"{root}/log/version={version}")
     )

@@ -69,8 +69,13 @@ def hwm_advance(spark: SparkSession, path: str, name: str, value) -> None:
     """Append the new mark to the control table; the last write of a job."""
     control = read_control(spark, path)
     last = control.filter(F.col("table_name") == name).agg(F.max("id").alias("id")).first().id
-    row = spark.createDataFrame([(name, (last or 0) + 1, value)], "table_name string, id bigint, value timestamp_ntz")
-    row.withColumn("updated_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(name).alias("table_name"),
+        F.lit((last or 0) + 1).cast("bigint").alias("id"),
+        F.lit(str(value)).cast("timestamp_ntz").alias("value"),
+        F.current_timestamp().alias("updated_at"),
+    )
+    row.write.mode("append").parquet(path)
 
 
 def page_slice(feed: DataFrame, order: Sequence[str], cursor: int, page_size: int) -> DataFrame:
