@@ -428,7 +428,8 @@ def layout_pruned_scan(spark, folder):
     """One day and a customer range out of a table kept by day and sorted by customer."""
     t = inputs.tables(spark, folder)
     path = scratch_dir(spark, "layout")
-    layout.write_clustered(_report_fact(t), path, ["order_date"], ["customer_id"], ["transaction_id"])
+    cores = spark.sparkContext.defaultParallelism
+    layout.write_clustered(_report_fact(t), path, ["order_date"], ["customer_id"], ["transaction_id"], tasks=cores)
     stored = spark.read.parquet(path)
     one_day = stored.filter((F.col("order_date") == day("1998-03-02")) & F.col("customer_id").between(100, 900))
     return plain(one_day.groupBy("region").agg(F.sum("total_amount").alias("total"), F.count(F.lit(1)).alias("n")))
