@@ -179,11 +179,18 @@ def publish(
     layout: Layout = Layout(),
     writer: str | None = None,
     batch_id: int | None = None,
+    unique_by: Sequence[str] = (),
 ) -> Published:
-    """Write ``df`` as the next version of the whole table (snapshot refresh)."""
+    """Write ``df`` as the next version of the whole table (snapshot refresh).
+
+    Keys in ``unique_by`` are checked on the written files, before the version
+    becomes visible, so that a large ``df`` is computed only once.
+    """
     spark = df.sparkSession
     version = (latest_version(spark, root) or 0) + 1
     parts = _write_data(df, root, version, layout)
+    if unique_by:
+        require_unique(spark.read.schema(df.schema).parquet(f"{root}/data/v={version}"), unique_by)
     total = _commit(spark, root, version, parts, operation, df.schema, layout.partition_by, writer, batch_id)
     return Published(version, inserted=total)
 
@@ -263,9 +270,7 @@ def upsert(
     if _already_done(spark, root, writer, batch_id):
         return Published(None)
     if entry is None:
-        source = pinned(source)
-        require_unique(source, keys)
-        return publish(source, root, "upsert", layout, writer, batch_id)
+        return publish(source, root, "upsert", layout, writer, batch_id, unique_by=keys)
 
     schema = _schema(entry)
     layout = Layout(entry.partition_by, layout.cluster_by, layout.spread_by)

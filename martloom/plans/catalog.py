@@ -347,9 +347,7 @@ def scan_json_pages(spark, folder):
     """The feed landed as JSON arrays of up to 1000 rows, one file per page, and read back."""
     path = scratch_dir(spark, "pages")
     rows = inputs.feed(inputs.tables(spark, folder))
-    numbered = feed.paged(rows, ["modified_at", "order_id"], 1000)
-    # A page is bounded by its size, so collecting one into an array is too.
-    pages = numbered.groupBy("page").agg(F.collect_list(F.struct(*rows.columns)).alias("rows"))
+    pages = feed.page_arrays(rows, ["modified_at", "order_id"], 1000)
     layout.land_json_pages(pages, path, day("2026-07-01"))
     back = files.read_json_pages(spark, path, orders.FEED, arrays=True)
     return plain(orders.typed_feed(back))

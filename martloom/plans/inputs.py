@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions import calendar
+from martloom.sources.files import spread
 
 Tables = Callable[[str], DataFrame]
 
@@ -48,7 +49,7 @@ def lines(t: Tables) -> DataFrame:
 
 
 def order_lines(t: Tables) -> DataFrame:
-    return t("lineitem").select(
+    return spread(t("lineitem")).select(
         "l_orderkey",
         "l_linenumber",
         F.col("l_partkey").alias("product_id"),
@@ -76,7 +77,19 @@ def customers(t: Tables) -> DataFrame:
 
 
 def regional_lines(t: Tables) -> DataFrame:
-    return lines(t).join(customers(t).select("customer_id", "region"), "customer_id")
+    """Lines with the region of their customer.
+
+    The dimensions are joined one after the other and not among themselves
+    first: each join then sees the true size of a stored table.
+    """
+    return (
+        lines(t)
+        .join(t("customer").select(F.col("c_custkey").alias("customer_id"), "c_nationkey"), "customer_id")
+        .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .drop("c_nationkey", "n_nationkey", "n_name", "n_regionkey", "r_regionkey")
+        .withColumnRenamed("r_name", "region")
+    )
 
 
 def bronze(t: Tables) -> DataFrame:
@@ -199,7 +212,10 @@ def bi_lines(t: Tables, regional: bool = True) -> DataFrame:
         .join(order_keys, "l_orderkey")
     )
     if regional:
-        keyed = keyed.join(
-            customers(t).select(F.col("customer_id").alias("customer_key"), "region_key"), "customer_key"
+        nations = t("nation").select("n_nationkey", (F.col("n_regionkey") + 1).alias("region_key"))
+        keyed = (
+            keyed.join(t("customer").select(F.col("c_custkey").alias("customer_key"), "c_nationkey"), "customer_key")
+            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+            .drop("c_nationkey", "n_nationkey")
         )
     return keyed

@@ -148,7 +148,9 @@ def run_retail(
 # ---- orders run --------------------------------------------------------------
 
 
-def land_increment(source: DataFrame, landing: str, control: str, name: str = "orders") -> int:
+def land_increment(
+    source: DataFrame, landing: str, control: str, name: str = "orders", page_size: int = 100_000
+) -> int:
     """Land what changed since the stored mark as JSON pages; advance the mark last."""
     spark = source.sparkSession
     old = feed.hwm_value(feed.read_control(spark, control), name)
@@ -157,7 +159,7 @@ def land_increment(source: DataFrame, landing: str, control: str, name: str = "o
     if not seen.n:
         return 0
     ordered = increment.repartitionByRange("modified_at", "order_id").sortWithinPartitions("modified_at", "order_id")
-    land_json(ordered, landing, F.current_date())
+    land_json(ordered, landing, F.current_date(), page_size)
     feed.hwm_advance(spark, control, name, seen.m)
     return seen.n
 

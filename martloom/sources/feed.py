@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from martloom.session import pinned
 
 CONTROL = "table_name string, id bigint, value timestamp_ntz, updated_at timestamp"
+# Rows a single task may gather for a page near the front of the feed.
+TOP_ROWS = 10_000
 # HWM of a table that was never loaded (fixed value of the control table).
 NEVER = "1900-01-01 00:00:00"
 
@@ -79,8 +81,15 @@ def hwm_advance(spark: SparkSession, path: str, name: str, value) -> None:
 
 
 def page_slice(feed: DataFrame, order: Sequence[str], cursor: int, page_size: int) -> DataFrame:
-    """One page of the ordered feed."""
-    return feed.orderBy(*order).offset(cursor).limit(page_size)
+    """One page of the ordered feed.
+
+    Near the front a bounded top-n does; further back rows are numbered, because
+    an offset would gather everything before the page in one task.
+    """
+    if cursor + page_size <= TOP_ROWS:
+        return feed.orderBy(*order).offset(cursor).limit(page_size)
+    place = F.col("_row")
+    return numbered(feed, order).filter((place >= cursor) & (place < cursor + page_size)).drop("_row")
 
 
 def numbered(feed: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -113,6 +122,13 @@ def paged(feed: DataFrame, order: Sequence[str], page_size: int) -> DataFrame:
     return places.withColumn("page", F.floor(F.col("_row") / page_size).cast("bigint"))
 
 
+def page_arrays(feed: DataFrame, order: Sequence[str], page_size: int) -> DataFrame:
+    """(page, rows): the rows of each page as an ordered array, bounded by the page size."""
+    gathered = F.array_sort(F.collect_list(F.struct("_row", *feed.columns)))
+    ordered = paged(feed, order, page_size).groupBy("page").agg(gathered.alias("_rows"))
+    return ordered.select("page", F.transform("_rows", lambda r: r.dropFields("_row")).alias("rows"))
+
+
 def page_summary(feed: DataFrame, order: Sequence[str], page_size: int, column: str = "modified_at") -> DataFrame:
     """Per page: rows, newest change, cursor of the next page (none on the last), total."""
     pages = (

@@ -21,6 +21,22 @@ POSITION = "_position"
 FILES = "path string, modified_at timestamp, size bigint"
 
 
+# A scan in at least this many pieces is left as it is.
+FEW_SPLITS = 32
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan that comes in few pieces (one big row group) over the idle cores.
+
+    A table of any size has more splits than this and is not shuffled; for a
+    small one the shuffle costs less than joining and typing it in one task.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= min(cores, FEW_SPLITS):
+        return scan
+    return scan.hint("rebalance")
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 

@@ -33,6 +33,21 @@ def test_one_page(spark):
     assert [r.order_id for r in rows] == [f"o{i:08d}" for i in range(400, 600)]
 
 
+def test_deep_page_is_the_same_without_a_big_task(spark, monkeypatch, plan_of):
+    rows = changes(spark, 1_000, hot=True)
+    near = feed.page_slice(rows, ["modified_at", "order_id"], 400, 200)
+    monkeypatch.setattr(feed, "TOP_ROWS", 10)
+    far = feed.page_slice(rows, ["modified_at", "order_id"], 400, 200)
+    assert sorted(near.collect()) == sorted(far.collect())
+    assert "TakeOrderedAndProject" in plan_of(near) and "TakeOrderedAndProject" not in plan_of(far)
+
+
+def test_page_arrays_keep_the_order(spark):
+    pages = feed.page_arrays(changes(spark, 450), ["modified_at", "order_id"], 200).orderBy("page").collect()
+    assert [len(p.rows) for p in pages] == [200, 200, 50]
+    assert [r.order_id for p in pages for r in p.rows] == [f"o{i:08d}" for i in range(450)]
+
+
 def test_mark_is_strict_and_an_overlap_reaches_back(spark):
     rows = changes(spark, 10)
     hwm = dt.datetime(2026, 7, 1, 0, 5)
