@@ -100,7 +100,7 @@ def retail_run(spark: SparkSession, folder: str) -> float:
     customers = inputs.customers(t).select("customer_id", "customer_name", "segment")
     products = inputs.bi_products(t).withColumnRenamed("product_key", "product_id")
     start = time.perf_counter()
-    pipeline.run_retail(spark, f"{base}/landing/drop_no=*", customers, products, f"{base}/lake")
+    pipeline.run_retail(spark, f"{base}/landing/drop_no=*", customers, products, f"{base}/lake", pipeline.MONTHLY_FACT)
     return round(time.perf_counter() - start, 4)
 
 

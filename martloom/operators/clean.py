@@ -67,16 +67,19 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Colu
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
-def superseded_counts(df: DataFrame, winners: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` that lost against a newer version, per group.
-
-    Counted as all rows minus winners, so that no task ever holds all versions
-    of one key.
+def superseded_counts(
+    df: DataFrame, keys: Sequence[str], version: Column, by: Sequence[str]
+) -> DataFrame:
+    """Rows of each group that lost against a greater ``version`` of their key.
+
+    Versions are first counted per key and group, with a partial count before
+    the shuffle; the window then sees one row per group a key occurs in, never
+    all versions of the key.
     """
-    marks = df.select(*by, F.lit(1).alias("_n")).unionByName(
-        winners.select(*by, F.lit(-1).alias("_n"))
-    )
-    return marks.groupBy(*by).agg(F.sum("_n").alias("superseded"))
+    counted = df.groupBy(*keys, *by).agg(F.count(F.lit(1)).alias("_n"), F.max(version).alias("_newest"))
+    ranked = counted.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_newest"))))
+    lost = F.col("_n") - F.when(F.col("_rn") == 1, 1).otherwise(0)
+    return ranked.groupBy(*by).agg(F.sum(lost).alias("superseded"))
 
 
 def audit(judged: DataFrame, key: str) -> DataFrame:

@@ -218,7 +218,7 @@ def silver_sales(spark, folder):
 
 
 def dedup_audit(spark, folder):
-    return retail.duplicates_by_region(_bronze(spark, folder), inputs.last_staged_first())
+    return retail.duplicates_by_region(_bronze(spark, folder), F.struct("staged_on", "_p", "_s"))
 
 
 def audit_counts(spark, folder):
@@ -471,7 +471,7 @@ def dim_type1_upsert(spark, folder):
 
 
 def insert_missing(spark, folder):
-    fact = _clean(spark, folder)
+    fact = pinned(_clean(spark, folder).select("order_date").distinct())  # one row per day
     stored = retail.dim_date(fact).filter(F.col("full_date") < day("1999-01-01"))
     marked = stored.withColumn("origin", F.lit("stored"))
     observed = retail.dim_date_observed(fact).withColumn("origin", F.lit("added"))
@@ -482,9 +482,9 @@ def _versioned(spark, folder) -> str:
     """Version 1 loads the target, 2 merges the source, 3 restores 1."""
     path = scratch_dir(spark, "versions")
     target, source = _merge_sides(spark, folder)
-    month = pipeline.month_of("order_date")
-    versions.publish(target.withColumn("order_month", month), path, "load", pipeline.FACT_LAYOUT)
-    versions.upsert(source.withColumn("order_month", month), path, ["transaction_id"], pipeline.FACT_LAYOUT)
+    month, monthly = pipeline.month_of("order_date"), pipeline.MONTHLY_FACT
+    versions.publish(target.withColumn("order_month", month), path, "load", monthly)
+    versions.upsert(source.withColumn("order_month", month), path, ["transaction_id"], monthly)
     versions.restore(spark, path, 1)
     return path
 

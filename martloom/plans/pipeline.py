@@ -14,10 +14,12 @@ from martloom.plans import orders, retail
 from martloom.session import pinned
 from martloom.sources import feed, files
 
-# Sales are kept per month and sorted by customer inside: reports cut by date
-# first and by customer second.
-FACT_LAYOUT = Layout(["order_month"], ["customer_id"], ["transaction_id"])
-ORDERS_LAYOUT = Layout(["created_month"], ["customer_id"], ["order_id"])
+# Facts are kept per day and sorted by customer inside: reports cut by date first
+# and by customer second, and an increment rewrites the days it brings. Tables
+# with little per day are better kept per month.
+DAILY_FACT = Layout(["order_date"], ["customer_id"], ["transaction_id"])
+MONTHLY_FACT = Layout(["order_month"], ["customer_id"], ["transaction_id"])
+DAILY_ORDERS = Layout(["created_day"], ["customer_id"], ["order_id"])
 
 
 def month_of(day: str):
@@ -109,7 +111,12 @@ def retail_tests(fact: DataFrame, customers: DataFrame, products: DataFrame, dat
 
 
 def run_retail(
-    spark: SparkSession, landing_glob: str, customers: DataFrame, products: DataFrame, lake: str
+    spark: SparkSession,
+    landing_glob: str,
+    customers: DataFrame,
+    products: DataFrame,
+    lake: str,
+    fact_layout: Layout = DAILY_FACT,
 ) -> DataFrame:
     """CSV drops and two relational snapshots to a tested star schema.
 
@@ -128,9 +135,10 @@ def run_retail(
     fresh, batch = unprocessed(spark, f"{lake}/bronze_sales", f"{lake}/fact_sales")
     if fresh is not None:
         fact = retail.clean_sales(fresh, files.newest_landed_first())
+        if "order_month" in fact_layout.partition_by:
+            fact = fact.withColumn("order_month", month_of("order_date"))
         versions.upsert(
-            fact.withColumn("order_month", month_of("order_date")),
-            f"{lake}/fact_sales", ["transaction_id"], FACT_LAYOUT, writer="bronze", batch_id=batch,
+            fact, f"{lake}/fact_sales", ["transaction_id"], fact_layout, writer="bronze", batch_id=batch
         )
 
     for name in ("customers", "products"):
@@ -175,10 +183,10 @@ def run_orders(spark: SparkSession, source: DataFrame, landing: str, lake: str)
     fresh, batch = unprocessed(spark, f"{lake}/bronze_orders", f"{lake}/orders_latest")
     if fresh is not None:
         tiebreak = files.newest_landed_first()
-        newest = orders.latest_orders(fresh, *tiebreak).withColumn("created_month", month_of("created_at"))
-        columns = [*orders.FEED_COLUMNS, "created_month", files.INGESTED_AT]
+        newest = orders.latest_orders(fresh, *tiebreak).withColumn("created_day", F.to_date("created_at"))
+        columns = [*orders.FEED_COLUMNS, "created_day", files.INGESTED_AT]
         versions.upsert(
-            newest.select(columns), f"{lake}/orders_latest", ["order_id"], ORDERS_LAYOUT,
+            newest.select(columns), f"{lake}/orders_latest", ["order_id"], DAILY_ORDERS,
             newest_first=orders.newest_first(F.desc(files.INGESTED_AT)), rows_may_move=False,
             writer="bronze", batch_id=batch,
         )

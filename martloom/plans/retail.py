@@ -94,10 +94,9 @@ def silver_latest(bronze: DataFrame, newest_first: Sequence[Column]) -> DataFram
     return clean.dedup_latest(known, ["transaction_id"], newest_first)
 
 
-def duplicates_by_region(bronze: DataFrame, newest_first: Sequence[Column]) -> DataFrame:
+def duplicates_by_region(bronze: DataFrame, version: Column) -> DataFrame:
     known = clean.drop_blank_keys(bronze, "customer_id").withColumn("region", text.blank_to_null("region"))
-    winners = clean.dedup_latest(known, ["transaction_id"], newest_first)
-    return clean.superseded_counts(known, winners, ["region"])
+    return clean.superseded_counts(known, ["transaction_id"], version, ["region"])
 
 
 def silver_dimension(snapshot: DataFrame, lineage: Sequence[str] = ("_ingested_at",)) -> DataFrame:

@@ -136,6 +136,6 @@ def test_superseded_counts_on_a_hot_key(spark):
         F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("g"), F.col("id").alias("v"),
     )
     winners = clean.dedup_latest(rows, ["k"], [F.desc("v")])
-    lost = {r.g: r.superseded for r in clean.superseded_counts(rows, winners, ["g"]).collect()}
+    lost = {r.g: r.superseded for r in clean.superseded_counts(rows, ["k"], F.struct("v"), ["g"]).collect()}
     assert lost == {"even": 15_000, "odd": 14_999}
     assert sum(lost.values()) == rows.count() - winners.count()
