@@ -146,3 +146,14 @@ def test_jdbc_ranges():
     }
     with pytest.raises(ValueError):
         jdbc.partition_options("id", 5, 1, 4)
+
+
+def test_only_scans_in_few_pieces_are_spread(spark, fresh, plan_of):
+    spark.range(0, 1000, 1, 1).write.parquet(f"{fresh}/one")
+    spark.range(0, 1000, 1, 40).write.parquet(f"{fresh}/many")
+    assert "REBALANCE" in plan_of(files.spread(spark.read.parquet(f"{fresh}/one")))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        assert "REBALANCE" not in plan_of(files.spread(spark.read.parquet(f"{fresh}/many")))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
