@@ -97,6 +97,10 @@ def test_repeated_keys_are_refused(spark, fresh):
     with pytest.raises(DuplicateKeys):
         versions.upsert(table(spark, (1, "a", "1"), (1, "a", "2")), fresh, ["k"], LAYOUT)
     assert not versions.exists(spark, fresh)
+    versions.publish(table(spark, (1, "a", "1")), fresh, layout=LAYOUT)
+    with pytest.raises(DuplicateKeys):  # also when one of the two is stored already
+        versions.upsert(table(spark, (1, "a", "1"), (1, "a", "2")), fresh, ["k"], LAYOUT)
+    assert versions.latest_version(spark, fresh) == 1
 
 
 def test_restore_writes_no_data_and_is_itself_a_version(spark, fresh):
