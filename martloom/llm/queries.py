@@ -6,15 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import exact_dedup
+import public_tokenizers
+
+from martloom.llm import arrow_files, bpe, exact_dedup, quality
 from martloom.llm.common import table
 
 
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op3_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.roundtrip_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_arrow_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = arrow_files.write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return arrow_files.read_documents(manifest)
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_bpe_roundtrip": op3_bpe_roundtrip,
+    "op8_arrow_tokens": op8_arrow_tokens,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
