@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from martloom.llm import arrow_files, bpe, exact_dedup, quality
+from martloom.llm import arrow_files, bpe, exact_dedup, minhash, quality
 from martloom.llm.common import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
+
+
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -30,6 +34,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op8_arrow_tokens": op8_arrow_tokens,
@@ -39,6 +44,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    "op1_minhash_near_dedup": f"""
+        with recursive w as (
+            select doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\\x20\\x09-\\x0D]+') as words from documents
+        ), s as (
+            select doc_id, unnest(list_distinct(case when len(words) = 0 then [] when len(words) < 4 then [words]
+                       else list_transform(range(1, len(words) - 2), lambda i : words[i : i + 3]) end)) as gram
+            from w
+        ), g as (
+            select doc_id, md5(cast(gram as varchar)) as gram from s
+        ), n as (
+            select doc_id, count(*) as n from g group by doc_id
+        ), link as (
+            select x.doc_id as a, y.doc_id as b
+            from g x join g y on x.gram = y.gram and x.doc_id <> y.doc_id
+                 join n nx on nx.doc_id = x.doc_id join n ny on ny.doc_id = y.doc_id
+            group by x.doc_id, y.doc_id, nx.n, ny.n
+            having 100 * count(*) >= 80 * (nx.n + ny.n - count(*))
+        ), reach as (
+            select doc_id, doc_id as other from documents
+            union
+            select reach.doc_id, link.b from reach join link on reach.other = link.a
+        ), label as (
+            select doc_id, min(other) as component_id from reach group by doc_id
+        )
+        select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+        from label left join n using (doc_id)
+    """,
     "op10_exact_dedup": f"""
         with t as (select doc_id, {_ASCII_LOWER} as norm from documents)
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
