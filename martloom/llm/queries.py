@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from martloom.llm import arrow_files, bpe, exact_dedup, minhash, quality
+from martloom.llm import arrow_files, bpe, exact_dedup, line_dedup, minhash, quality
 from martloom.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.roundtrip_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_digests(table(spark, folder, "documents"))
+
+
 def op8_arrow_tokens(spark: SparkSession, folder: str) -> DataFrame:
     manifest = arrow_files.write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return arrow_files.read_documents(manifest)
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
+    "op5_line_dedup": op5_line_dedup,
     "op8_arrow_tokens": op8_arrow_tokens,
     "op10_exact_dedup": op10_exact_dedup,
 }
@@ -71,6 +76,23 @@ ORACLE: dict[str, str] = {
         select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id, doc_id = component_id as kept
         from label left join n using (doc_id)
     """,
+    "op5_line_dedup": r"""
+        with l as (
+            select doc_id, line, i,
+                   translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+            from (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as i
+                  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents))
+        ), c as (
+            select key, max(doc_id) as keep_id from l where length(key) >= 40
+            group by key having count(distinct doc_id) >= 5
+        ), j as (
+            select doc_id, line, i, keep_id is not null and doc_id <> keep_id as lost from l left join c using (key)
+        )
+        select doc_id, count(*) as n_lines, cast(count_if(lost) as bigint) as n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not lost), '')) as kept_sha256
+        from j group by doc_id
+    """,
     "op10_exact_dedup": f"""
         with t as (select doc_id, {_ASCII_LOWER} as norm from documents)
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
