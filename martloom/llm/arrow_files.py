@@ -2,8 +2,9 @@
 
 Documents are dealt by range of their id; each task cuts its documents' tokens,
 one after the other, into sequences of ``length`` ids and writes them in the
-Arrow file format: record batches of two fixed-size lists, the ids and a mask
-(1 for a token, 0 for the filling of a shard's last sequence). A second file
+Arrow file format: record batches of two fixed-size lists, the ids (in 16 bits
+if the vocabulary allows) and a mask of bits (set for a token, not for the
+filling of a shard's last sequence). A second file
 lists the shard's documents with the place of their tokens. Neither has variable
 offsets, so a reader maps the file and takes any sequence without copying.
 
@@ -35,6 +36,7 @@ LENGTH = 2048  # ids in a sequence
 PER_BATCH = 64  # sequences in a record batch
 END = 1
 CACHE = 250_000  # distinct words remembered by a task, at most
+_MARKS = b".,!?;:|$%&*#"  # never letters, numbers or part of a contraction
 MANIFEST = "first_id bigint, shard string, n_docs bigint, n_tokens bigint"
 
 Encoder = Callable[[list[bytes]], list[bytes]]
@@ -53,18 +55,36 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.size = self.tokenizer.get_vocab_size()
         self.known: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
         if len(self.known) > CACHE:
             self.known.clear()
-        new = list(set().union(*cut) - self.known.keys())
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(new, found, strict=True))
+        if new := set().union(*cut) - self.known.keys():
+            self._learn(new)
         known = self.known
         return [b"".join([known[w] for w in words]) for words in cut]
 
+    def _learn(self, words: set[bytes]) -> None:
+        """Encode new words; marks behind letters are a pre-token of their own, so forms of a word are encoded once."""
+        parts = {}
+        for word in words:
+            base = word.rstrip(_MARKS)
+            tail = word[len(base) :]
+            if base.isascii():
+                base = base.lower()
+                letters = base.isalpha()
+            else:
+                letters = base.decode("utf-8", "surrogatepass").isalpha()
+            parts[word] = (base, tail) if letters and tail else (base,) if letters else (word,)
+        distinct = list(set().union(*parts.values()))
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in distinct], add_special_tokens=False)
+        ids = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(distinct, found, strict=True)}
+        for word, pieces in parts.items():
+            self.known[word] = b"".join([ids[p] for p in pieces])
+
 
 _loaded: dict[str, WordEncoder] = {}
 
@@ -79,8 +99,8 @@ def _lists(values: np.ndarray, length: int) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(pa.array(values), length)
 
 
-def sequence_schema(length: int) -> pa.Schema:
-    return pa.schema({"ids": pa.list_(pa.uint32(), length), "mask": pa.list_(pa.uint8(), length)})
+def sequence_schema(length: int, narrow: bool) -> pa.Schema:
+    return pa.schema({"ids": pa.list_(pa.uint16() if narrow else pa.uint32(), length), "mask": pa.list_(pa.bool_(), length)})
 
 
 DOCUMENTS = pa.schema({"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa.int64()})
@@ -89,12 +109,13 @@ DOCUMENTS = pa.schema({"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa
 class ShardWriter:
     """Writes one shard: its sequences as they fill up, and its list of documents."""
 
-    def __init__(self, base: str, length: int):
+    def __init__(self, base: str, length: int, narrow: bool):
         store, folder = fs.FileSystem.from_uri(base)
         store.create_dir(folder)
         self.shard, self.length = f"{folder}/{uuid.uuid4().hex}", length
         self.files = [store.open_output_stream(f"{self.shard}.{kind}.arrow") for kind in ("sequences", "documents")]
-        self.sequences = ipc.new_file(self.files[0], sequence_schema(length))
+        self.schema = sequence_schema(length, narrow)
+        self.sequences = ipc.new_file(self.files[0], self.schema)
         self.documents = ipc.new_file(self.files[1], DOCUMENTS)
         self.rest, self.n_tokens, self.n_docs, self.first_id = b"", 0, 0, None
 
@@ -114,10 +135,9 @@ class ShardWriter:
         self.rest = data[whole:].tobytes()
 
     def _write(self, data: np.ndarray, n_real: int) -> None:
-        mask = (np.arange(len(data)) < n_real).astype(np.uint8)
-        self.sequences.write_batch(
-            pa.record_batch([_lists(data, self.length), _lists(mask, self.length)], schema=sequence_schema(self.length))
-        )
+        data = data.astype(self.schema.field("ids").type.value_type.to_pandas_dtype())
+        mask = np.arange(len(data)) < n_real
+        self.sequences.write_batch(pa.record_batch([_lists(data, self.length), _lists(mask, self.length)], schema=self.schema))
 
     def close(self) -> None:
         data = np.frombuffer(self.rest, dtype="<u4")
@@ -149,11 +169,11 @@ class ShardReader:
             self._at, self._batch = i, self.sequences.get_batch(i)
         return self._batch
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``, without a copy."""
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of sequence ``i``, views of the file."""
         batch, n = self.batch(i // PER_BATCH), i % PER_BATCH
-        view = lambda c: batch.column(c).values.to_numpy(zero_copy_only=True)[n * self.length : (n + 1) * self.length]
-        return view("ids"), view("mask")
+        ids, mask = (batch.column(c).values.slice(n * self.length, self.length) for c in ("ids", "mask"))
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def tokens(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from ``start`` on."""
@@ -164,7 +184,7 @@ class ShardReader:
             values = self.batch(start // block).column("ids").values.to_numpy(zero_copy_only=True)[at : at + n]
             parts.append(values)
             start, n = start + len(values), n - len(values)
-        return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, np.uint32)
+        return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, np.uint16)
 
 
 def write(docs: DataFrame, path: str, base: str | None = None, length: int = LENGTH, end: int = END) -> DataFrame:
@@ -179,8 +199,9 @@ def write(docs: DataFrame, path: str, base: str | None = None, length: int = LEN
         writer = None
         for batch in batches(rows, 1500):
             if batch.num_rows:
-                writer = writer or ShardWriter(base, length)
-                encoded = word_encoder(path)(batch.column("text").to_pylist())
+                encoder = word_encoder(path)
+                writer = writer or ShardWriter(base, length, encoder.size <= 1 << 16)
+                encoded = encoder(batch.column("text").to_pylist())
                 writer.add(batch.column("doc_id").to_pylist(), [x + tail for x in encoded])
         if writer:
             writer.close()
