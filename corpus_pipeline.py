@@ -1,8 +1,68 @@
-"""The corpus pipeline: placeholder until its stages are in."""
+"""The corpus pipeline: quality, repeated lines, near duplicates, mixture, tokens.
 
-STAGES = []
-ORACLE_SQL = None
+Each stage takes (spark, docs, folder of the tables) and works on all that the
+stage before it kept; its result is written and read again for the next one.
+``n_chars`` follows the text where a stage changes it.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from martloom.llm import bpe, line_dedup, minhash, mixing, quality
+from martloom.llm.common import stored, table
+
+KEEP_FROM = 0.3  # quality score
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, *model, column="__score").where(F.col("__score") >= KEEP_FROM).select(*docs.columns)
+
+
+def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the long lines that a later document keeps."""
+    counts = ("__n_lines", "__n_dropped")
+    kept = line_dedup.LineIndex.empty(spark).insert(docs).apply(docs, counts)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.when(F.col(counts[1]) > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
+    return kept.select(*docs.columns)
+
+
+def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every group of near duplicates (five words, similarity 0.8)."""
+    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone"))
+    gone = stored(gone.distinct(), "pipeline-gone")
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn by the rates that bring the domains near their target weights."""
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, hashes of the ids and of the text they decode to."""
+    return bpe.roundtrip_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality", quality_classifier),
+    ("lines", line_deduplication),
+    ("near_duplicates", near_deduplication),
+    ("mixture", mixture),
+    ("tokens", tokens),
+]
+
+ORACLE_SQL = None  # trained models have no SQL twin; tests/llm compares with a brute-force version
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the last one's rows."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -193,31 +193,31 @@ class LineIndex:
         asked = blocks.join(self.shards.withColumnRenamed("keys", "common"), "shard")
         return asked.mapInArrow(_ask, "doc_id bigint, key binary")
 
-    def apply(self, docs: DataFrame) -> DataFrame:
-        """The documents without the lines they lose, and n_lines and n_dropped."""
+    def apply(self, docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+        """The documents without the lines they lose; ``counts`` names the columns for lines before, and lines lost."""
         found = self.droppable(docs).distinct().groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("key").alias("_lost"))
-        joined = docs.join(found, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left").drop("_id")
-        schema = docs.drop("n_lines", "n_dropped").schema.add("n_lines", "long").add("n_dropped", "long")
-        names, min_chars = [n for n in schema.names if n not in ("n_lines", "n_dropped")], self.min_chars
+        names, min_chars = [n for n in docs.columns if n not in counts], self.min_chars
+        schema = docs.select(*names).schema.add(counts[0], "long").add(counts[1], "long")
+        rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("bigint").alias("_key"))
+        joined = rows.join(found, F.col("_key").eqNullSafe(F.col("_id")), "left").select("row.*", F.col("_lost").alias("__lost"))
 
         def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches(rows):
                 texts, n_lines, n_dropped = [], [], []
-                for text, lost in zip(batch.column("text").to_pylist(), batch.column("_lost").to_pylist(), strict=True):
+                for text, lost in zip(batch.column("text").to_pylist(), batch.column("__lost").to_pylist(), strict=True):
                     lines = (text or "").split("\n")
+                    kept = lines
                     if lost:
                         gone = set(lost)
                         kept = [x for x, k in zip(lines, _long_keys(text, min_chars), strict=True) if k not in gone]
                         text = "\n".join(kept)
-                    else:
-                        kept = lines
                     texts.append(text)
                     n_lines.append(len(lines))
                     n_dropped.append(len(lines) - len(kept))
                 arrays = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
-                yield pa.record_batch([*arrays, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=[*names, "n_lines", "n_dropped"])
+                yield pa.record_batch([*arrays, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=[*names, *counts])
 
-        return joined.select(*names, "_lost").mapInArrow(run, schema)
+        return joined.mapInArrow(run, schema)
 
 
 def _update(changes: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
@@ -285,13 +285,8 @@ def _ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(out_ids, pa.int64()), pa.array(out_keys, pa.binary())], names=["doc_id", "key"])
 
 
-def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """The documents without the common lines that a larger id keeps, with n_lines and n_dropped."""
-    index = LineIndex.empty(docs.sparkSession, min_chars, min_docs).insert(docs)
-    return index.apply(docs)
-
-
 def line_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped and the hash of the text that stays."""
-    kept = deduplicated(docs.select("doc_id", "text"))
+    docs = docs.select("doc_id", "text")
+    kept = LineIndex.empty(docs.sparkSession).insert(docs).apply(docs)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -168,6 +168,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     return train([np.frombuffer(r["ids"], dtype=np.int32) for r in found], np.array([r["label"] for r in found]))
 
 
+def logit_scores(rows: list[np.ndarray], model: Model, scale: np.ndarray) -> np.ndarray:
+    """Probability of label 1 of each row of features."""
+    margin = margins(rows, model.weights, model.bias, scale)
+    return 1 / (1 + np.exp(-np.clip(model.slope * margin + model.offset, -30, 30)))
+
+
 def score(docs: DataFrame, model: Model, scale: np.ndarray, column: str = "score") -> DataFrame:
     """The documents with the probability of label 1, between 0 and 1."""
     shared = docs.sparkSession.sparkContext.broadcast((model, scale))  # two numbers per bucket
@@ -177,8 +183,7 @@ def score(docs: DataFrame, model: Model, scale: np.ndarray, column: str = "score
         model, scale = shared.value
         for batch in batches(rows):
             found = list(features(batch.column("text").to_pylist()))
-            margin = margins(found, model.weights, model.bias, scale)
-            scores = 1 / (1 + np.exp(-np.clip(model.slope * margin + model.offset, -30, 30)))
+            scores = logit_scores(found, model, scale)
             yield pa.record_batch([*batch.columns, pa.array(scores)], names=[*batch.schema.names, column])
 
     return docs.drop(column).mapInArrow(run, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from martloom.llm import arrow_files, bpe, exact_dedup, line_dedup, minhash, quality
+from martloom.llm import arrow_files, bpe, exact_dedup, line_dedup, minhash, mixing, quality
 from martloom.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op8_arrow_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return arrow_files.read_documents(manifest)
 
 
+def op9_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op5_line_dedup": op5_line_dedup,
     "op8_arrow_tokens": op8_arrow_tokens,
+    "op9_soft_mixing": op9_soft_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
