@@ -18,13 +18,15 @@ empty table has an empty manifest. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs, ipc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,13 +37,10 @@ from martloom.session import scratch_dir
 LENGTH = 2048  # ids in a sequence
 PER_BATCH = 64  # sequences in a record batch
 END = 1
-CACHE = 250_000  # distinct words remembered by a task, at most
-_MARKS = b".,!?;:|$%&*#"  # never letters, numbers or part of a contraction
+CACHE = 300_000  # distinct words remembered by a task, at most
+_MARKS = ".,!?;:|$%&*#"  # never letters, numbers or part of a contraction
 MANIFEST = "first_id bigint, shard string, n_docs bigint, n_tokens bigint"
 
-Encoder = Callable[[list[bytes]], list[bytes]]
-
-
 class WordEncoder:
     """Ids of texts for a tokenizer that drops white space and encodes each word by itself.
 
@@ -56,34 +55,65 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.size)]
+        self.last = np.array([bool(suffix) and t.endswith(suffix) for t in tokens])  # ids that end a word
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the number of ids of each."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self.known) > CACHE:
             self.known.clear()
-        if new := set().union(*cut) - self.known.keys():
+        if new := [w for w in distinct if w not in self.known]:
             self._learn(new)
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in cut]
-
-    def _learn(self, words: set[bytes]) -> None:
+        ids = [self.known[w] for w in distinct]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        begins = np.cumsum(sizes) - sizes
+        pool = np.frombuffer(b"".join(ids), dtype="<u4")
+        codes = coded.indices.to_numpy()
+        each = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        flat = pool[np.repeat(begins[codes] - ends[:-1], each) + np.arange(ends[-1])]
+        return flat, np.diff(ends[words.offsets.to_numpy() - words.offsets[0].as_py()])
+
+    def _learn(self, words: list[str]) -> None:
         """Encode new words; marks behind letters are a pre-token of their own, so forms of a word are encoded once."""
         parts = {}
         for word in words:
             base = word.rstrip(_MARKS)
             tail = word[len(base) :]
-            if base.isascii():
-                base = base.lower()
-                letters = base.isalpha()
+            if base.isalpha():
+                base = base.lower() if base.isascii() else base
+                parts[word] = (base, tail) if tail else (base,)
             else:
-                letters = base.decode("utf-8", "surrogatepass").isalpha()
-            parts[word] = (base, tail) if letters and tail else (base,) if letters else (word,)
-        distinct = list(set().union(*parts.values()))
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in distinct], add_special_tokens=False)
-        ids = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(distinct, found, strict=True)}
+                parts[word] = (word,)
+        ids = self._pieces(set().union(*parts.values()))
         for word, pieces in parts.items():
-            self.known[word] = b"".join([ids[p] for p in pieces])
+            self.known[word] = ids[pieces[0]] if len(pieces) == 1 else ids[pieces[0]] + ids[pieces[1]]
+
+    def _pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces; those of letters only are one pre-token each and go in together."""
+        letters, rest = [], []
+        for piece in pieces:
+            (letters if piece.isalpha() else rest).append(piece)
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        packed = lambda e: np.array(e.ids, dtype="<u4").tobytes()
+        out = {p: packed(e) for p, e in zip(rest, found, strict=True)}
+        groups = [letters[at : at + 256] for at in range(0, len(letters), 256)]
+        found = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, found, strict=True):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = [0, *(4 * np.flatnonzero(self.last[ids]) + 4).tolist()]
+            if len(ends) == len(group) + 1:
+                raw = ids.tobytes()
+                out.update((p, raw[a:b]) for p, a, b in zip(group, ends[:-1], ends[1:], strict=True))
+            else:  # no mark at word ends, or a letter that the tokenizer's tables do not count as one
+                for piece in group:
+                    out[piece] = packed(self.tokenizer.encode(piece, add_special_tokens=False))
+        return out
 
 
 _loaded: dict[str, WordEncoder] = {}
@@ -117,22 +147,22 @@ class ShardWriter:
         self.schema = sequence_schema(length, narrow)
         self.sequences = ipc.new_file(self.files[0], self.schema)
         self.documents = ipc.new_file(self.files[1], DOCUMENTS)
-        self.rest, self.n_tokens, self.n_docs, self.first_id = b"", 0, 0, None
+        self.rest, self.n_tokens, self.n_docs, self.first_id = np.zeros(0, np.uint32), 0, 0, None
 
-    def add(self, doc_ids: list[int | None], encoded: list[bytes]) -> None:
-        lengths = np.array([len(x) // 4 for x in encoded], dtype=np.int64)
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Documents with the ids of all of them, one after the other, and the number of ids of each."""
         starts = self.n_tokens + np.cumsum(lengths) - lengths
         if not self.n_docs:
-            self.first_id = doc_ids[0]
-        self.documents.write_batch(pa.record_batch([pa.array(doc_ids, pa.int64()), pa.array(starts), pa.array(lengths)], schema=DOCUMENTS))
+            self.first_id = doc_ids[0].as_py()
+        self.documents.write_batch(pa.record_batch([doc_ids, pa.array(starts), pa.array(lengths)], schema=DOCUMENTS))
         self.n_docs += len(doc_ids)
         self.n_tokens += int(lengths.sum())
-        data = np.frombuffer(b"".join([self.rest, *encoded]), dtype="<u4")
+        data = np.concatenate([self.rest, ids])
         block = self.length * PER_BATCH
         whole = len(data) - len(data) % block
         for at in range(0, whole, block):
             self._write(data[at : at + block], block)
-        self.rest = data[whole:].tobytes()
+        self.rest = data[whole:].copy()
 
     def _write(self, data: np.ndarray, n_real: int) -> None:
         data = data.astype(self.schema.field("ids").type.value_type.to_pandas_dtype())
@@ -140,7 +170,7 @@ class ShardWriter:
         self.sequences.write_batch(pa.record_batch([_lists(data, self.length), _lists(mask, self.length)], schema=self.schema))
 
     def close(self) -> None:
-        data = np.frombuffer(self.rest, dtype="<u4")
+        data = self.rest
         if len(data):
             full = np.zeros(-(-len(data) // self.length) * self.length, dtype=np.uint32)
             full[: len(data)] = data
@@ -193,7 +223,6 @@ def write(docs: DataFrame, path: str, base: str | None = None, length: int = LEN
     ``base`` is a folder all executors share (by default one below ``spark.checkpoint.dir``).
     """
     base = base or scratch_dir(docs.sparkSession, "arrow-tokens")
-    tail = np.array([end], dtype="<u4").tobytes()
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = None
@@ -201,8 +230,9 @@ def write(docs: DataFrame, path: str, base: str | None = None, length: int = LEN
             if batch.num_rows:
                 encoder = word_encoder(path)
                 writer = writer or ShardWriter(base, length, encoder.size <= 1 << 16)
-                encoded = encoder(batch.column("text").to_pylist())
-                writer.add(batch.column("doc_id").to_pylist(), [x + tail for x in encoded])
+                ids, lengths = encoder(batch.column("text"))
+                ids = np.insert(ids, np.cumsum(lengths), end)
+                writer.add(batch.column("doc_id"), ids, lengths + 1)
         if writer:
             writer.close()
             yield pa.record_batch(
