@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from martloom.llm import arrow_files, bpe, exact_dedup, line_dedup, minhash, mixing, quality
+from martloom.llm import arrow_files, bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, quality
 from martloom.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, folder, "documents"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op8_arrow_tokens(spark: SparkSession, folder: str) -> DataFrame:
     manifest = arrow_files.write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return arrow_files.read_documents(manifest)
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op5_line_dedup": op5_line_dedup,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_arrow_tokens": op8_arrow_tokens,
     "op9_soft_mixing": op9_soft_mixing,
     "op10_exact_dedup": op10_exact_dedup,
