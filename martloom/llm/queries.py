@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from martloom.llm import arrow_files, bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, quality
+from martloom.llm import arrow_files, bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, private, quality
 from martloom.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.roundtrip_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_private_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return private.with_surrogates(table(spark, folder, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, folder, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
+    "op4_private_surrogates": op4_private_surrogates,
     "op5_line_dedup": op5_line_dedup,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_arrow_tokens": op8_arrow_tokens,
