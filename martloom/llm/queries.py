@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from martloom.llm import arrow_files, bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, private, quality
+from martloom.llm import arrow_files, bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, private, quality, repeats
 from martloom.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, folder, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, folder, "documents"))
+
+
 def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op4_private_surrogates": op4_private_surrogates,
     "op5_line_dedup": op5_line_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_arrow_tokens": op8_arrow_tokens,
     "op9_soft_mixing": op9_soft_mixing,
@@ -108,6 +113,33 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not lost), '')) as kept_sha256
         from j group by doc_id
     """,
+    "op6_substring_dedup": r"""
+        with w as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+        ), g as (
+            select doc_id, unnest(range(1, len(words) - 18)) as i, words from w where len(words) >= 20
+        ), h as (
+            select doc_id, i, md5(array_to_string(words[i : i + 19], ' ')) as win from g
+        ), r as (
+            select doc_id, i, row_number() over (partition by win order by doc_id, i) > 1 as again from h
+        ), c as (
+            select doc_id, i, max(case when again then i else 0 end) over
+                   (partition by doc_id order by i rows unbounded preceding) as last from r
+        ), u as (
+            select doc_id, words, unnest(words) as word, generate_subscripts(words, 1) as i from w
+        ), k as (
+            select u.doc_id, u.word, u.i,
+                   coalesce(max(c.last) over (partition by u.doc_id order by u.i rows unbounded preceding), 0) as last
+            from u left join c on c.doc_id = u.doc_id and c.i = u.i
+        ), t as (
+            select doc_id, count(*) filter (where last > 0 and i < last + 20) as n_removed,
+                   string_agg(word, ' ' order by i) filter (where not (last > 0 and i < last + 20)) as kept
+            from k group by doc_id
+        )
+        select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+               sha256(coalesce(kept, '')) as kept_sha256
+        from w left join t using (doc_id)
+    """,
     "op10_exact_dedup": f"""
         with t as (select doc_id, {_ASCII_LOWER} as norm from documents)
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
