@@ -79,7 +79,7 @@ class CuckooFilter:
         for _ in range(KICKS):
             slot = moves.integers(SLOTS)
             mark, table[at, slot] = table[at, slot], mark
-            at = int(at ^ int(mixed(np.array([mark], dtype=np.uint64))[0])) & (len(table) - 1)
+            at = (int(at) ^ int(mixed(np.array([mark], dtype=np.uint64))[0])) & (len(table) - 1)
             free = np.flatnonzero(table[at] == 0)
             if len(free):
                 table[at, free[0]] = mark

@@ -1,0 +1,337 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns, for every operator and stage."""
+
+import hashlib
+import re
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+import corpus_pipeline
+from martloom.llm import (
+    arrow_files, bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, private, quality, repeats,
+)
+
+BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, rate string, kept int, n_lines int, copies int, ids string"
+LINE = "this line is long enough to be counted as a repeated one"
+
+
+def _document(i, text):
+    return (i, text, None, "src0", None if text is None else len(text), 1.5, "x", 7, 8, 9, "y")
+
+
+def _rows():
+    words = [f"w{i}" for i in range(60)]
+    passage = " ".join(words)
+    rows = [
+        (1, passage), (2, passage.upper()), (3, passage + " more"), (4, None), (5, ""), (6, " \n\t "), (7, "one"), (8, "One"),
+        (9, "a b c"), (None, passage), (None, None), (10, "dup row"), (10, "dup row"), (11, "z " * 40 + "end"), (12, "ab " * 30_000 + passage),
+        *[(20 + i, f"{LINE}\n{i} own line number {i}\n {LINE.upper()} ") for i in range(6)],
+        (30, f"<|endoftext|> é \x85 a@b.com 161.17.88.162 日本語 {passage}"), (31, "x" * 5000),
+    ]
+    return [_document(i, t) for i, t in rows]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(_rows(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(1, 1, 0), (7, 0, 0), (9, 0, 1), (None, 1, 0), (20, None, None), (21, 1, 0), (21, 1, 0)], "doc_id long, quality int, toxic int")
+
+
+def _vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, n_links string")
+
+
+FRAMES = {
+    "exact": lambda d, _: exact_dedup.exact_duplicates(d),
+    "minhash": lambda d, _: minhash.near_duplicates(d, 4),
+    "quality": lambda d, l: quality.quality_scores(d, l),
+    "bpe": lambda d, _: bpe.roundtrip_digests(d, BYTE),
+    "bpe_rows": lambda d, _: bpe.decode(bpe.encode(d, BYTE), BYTE),
+    "private": lambda d, _: private.with_surrogates(d),
+    "lines": lambda d, _: line_dedup.line_digests(d),
+    "repeats": lambda d, _: repeats.repeat_digests(d),
+    "arrow": lambda d, _: arrow_files.read_documents(arrow_files.write(d, WORD, length=16)),
+    "mixing": lambda d, l: mixing.mixing_report(d, l),
+}
+
+
+@pytest.mark.parametrize("name", sorted(FRAMES))
+def test_one_row_for_each_row(docs, none, labels, name):
+    ids = lambda df: sorted([r[0] for r in df.select("doc_id").collect()], key=str)
+    assert ids(FRAMES[name](docs, labels)) == ids(docs)
+    assert FRAMES[name](none, labels.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages(spark, docs, none, labels, fresh, stage):
+    labels.write.parquet(f"{fresh}/labels.parquet")
+    kept = stage(spark, docs, fresh)
+    if stage is not corpus_pipeline.tokens:
+        assert kept.columns == docs.columns
+        assert {r[0] for r in kept.select("doc_id").collect()} <= {r[0] for r in docs.select("doc_id").collect()}
+    assert kept.count() <= docs.count()
+    assert stage(spark, none, fresh).collect() == []
+
+
+def test_exact(docs):
+    found = {r["doc_id"]: r for r in exact_dedup.exact_duplicates(docs).collect()}
+    assert (found[1]["keep_id"], found[1]["kept"], found[2]["kept"], found[1]["group_size"]) == (2, False, True, 3)
+    assert (found[7]["keep_id"], found[8]["kept"], found[10]["group_size"], found[10]["kept"]) == (8, True, 2, True)
+    assert found[5]["keep_id"] == 5 and found[5]["group_size"] == 3 and not found[None]["kept"]
+    assert found[4]["text_sha256"] == hashlib.sha256(b"").hexdigest()
+    groups = {(r["keep_id"], r["group_size"]) for r in exact_dedup.duplicate_groups(docs).collect()}
+    assert groups == {(2, 3), (8, 2), (5, 3), (10, 2)}
+
+
+def _shingles(text, k):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else {tuple(words)} if words else set()
+
+
+def test_minhash_against_all_pairs(spark):
+    make = np.random.default_rng(3)
+    base = [[f"v{j}" for j in make.integers(0, 5000, 80)] for _ in range(25)]
+    rows = []
+    for i in range(250):
+        words = list(base[i % 25])
+        for _ in range(make.integers(0, 6)):
+            words[make.integers(0, 80)] = f"n{make.integers(0, 10**6)}"
+        rows.append((int(i), " ".join(words)))
+    found = {r["doc_id"]: r for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    sets = {i: _shingles(t, 4) for i, t in rows}
+    label = {i: i for i, _ in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in range(20):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert {i: found[i]["component_id"] for i in sets} == label
+    assert {i: found[i]["n_shingles"] for i in sets} == {i: len(s) for i, s in sets.items()}
+
+
+def test_registers_merge_and_estimate():
+    make = np.random.default_rng(0)
+    a = make.integers(0, 2**63, 4000).astype(np.uint64)
+    b = np.concatenate([a[:3500], make.integers(0, 2**63, 500).astype(np.uint64)])
+    one, two, both = minhash.registers([np.unique(a), np.unique(b), np.unique(np.concatenate([a, b]))])
+    assert (minhash.merged(one, two) == both).all()
+    estimate = minhash.likeliest(one[None], two[None], np.array([4000.0]), np.array([4000.0]))[0]
+    assert abs(estimate - 3500 / 4500) < 0.12
+
+
+def test_trie_encoder_on_odd_texts():
+    from tokenizers import Tokenizer
+
+    tokenizer, mine = Tokenizer.from_file(BYTE), bpe.TrieEncoder(BYTE)
+    texts = [
+        "", " ", "a  b \n\n c\t d  x <|endoftext|> y<|endoftext|>", "a" * 30, "\x1c\x1d a\x85b   c", "日本語 😀 don't I'LL we'll", "á \n b \t\n c  ",
+        "x" * 3000, "<|endof", "  \n  \n", "é" * 50, "12345 67.8e9\r\n\r\n", "'S's 'T", "​﻿", None,
+    ]
+    for text, ids in zip(texts, mine.encode_batch(texts), strict=True):
+        expected = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == expected
+        assert mine.decode(ids) == tokenizer.decode(expected, skip_special_tokens=False)
+
+
+def test_word_encoder_on_odd_texts():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    tokenizer, mine = Tokenizer.from_file(WORD), arrow_files.WordEncoder(WORD)
+    texts = ["Á \x85 b don't I'LL <|ENDOFTEXT|> <|endoftext|>x, a<|startoftext|> ", "", " ", "H̱ İx 日本 ǅ ﬀ. Ω,,", "ª²x. ªb ͅa", None, "!!! a!b"]
+    flat, sizes = mine(pa.array(texts))
+    at = 0
+    for text, n in zip(texts, sizes, strict=True):
+        assert flat[at : at + n].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+        at += n
+
+
+def test_arrow_files_give_sequences_and_masks(docs):
+    manifest = arrow_files.write(docs, WORD, length=16).collect()
+    tokens = 0
+    for row in manifest:
+        reader = arrow_files.ShardReader(row["base"], row["shard"])
+        n = -(-row["n_tokens"] // 16)
+        for i in range(n):
+            ids, mask = reader.sequence(i)
+            assert len(ids) == len(mask) == 16 and ids.dtype == np.uint16
+            real = sum(mask.to_pylist())
+            assert real == (16 if i < n - 1 else row["n_tokens"] - 16 * (n - 1))
+            tokens += real
+        assert (reader.tokens(0, row["n_tokens"])[-1]) == arrow_files.END
+    assert tokens == sum(r["n_tokens"] for r in manifest)
+
+
+def test_lines_and_back(spark, docs):
+    index = line_dedup.LineIndex.empty(spark).insert(docs)
+    first = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in index.apply(docs).collect() if r["doc_id"] in range(20, 26)}
+    assert [n for _, n in first.values()].count(2) == 5 and first[25][1] == 0
+    more = spark.createDataFrame([_document(99, LINE), _document(98, "x" * 50)], SCHEMA)
+    grown = index.insert(more)
+    assert {r["doc_id"]: r["n_dropped"] for r in grown.apply(docs).collect()}[25] == 2
+    back = grown.delete(more)
+    assert {r["doc_id"]: (r["text"], r["n_dropped"]) for r in back.apply(docs).collect() if r["doc_id"] in range(20, 26)} == first
+    fewer = back.delete(docs.where("doc_id in (20, 21)"))
+    assert sum(r["n_dropped"] for r in fewer.apply(docs).collect()) == 0
+    assert fewer.refs.isEmpty()
+
+
+def test_cuckoo_filter_takes_items_back():
+    items = np.unique(np.random.default_rng(1).integers(0, 2**63, 3000).astype(np.uint64))
+    made = line_dedup.CuckooFilter.of(items)
+    assert made.has(items).all()
+    for x in items[:1500]:
+        assert made.delete(x)
+    assert made.has(items[1500:]).all() and made.has(items[:1500]).mean() < 0.02
+
+
+def _brute_repeats(rows, k=20):
+    seen, again = {}, defaultdict(set)
+    for doc_id, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        for i in range(len(words) - k + 1):
+            if seen.setdefault(tuple(words[i : i + k]), (doc_id, i)) != (doc_id, i):
+                again[doc_id] |= set(range(i, i + k))
+    return again
+
+
+def test_repeats_against_brute_force(spark):
+    make = np.random.default_rng(5)
+    pool = [" ".join(f"p{j}_{i}" for i in range(make.integers(15, 90))) for j in range(6)]
+    rows = []
+    for i in range(60):
+        parts = [pool[make.integers(0, 6)] if make.random() < 0.5 else " ".join(f"u{x}" for x in make.integers(0, 10**6, 12)) for _ in range(4)]
+        rows.append((i, "\n".join(parts) + (" again and" * 40 if i % 7 == 0 else "")))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = _brute_repeats(rows)
+    found = {r["doc_id"]: r for r in repeats.without_repeats(df).collect()}
+    for i, text in rows:
+        words = text.split()
+        assert found[i]["text"] == " ".join(w for j, w in enumerate(words) if j not in expected[i])
+        assert found[i]["n_removed"] == len(expected[i])
+    spans = repeats.spans(df).collect()
+    covered = defaultdict(set)
+    for s in spans:
+        covered[s["doc_id"]] |= set(range(s["start"], s["start"] + s["n"] + repeats.WINDOW - 1))
+    assert {k: v for k, v in covered.items() if v} == {k: v for k, v in expected.items() if v}
+
+
+def test_paths_are_the_passages(spark):
+    passage = " ".join(f"p{i}" for i in range(50))
+    rows = [(1, "a b c " + passage), (2, passage + " d e"), (3, "f " + passage + " g"), (4, " ".join(f"q{i}" for i in range(40)))]
+    found = repeats.paths(repeats.repeated_edges(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    assert [(r["doc_id"], r["start"], r["n_words"]) for r in found] == [(1, 3, 50)]
+
+
+def test_vectors(spark):
+    a, near, far = [1.0, 0.0, 0.2], [0.99, 0.01, 0.2], [0.0, 1.0, 0.0]
+    rows = [
+        (1, a), (2, near), (3, far), (4, a), (5, None), (6, [0.0, 0.0, 0.0]), (7, [1.0, None, 0.2]), (8, [float("nan"), 0.0, 1.0]),
+        (9, [1.0, 0.0]), (10, []), (None, a), (11, [2.0, 0.0, 0.4]), (12, [float("inf"), 0.0, 0.0]),
+    ]
+    found = {r["vec_id"]: r for r in embedding_dedup.near_vectors(_vectors(spark, [(i, v, 0, "x") for i, v in rows])).collect()}
+    assert {i: r["n_links"] for i, r in found.items()} == {1: 3, 2: 3, 4: 3, 11: 3} | dict.fromkeys([3, 5, 6, 7, 8, 9, 10, 12, None], 0)
+    assert {i for i, r in found.items() if r["kept"]} == {1, 3, 5, 6, 7, 8, 9, 10, 12, None}
+    assert embedding_dedup.near_vectors(_vectors(spark, [])).collect() == []
+
+
+def test_hamming_tables_recall(spark):
+    make = np.random.default_rng(2)
+    base = make.standard_normal((60, 64))
+    rows = np.repeat(base, 5, axis=0) + 0.2 * make.standard_normal((300, 64))
+    rows = rows.astype(np.float32)
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    found = embedding_dedup.near_vectors(_vectors(spark, [(i, v.tolist(), 0, "x") for i, v in enumerate(rows)])).collect()
+    total = sum(r["n_links"] for r in found)
+    assert 0.97 * near.sum() <= total <= near.sum() and near.sum() > 100
+
+
+def test_surrogates(spark):
+    text = (
+        "Frau Anna Schmidt, Mr. Smith, Mrs Smith, Mr Smith; Господин Иванов. 4111 1111 1111 1111 and 4111111111111111. "
+        "A@B.COM a@b.com 161.17.88.162 +1 (017) 555-7713 123-45-6789 " + "0a" * 20
+    )
+    df = spark.createDataFrame([(1, text), (2, text + " x"), (3, "nothing")], "doc_id long, text string")
+    one, two, three = (r["text"] for r in private.with_surrogates(df, "k").orderBy("doc_id").collect())
+    assert two == one + " x" and three == "nothing"
+    for secret in ("Smith", "Schmidt", "Иванов", "4111", "A@B", "a@b", "161.17", "555-7713", "123-45", "0a0a"):
+        assert secret not in one
+    cards = re.findall(r"\d{4} \d{4} \d{4} \d{4}|\d{16}", one)
+    assert len(cards) == 2 and cards[0].replace(" ", "") == cards[1]
+    digits = [int(c) for c in cards[1]][::-1]
+    assert (sum(digits[::2]) + sum(d * 2 - 9 * (d > 4) for d in digits[1::2])) % 10 == 0
+    mails = re.findall(r"\S+@\S+", one)
+    assert mails[0] == mails[1].upper() and mails[1].endswith(".com")
+    men = re.findall(r"Mr\.? (\w+)", one)
+    assert men[0] == men[1] and men[0].endswith("us") and re.search(r"Mrs (\w+)a,", one) and re.search(r"Господин [а-яА-Я]+ев", one)
+    assert private.with_surrogates(df, "k").orderBy("doc_id").first()["text"] == one
+    assert private.with_surrogates(df, "other").orderBy("doc_id").first()["text"] != one
+
+
+def test_surrogates_stay_apart(spark):
+    """More addresses of one form than a few hashes keep apart."""
+    rows = [(i, f"{i // 1000 % 10}.{i // 100 % 10}.{i // 10 % 10}.{i % 10}") for i in range(0, 10_000, 4)]
+    found = [r["text"] for r in private.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(set(found)) == len(rows) and not set(found) & {t for _, t in rows}
+
+
+def test_mixture_by_brute_force(spark):
+    """The steps of the fit, done again in numpy on collected rows."""
+    make = np.random.default_rng(4)
+    rows = [(int(n), p.tolist()) for n, p in zip(make.integers(1, 900, 200), make.dirichlet([2, 1, 1], 200), strict=True)]
+    df = spark.createDataFrame(rows, "n_tokens long, posterior array<double>")
+    targets = {"plain": 0.7, "toxic": 0.1, "poor": 0.2}
+    steps, reached, wanted = mixing.fit_rates(df, targets)
+    tokens, shares = np.array([n for n, _ in rows], float), np.array([p for _, p in rows])
+    rates = np.ones(len(rows))
+    for step in steps:
+        rates = np.clip(rates - shares @ step, 0, mixing.CAP)
+    assert np.allclose(reached, (rates * tokens) @ shares)
+    moments = shares.T @ (shares * tokens[:, None])
+    scale = np.linalg.inv(moments + np.eye(3) * moments.sum() * 1e-3)
+    miss = lambda r: (r * tokens) @ shares - wanted
+    loss = lambda r: miss(r) @ scale @ miss(r)
+    best = np.ones(len(rows))
+    for _ in range(5000):
+        best = np.clip(best - shares @ (scale @ miss(best)), 0, mixing.CAP)
+    assert loss(rates) <= 1.05 * loss(best) + 1e-3 * loss(np.ones(len(rows)))
+    free = [r for r in df.select(mixing.rate(steps)).collect()]
+    assert np.allclose([r[0] for r in free], rates)
+
+
+def test_pipeline_equals_its_stages(spark, folder):
+    """run() against the stages' decisions, taken again one document at a time."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    kept = {r["doc_id"]: r["text"] for r in quality.score(docs, *quality.fit(docs, labels), column="__s").where("__s >= 0.3").collect()}
+    keys = defaultdict(set)
+    for i, text in kept.items():
+        for line in (text or "").split("\n"):
+            if len(line_dedup.line_key(line)) >= 40:
+                keys[line_dedup.line_key(line)].add(i)
+    common = {k: max(v) for k, v in keys.items() if len(v) >= 5}
+    kept = {i: "\n".join(x for x in (t or "").split("\n") if common.get(line_dedup.line_key(x), i) == i) for i, t in kept.items()}
+    sets = {i: _shingles(t, 5) for i, t in kept.items()}
+    label = {i: i for i in kept}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in range(20):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    kept = {i: t for i, t in kept.items() if label[i] == i}
+    left = spark.createDataFrame([(i, t) for i, t in sorted(kept.items())], "doc_id long, text string")
+    final = {r["doc_id"]: r["text"] for r in mixing.mixed(left, labels).collect()}
+    found = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.run(spark, folder).collect()}
+    assert found == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in final.items()}
