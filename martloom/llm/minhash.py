@@ -11,11 +11,14 @@ equal, with the known set sizes, gives a likelihood of the similarity. Pairs
 whose most likely value is far below the threshold go; the rest is verified on
 the full sets (as 64-bit hashes of all shingles).
 
-Not all pairs of a bucket are compared. Documents with the same words are one
-class from the start. Then every bucket is compared with its smallest document,
-and verified links are joined to components. What is left are pairs of a bucket
-in different components: every document outside the largest component of its
-bucket is compared with all documents of the other components, in blocks.
+Not all pairs of a bucket become rows. Documents with the same words are one
+class from the start. Every bucket then chooses a hub, the document that shares
+its buckets with the most others; documents are compared with the hubs of their
+buckets, and verified links are joined to components. As two documents of a
+bucket have its hub in common, all that is left are pairs of different
+components around one hub: each document outside the largest component is
+compared with all the others, block by block, on full sets in one matrix
+product; a block only returns links that join components.
 
 Defined cases: null text is empty text; a text without words has size 0 and is
 linked with nothing; fewer words than a shingle has form one shingle; rows with
@@ -37,7 +40,7 @@ from martloom.llm.common import batches, components, gram_hashes, mixed, numbers
 REGISTERS, BAND = 128, 4  # a pair at the threshold 0.8 shares none of the 32 bands once in 10^7
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 SLACK = 0.24  # how far below the threshold an estimate may be, seven standard errors
-BLOCK = 512  # documents compared with each other in one go
+BLOCK = 128  # documents of a block, on average
 _FACTORS, _MASKS = numbers(REGISTERS, 11) | np.uint64(1), numbers(REGISTERS, 12)
 
 
@@ -162,6 +165,58 @@ def _verified(k: int, percent: int):
     return run
 
 
+def _incidence(sets: list[np.ndarray], shared: np.ndarray) -> np.ndarray:
+    """Which of the shared hashes each set holds, as zeros and ones."""
+    out = np.zeros((len(sets), len(shared)), dtype=np.float32)
+    for row, own in zip(out, sets, strict=True):
+        at = np.searchsorted(shared, own)
+        at[at == len(shared)] = 0
+        row[at[shared[at] == own]] = 1
+    return out
+
+
+def joining(labels_a: np.ndarray, labels_b: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Positions of linked pairs that join components, no more than needed."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+        one, two = top(int(labels_a[i])), top(int(labels_b[j]))
+        if one != two:
+            root[max(one, two)] = min(one, two)
+            out.append((i, j))
+    return out
+
+
+def _blocks_joined(k: int, percent: int):
+    """Links between the documents of two blocks, from the sizes of all intersections at once."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in rows:
+            for batch in batches(iter([whole]), 1):
+                left, right = batch.column("minors").to_pylist()[0], batch.column("rows").to_pylist()[0]
+                sets = [s for s, _ in shingle_sets([r["text"] for r in (*left, *right)], k)]
+                own, other = sets[: len(left)], sets[len(left) :]
+                labels = [np.array([r["label"] for r in side]) for side in (left, right)]
+                sizes = [np.array([len(s) for s in side], dtype=np.float64) for side in (own, other)]
+                shared = np.intersect1d(np.unique(np.concatenate(own)), np.unique(np.concatenate(other)))
+                common = np.zeros((len(own), len(other)))
+                for at in range(0, len(shared), 4096):
+                    part = shared[at : at + 4096]
+                    common += _incidence(own, part) @ _incidence(other, part).T
+                near = 100 * common >= percent * (sizes[0][:, None] + sizes[1][None] - common)
+                near &= (labels[0][:, None] != labels[1][None]) & (common > 0)
+                links = [(left[i]["doc_id"], right[j]["doc_id"]) for i, j in joining(*labels, near)]
+                yield pa.record_batch([pa.array([x[n] for x in links], pa.int64()) for n in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 class _Linker:
     """Filters and verifies candidate pairs of one run."""
 
@@ -177,6 +232,25 @@ class _Linker:
         full = near.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
         return stored(full.mapInArrow(_verified(self.k, self.percent), "a bigint, b bigint").distinct(), "minhash-links")
 
+    def links_apart(self, stars: DataFrame, labels: DataFrame) -> DataFrame:
+        """Links (a, b) that join components around a hub: blocks of the documents outside the largest one, against all blocks."""
+        labels = stored(labels, "minhash-labels")
+        known = stars.join(labels, F.col("doc_id") == F.col("node"), "left")
+        known = stored(known.select("hub", "doc_id", F.coalesce("component", "doc_id").alias("label")), "minhash-known").where("doc_id <> hub")
+        sizes = known.groupBy("hub", "label").agg(F.count("*").alias("n"))
+        split = sizes.groupBy("hub").agg(F.max(F.struct("n", "label"))["label"].alias("major"), F.count("*").alias("labels"), F.sum("n").alias("docs"))
+        split = stored(split.where("labels > 1").select("hub", "major", F.ceil(F.col("docs") / BLOCK).alias("blocks")), "minhash-split")
+        block = F.pmod(F.xxhash64("doc_id"), "blocks").alias("block")
+        rows = stored(known.join(split, "hub").select("hub", "doc_id", "label", block, (F.col("label") != F.col("major")).alias("minor")), "minhash-mixed")
+        rows = rows.join(self.docs, "doc_id").withColumn("row", F.struct("doc_id", "label", "minor", "text"))
+        all_ = stored(rows.groupBy("hub", "block").agg(F.collect_list("row").alias("rows")), "minhash-blocks")
+        minor = all_.withColumn("minors", F.filter("rows", lambda r: r["minor"])).where(F.size("minors") > 0)
+        minor = minor.select("hub", F.col("block").alias("other"), "minors")
+        # two blocks with documents outside the largest component on both sides meet twice; that is harmless
+        pairs = all_.join(minor, "hub")
+        pairs = pairs.select("hub", "block", "other", "minors", "rows")
+        return stored(pairs.mapInArrow(_blocks_joined(self.k, self.percent), "a bigint, b bigint").distinct(), "minhash-joined")
+
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document.
@@ -196,34 +270,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     linker = _Linker(docs, reps, shingle, percent)
 
     bands = reps.select("doc_id", "regs").mapInArrow(_bands, "bucket bigint, doc_id bigint")
-    pivots = bands.groupBy("bucket").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot < last")
-    members = stored(bands.join(stored(pivots.drop("last"), "minhash-pivots"), "bucket"), "minhash-members")
-    stars = members.where("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()
-    found = linker.links(stars)
-
-    edges = found.unionByName(same.select("a", "b"))
-    rest = linker.links(_apart(members, components(found, "minhash-first"), reps))
-    joined = stored(components(edges.unionByName(rest), "minhash-all"), "minhash-components")
+    stars = stored(_stars(bands), "minhash-stars")
+    found = linker.links(stars.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")))
+
+    rest = linker.links_apart(stars, components(found, "minhash-first"))
+    edges = found.unionByName(same.select("a", "b")).unionByName(rest)
+    joined = stored(components(edges, "minhash-all"), "minhash-components")
     out = sketched.select("doc_id", F.col("size").alias("n_shingles")).join(joined, F.col("doc_id") == F.col("node"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _apart(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are in different components so far, without those with its pivot.
-
-    Documents outside the largest component of their bucket come in blocks, and
-    so do all documents of the bucket; each two blocks are compared by their
-    registers in one task, and only likely pairs leave it.
-    """
-    labels = stored(labels, "minhash-labels")
-    known = members.join(labels, F.col("doc_id") == F.col("node"), "left")
-    known = stored(known.select("bucket", "doc_id", "pivot", F.coalesce("component", "doc_id").alias("label")), "minhash-known")
-    sizes = known.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    split = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count("*").alias("labels"), F.sum("n").alias("docs"))
-    split = stored(split.where("labels > 1 and docs > 2").select("bucket", "major"), "minhash-split")
-    mixed_up = stored(known.join(split, "bucket").where("doc_id <> pivot"), "minhash-mixed")
-    left = mixed_up.where("label <> major").select("bucket", F.col("doc_id").alias("x"), F.col("label").alias("label_x"))
-    right = mixed_up.select("bucket", F.col("doc_id").alias("y"), F.col("label").alias("label_y"))
-    pairs = left.join(right, "bucket").where("label_x <> label_y")
-    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+def _stars(bands: DataFrame) -> DataFrame:
+    """(doc_id, hub): every document of a bucket with another one, and the hub of its bucket."""
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(bands.join(stored(shared, "minhash-shared"), "bucket"), "minhash-members")
+    crowd = stored(members.groupBy("doc_id").agg(F.sum("n").alias("crowd")), "minhash-crowd")
+    most = members.join(crowd, "doc_id").groupBy("bucket").agg((-F.max(F.struct("crowd", (-F.col("doc_id")).alias("id")))["id"]).alias("hub"))
+    return members.join(stored(most, "minhash-hubs"), "bucket").select("doc_id", "hub").distinct()
