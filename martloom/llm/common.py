@@ -39,7 +39,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     spark._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a stored table that nothing will read any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -138,14 +147,17 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     while (now := _fingerprint(edges)) != before and now[0]:
         before = now
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = stored(both.groupBy("a").agg(F.min("b").alias("low")), label)
-        low = low.select("a", F.least("a", "low").alias("low"))
+        first = stored(both.groupBy("a").agg(F.min("b").alias("low")), label)
+        low = first.select("a", F.least("a", "low").alias("low"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = stored(large.where("a <> b").distinct(), label)
+        old = [edges, first]
         low = stored(large.groupBy("a").agg(F.min("b").alias("low")), label)
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(
             low.select("a", F.col("low").alias("b"))
         )
         edges = stored(small.where("a <> b").distinct(), label)
+        for done in (*old, large, low):
+            discard(done)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

@@ -16,8 +16,8 @@ runs at its two ends. Only repeated edges matter, and few windows are repeated:
 4. *Spans.* Repeats are laid over the paths by source coordinates: those that
    advance along the path and along their document alike are one span.
 
-Windows are compared by a 64-bit hash among those with equal 64-bit ends on
-both sides as well, so two different ones are never taken for equal in practice.
+Windows are equal if their 64-bit hashes and the 32-bit hashes of the runs at
+both ends are, so two different ones are never taken for equal in practice.
 
 Defined cases: null text has no words; texts shorter than a window lose nothing;
 rows with a null id lose nothing and repeat nothing; rows with one id are one
@@ -34,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import batches, components, gram_hashes, mixed, slices, stored, word_hashes
+from martloom.llm.common import batches, components, discard, gram_hashes, mixed, slices, stored, word_hashes
 
 WINDOW, GRAM = 20, 6
 _EDGE, _REPEAT, _LOCAL = 0, 1, 2
-FOUND = "key bigint, kind int, doc_id bigint, start bigint, n bigint, head bigint, tail bigint"
-RESOLVED = "kind int, doc_id bigint, start bigint, n bigint, head bigint, tail bigint, src_id bigint, src_start bigint"
+FOUND = "key bigint, kind int, doc_id bigint, start bigint, n bigint, ends bigint"
+RESOLVED = "kind int, doc_id bigint, start bigint, n bigint, ends bigint, src_id bigint, src_start bigint"
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -110,20 +110,26 @@ def _candidates(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             source = begin[which]
             again = (doc_id != doc_id[source]) | (start != start[source])
             keep = np.sort(begin)
-            yield _found(edges[at][keep], _EDGE, doc_id[keep], start[keep], np.minimum(times[which[keep]], 2), nodes[at][keep], nodes[at + 1][keep])
+            yield _found(edges[at][keep], _EDGE, doc_id[keep], start[keep], np.minimum(times[which[keep]], 2), _ends(nodes, at[keep]))
             spot = np.flatnonzero(again)
             if len(spot):
                 cut = np.flatnonzero((np.diff(spot) != 1) | (np.diff(at[spot]) != 1) | (np.diff(doc[spot]) != 0)) + 1
                 heads = spot[np.concatenate([[0], cut])]
                 sizes = np.diff(np.concatenate([[0], cut, [len(spot)]]))
                 none = np.zeros(len(heads), dtype=np.uint64)
-                yield _found(mixed(doc_id[heads].astype(np.uint64)), _LOCAL, doc_id[heads], start[heads], sizes, none, none)
+                yield _found(mixed(doc_id[heads].astype(np.uint64)), _LOCAL, doc_id[heads], start[heads], sizes, none)
 
 
-def _found(key, kind, doc_id, start, n, head, tail) -> pa.RecordBatch:
-    columns = [key.view(np.int64), np.full(len(key), kind, dtype=np.int32), doc_id, start, n, head.view(np.int64), tail.view(np.int64)]
-    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
-    return pa.record_batch([pa.array(np.asarray(c), t) for c, t in zip(columns, kinds, strict=True)], names=["key", "kind", "doc_id", "start", "n", "head", "tail"])
+def _ends(nodes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Short hashes of the runs at both ends of the windows, in one number: what precedes the last word, and what follows the first."""
+    half = np.uint64(32)
+    return (nodes[at] >> half << half) | (nodes[at + 1] >> half)
+
+
+def _found(key, kind, doc_id, start, n, ends) -> pa.RecordBatch:
+    columns = [key.view(np.int64), np.full(len(key), kind, dtype=np.int32), doc_id, start, n, ends.view(np.int64)]
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4]
+    return pa.record_batch([pa.array(np.asarray(c), t) for c, t in zip(columns, kinds, strict=True)], names=["key", "kind", "doc_id", "start", "n", "ends"])
 
 
 def _resolve(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +155,7 @@ def _resolve(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sorted_out(batch: pa.RecordBatch) -> pa.RecordBatch:
     c = {name: batch.column(name).to_numpy() for name in batch.schema.names}
     edge = c["kind"] == _EDGE
-    key = np.stack([c["key"], c["head"], c["tail"]])
+    key = np.stack([c["key"], c["ends"]])
     new = np.ones(len(edge), dtype=bool)
     new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0) | ~edge[1:] | ~edge[:-1]
     group = np.cumsum(new) - 1
@@ -158,8 +164,8 @@ def _sorted_out(batch: pa.RecordBatch) -> pa.RecordBatch:
     repeat = edge & ((c["doc_id"] != c["doc_id"][source]) | (c["start"] != c["start"][source]))
     kind = np.where(edge, np.where(repeat, _REPEAT, _EDGE), _LOCAL).astype(np.int32)
     keep = ~edge | repeat | (new & many)
-    columns = [kind, c["doc_id"], c["start"], np.where(edge, 1, c["n"]), c["head"], c["tail"], c["doc_id"][source], c["start"][source]]
-    names = ["kind", "doc_id", "start", "n", "head", "tail", "src_id", "src_start"]
+    columns = [kind, c["doc_id"], c["start"], np.where(edge, 1, c["n"]), np.where(repeat, 0, c["ends"]), c["doc_id"][source], c["start"][source]]
+    names = ["kind", "doc_id", "start", "n", "ends", "src_id", "src_start"]
     return pa.record_batch([pa.array(x[keep]) for x in columns], names=names)
 
 
@@ -170,9 +176,12 @@ def repeated_edges(docs: DataFrame) -> DataFrame:
     repeated = marked.groupBy("anchor").agg(F.sum("places").alias("places")).where("places > 1").select("anchor")
     lists = marked.join(stored(repeated, "repeats-repeated"), "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
     lists = stored(lists, "repeats-lists")
+    discard(marked)
     found = docs.join(lists, "doc_id").mapInArrow(_candidates, FOUND)
-    dealt = found.repartition("key").sortWithinPartitions("key", "kind", "head", "tail", "doc_id", "start")
-    return stored(dealt.mapInArrow(_resolve, RESOLVED), "repeats-resolved")
+    dealt = found.repartition("key").sortWithinPartitions("key", "kind", "ends", "doc_id", "start")
+    out = stored(dealt.mapInArrow(_resolve, RESOLVED), "repeats-resolved")
+    discard(lists)
+    return out
 
 
 def _nodes(edges: DataFrame) -> DataFrame:
@@ -230,13 +239,14 @@ def _lay(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def compacted(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(stretches and spans, nodes without a branch) of the repeated edges."""
     edges = resolved.where(F.col("kind") == _EDGE)
+    edges = edges.withColumn("head", F.shiftrightunsigned("ends", 32)).withColumn("tail", F.col("ends").bitwiseAND(F.lit(0xFFFFFFFF)))
     nodes = stored(_nodes(edges.select("doc_id", "start", "head", "tail")), "repeats-nodes")
     straight = nodes.where("in_id = out_id and in_start + 1 = out_start").select(F.col("in_id").alias("src_id"), F.col("in_start").alias("src_start"), F.lit(1).alias("order"))
     columns = ["src_id", "src_start", "order", "doc_id", "start", "head", "tail"]
     laid = (
         edges.withColumn("order", F.lit(0)).select(*columns)
         .unionByName(straight, allowMissingColumns=True)
-        .unionByName(resolved.where(F.col("kind") == _REPEAT).withColumn("order", F.lit(2)).select(*columns))
+        .unionByName(resolved.where(F.col("kind") == _REPEAT).withColumn("order", F.lit(2)).drop("ends", "n", "kind"), allowMissingColumns=True)
     )
     laid = laid.repartition("src_id").sortWithinPartitions("src_id", "src_start", "order").mapInArrow(_lay, LAID)
     return stored(laid, "repeats-laid"), nodes
