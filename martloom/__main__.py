@@ -4,11 +4,20 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from martloom.operators import versions
 from martloom.plans import pipeline
 from martloom.session import get_spark
 
 
+def print_all(rows: DataFrame) -> None:
+    """Every row on a line of its own, one partition at a time."""
+    print(*rows.columns, sep="\t")
+    for row in rows.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="martloom")
     actions = parser.add_subparsers(dest="action", required=True)
@@ -28,11 +37,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark()
     if args.action == "retail":
         customers, products = spark.read.parquet(args.customers), spark.read.parquet(args.products)
-        pipeline.run_retail(spark, args.landing, customers, products, args.lake).show(50, False)
+        print_all(pipeline.run_retail(spark, args.landing, customers, products, args.lake))
     elif args.action == "orders":
-        pipeline.run_orders(spark, spark.read.parquet(args.feed), args.landing, args.lake).show(50, False)
+        print_all(pipeline.run_orders(spark, spark.read.parquet(args.feed), args.landing, args.lake))
     elif args.action == "history":
-        versions.history(spark, args.table).orderBy("version").show(1000, False)
+        print_all(versions.history(spark, args.table).orderBy("version"))
     else:
         print(versions.restore(spark, args.table, args.version))
 

@@ -9,16 +9,17 @@ from martloom.functions.text import col
 
 
 def line_total(quantity: Column | str, unit_price: Column | str) -> Column:
-    return F.round(col(quantity) * col(unit_price), 2).cast("decimal(12,2)")
+    """NULL when the amount has no room in the type."""
+    return F.round(col(quantity) * col(unit_price), 2).try_cast("decimal(12,2)")
 
 
 def net_revenue(unit_price: Column | str, quantity: Column | str, discount: Column | str) -> Column:
     net = col(unit_price) * col(quantity) * (F.lit(1) - col(discount))
-    return F.round(net, 2).cast("decimal(14,2)")
+    return F.round(net, 2).try_cast("decimal(14,2)")
 
 
 def line_cost(unit_cost: Column | str, quantity: Column | str) -> Column:
-    return F.round(col(unit_cost) * col(quantity), 2).cast("decimal(14,2)")
+    return F.round(col(unit_cost) * col(quantity), 2).try_cast("decimal(14,2)")
 
 
 def ratio(part: Column, whole: Column, digits: int = 6) -> Column:

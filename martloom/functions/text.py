@@ -55,8 +55,11 @@ def to_day(c: Column | str) -> Column:
 
 
 def to_instant(c: Column | str) -> Column:
-    """ISO-8601 text as wall-clock time of the session zone (UTC); an offset is honoured."""
-    return F.try_to_timestamp(col(c)).cast("timestamp_ntz")
+    """ISO-8601 text as wall-clock time in UTC, whatever the session zone; text without an offset is UTC already."""
+    since = F.make_dt_interval(secs=(F.unix_micros(F.try_to_timestamp(col(c))) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)"))
+    moved = F.lit("1970-01-01").cast("timestamp_ntz") + since
+    has_offset = col(c).rlike(r"\d[T ]\d.*(?:[zZ]|UTC|GMT|[+-]\d{1,2}(?::?\d{2})?)\s*$")
+    return F.when(has_offset, moved).otherwise(col(c).try_cast("timestamp_ntz"))
 
 
 def raw_row(columns: Iterable[str]) -> Column:
@@ -71,3 +74,8 @@ def file_name(c: Column | str) -> Column:
 def plain_path(c: Column | str) -> Column:
     """``file:///a/b`` and ``file:/a/b`` both become ``/a/b``."""
     return F.regexp_replace(col(c), "^file:/+", "/")
+
+
+def scanned_path(c: Column | str = "_metadata.file_path") -> Column:
+    """Path of a scanned file as the file system knows it; scans report it URL-encoded."""
+    return plain_path(F.url_decode(F.replace(col(c), F.lit("+"), F.lit("%2B"))))

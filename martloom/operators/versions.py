@@ -9,7 +9,9 @@ A table is a folder:
 A version exists once its log row does, so a job that dies half-way leaves
 nothing visible and the next one overwrites its leftovers. An upsert writes only
 the partitions it touches and points to older folders for the rest; a restore
-writes no data at all. One writer per table at a time. What the driver keeps is
+writes no data at all. Each log row carries the marks of the writers: up to which
+batch of each the version goes. A restore brings the old marks back, so what it
+took away is merged again. One writer per table at a time. What the driver keeps is
 one entry per table partition, never rows.
 """
 
@@ -29,12 +31,17 @@ from martloom.operators.upsert import merge_latest, merge_partial, merge_upsert,
 from martloom.session import pinned
 
 ENTRY = (
-    "operation string, writer string, batch_id bigint, row_count bigint, partition_by array<string>,"
+    "operation string, writer string, batch_id bigint, marks map<string, bigint>, row_count bigint,"
+    " partition_by array<string>,"
     " columns string, parts array<struct<part_key:string, folder:string, v:int, row_count:bigint>>"
 )
 LOG = f"version int, published_at timestamp, {ENTRY}"
 
 
+_RESTORE = "restore@"  # mark of a restore: its own version, and the one it went back to
+MARK = "mark"  # a log row that only moves a writer's mark; not a version to a reader
+
+
 @dataclass(frozen=True)
 class Published:
     """Outcome of a write; ``version`` is None when there was nothing to publish."""
@@ -67,16 +74,17 @@ def history(spark: SparkSession, root: str) -> DataFrame:
     log = _log(spark, root)
     if log is None:
         log = spark.createDataFrame([], LOG)
-    return log.drop("columns", "partition_by", "parts")
+    return log.filter(F.col("operation") != MARK).drop("columns", "partition_by", "parts", "marks")
 
 
 def _entry(spark: SparkSession, root: str, version: int | None = None) -> T.Row | None:
+    """The log row of a version, the newest by default. Only that row is read; the newest number is in the folder names."""
     log = _log(spark, root)
     if log is None:
         return None
-    if version is not None:
-        log = log.filter(F.col("version") == version)
-    return log.orderBy(F.desc("version")).limit(1).first()
+    if version is None:
+        version = log.agg(F.max("version").alias("v")).first().v
+    return log.filter(F.col("version") == version).first()
 
 
 def _schema(entry: T.Row) -> T.StructType:
@@ -148,11 +156,14 @@ def _commit(
     partition_by: Sequence[str],
     writer: str | None,
     batch_id: int | None,
+    marks: dict[str, int],
 ) -> int:
-    """Write the log row. Returns the row count of the version."""
+    """Write the log row; ``marks`` are those before it. Returns the row count of the version."""
     total = sum(p.row_count for p in parts)
+    if writer is not None and batch_id is not None:
+        marks = {**marks, writer: batch_id}
     row = {
-        "operation": operation, "writer": writer, "batch_id": batch_id, "row_count": total,
+        "operation": operation, "writer": writer, "batch_id": batch_id, "marks": marks, "row_count": total,
         "partition_by": list(partition_by), "columns": schema.json(), "parts": [p.asDict() for p in parts],
     }
     (
@@ -165,11 +176,27 @@ def _commit(
     return total
 
 
-def _already_done(spark: SparkSession, root: str, writer: str | None, batch_id: int | None) -> bool:
-    log = _log(spark, root)
-    if log is None or writer is None or batch_id is None:
-        return False
-    return not log.filter((F.col("writer") == writer) & (F.col("batch_id") >= batch_id)).isEmpty()
+def _marks(entry: T.Row | None) -> dict[str, int]:
+    return dict(entry.marks or {}) if entry else {}
+
+
+def _already_done(entry: T.Row | None, writer: str | None, batch_id: int | None) -> bool:
+    done = _marks(entry).get(writer)
+    return done is not None and batch_id is not None and done >= batch_id
+
+
+def _mark(spark: SparkSession, root: str, entry: T.Row | None, writer: str | None, batch_id: int | None) -> Published:
+    """Note that a batch had no effect, so that it is not looked at again."""
+    if entry and writer is not None and batch_id is not None:
+        marks, schema = _marks(entry), _schema(entry)
+        _commit(spark, root, entry.version + 1, entry.parts, MARK, schema, entry.partition_by, writer, batch_id, marks)
+    return Published(None)
+
+
+def _null_parts(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Empty text in partition columns as NULL, which is what the folders give back."""
+    texts = [f.name for f in df.schema.fields if f.name in partition_by and isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts}) if texts else df
 
 
 def publish(
@@ -187,11 +214,15 @@ def publish(
     becomes visible, so that a large ``df`` is computed only once.
     """
     spark = df.sparkSession
-    version = (latest_version(spark, root) or 0) + 1
+    df = _null_parts(df, layout.partition_by)
+    entry = _entry(spark, root)
+    version = (entry.version if entry else 0) + 1
     parts = _write_data(df, root, version, layout)
     if unique_by:
         require_unique(spark.read.schema(df.schema).parquet(f"{root}/data/v={version}"), unique_by)
-    total = _commit(spark, root, version, parts, operation, df.schema, layout.partition_by, writer, batch_id)
+    total = _commit(
+        spark, root, version, parts, operation, df.schema, layout.partition_by, writer, batch_id, _marks(entry)
+    )
     return Published(version, inserted=total)
 
 
@@ -202,18 +233,21 @@ def append(
     writer: str | None = None,
     batch_id: int | None = None,
 ) -> Published:
-    """Add rows as they are; older files stay where they are. An empty increment writes nothing."""
+    """Add rows as they are; older files stay where they are. An empty increment only moves the writer's mark."""
     spark = df.sparkSession
     entry = _entry(spark, root)
-    if _already_done(spark, root, writer, batch_id) or df.isEmpty():
+    if _already_done(entry, writer, batch_id):
         return Published(None)
+    if df.isEmpty() and (entry is not None or writer is None):
+        return _mark(spark, root, entry, writer, batch_id)
     if entry is None:
         return publish(df, root, "append", layout, writer, batch_id)
     version = entry.version + 1
-    df = df.select(_schema(entry).fieldNames())
+    df = _null_parts(df.select(_schema(entry).fieldNames()), entry.partition_by)
     added = _write_data(df, root, version, Layout(entry.partition_by, layout.cluster_by, layout.spread_by))
     total = _commit(
-        spark, root, version, [*entry.parts, *added], "append", df.schema, entry.partition_by, writer, batch_id
+        spark, root, version, [*entry.parts, *added], "append", df.schema, entry.partition_by, writer, batch_id,
+        _marks(entry),
     )
     return Published(version, inserted=total - entry.row_count)
 
@@ -227,11 +261,18 @@ def added_since(spark: SparkSession, root: str, version: int) -> DataFrame | Non
 
 
 def last_batch(spark: SparkSession, root: str, writer: str) -> int:
-    """Number of the last batch a writer has stored in the table, 0 if none."""
-    log = _log(spark, root)
-    if log is None:
-        return 0
-    return log.filter(F.col("writer") == writer).agg(F.max("batch_id").alias("b")).first().b or 0
+    """Number of the last batch of a writer that the current version holds, 0 if none."""
+    return _marks(_entry(spark, root)).get(writer, 0)
+
+
+def holds(spark: SparkSession, root: str, version: Column) -> Column:
+    """True for the versions whose work is part of the current one: all so far but those a restore took back."""
+    entry = _entry(spark, root)
+    out = version <= F.lit(entry.version if entry else 0)
+    for name, target in _marks(entry).items():
+        if name.startswith(_RESTORE):
+            out &= ~((version > F.lit(target)) & (version < F.lit(int(name.removeprefix(_RESTORE)))))
+    return out
 
 
 def restore(spark: SparkSession, root: str, version: int) -> Published:
@@ -241,7 +282,8 @@ def restore(spark: SparkSession, root: str, version: int) -> Published:
         raise ValueError(f"no version {version} of {root}")
     schema = _schema(entry)
     new = latest_version(spark, root) + 1
-    total = _commit(spark, root, new, entry.parts, f"restore of {version}", schema, entry.partition_by, None, None)
+    marks = {**_marks(entry), f"{_RESTORE}{new}": version}
+    total = _commit(spark, root, new, entry.parts, f"restore of {version}", schema, entry.partition_by, None, None, marks)
     return Published(new, inserted=total)
 
 
@@ -255,6 +297,7 @@ def upsert(
     rows_may_move: bool = True,
     writer: str | None = None,
     batch_id: int | None = None,
+    in_sequence: bool = False,
 ) -> Published:
     """Merge ``source`` into the table and publish the result.
 
@@ -263,19 +306,22 @@ def upsert(
     partition and saves the scan that looks for matches elsewhere. With
     ``newest_first`` a stored row that is newer than the incoming one wins. Rows
     that are in the table already, unchanged, are set aside first; when none is
-    left, no version is made, so a re-run is a no-op.
+    left, only the writer's mark moves, so a re-run is a no-op. ``in_sequence``
+    refuses a batch whose predecessor the current version does not hold.
     """
     spark = source.sparkSession
     entry = _entry(spark, root)
-    if _already_done(spark, root, writer, batch_id):
+    if _already_done(entry, writer, batch_id):
         return Published(None)
+    if in_sequence and entry is not None and batch_id > _marks(entry).get(writer, batch_id - 1) + 1:
+        raise ValueError(f"batch {batch_id} of {writer} does not follow the restored version; start a new checkpoint")
     if entry is None:
         return publish(source, root, "upsert", layout, writer, batch_id, unique_by=keys)
 
     schema = _schema(entry)
     layout = Layout(entry.partition_by, layout.cluster_by, layout.spread_by)
     columns = schema.fieldNames()
-    source = small_side(pinned(source.select(columns)))
+    source = small_side(pinned(_null_parts(source.select(columns), entry.partition_by)))
     require_unique(source, keys)
     by_key = {}
     for part in entry.parts:
@@ -288,12 +334,15 @@ def upsert(
         return {r.k for r in df.select(_part_key(layout.partition_by).alias("k")).distinct().collect()}
 
     compared = list(update_columns) if update_columns else [c for c in columns if c not in keys]
-    home = stored(keys_of(source)).join(source.select(*keys), list(keys), "left_semi").alias("t")
+    home = stored(keys_of(source)).join(source.select(*keys), list(keys), "left_semi")
+    if newest_first:  # rows that lose against the stored one change nothing
+        source = merge_latest(home, source, keys, newest_first)
+    home = home.alias("t")
     same = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
     same += [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in compared]
     changes = small_side(pinned(source.alias("s").join(home, same, "left_anti")))
     if changes.isEmpty():
-        return Published(None)
+        return _mark(spark, root, entry, writer, batch_id)
 
     touched = keys_of(changes)
     if rows_may_move and layout.partition_by:
@@ -311,7 +360,7 @@ def upsert(
     added = _write_data(merged, root, version, layout)
     kept = [part for part in entry.parts if part.part_key not in touched]
     total = _commit(
-        spark, root, version, [*kept, *added], "upsert", schema, layout.partition_by, writer, batch_id
+        spark, root, version, [*kept, *added], "upsert", schema, layout.partition_by, writer, batch_id, _marks(entry)
     )
     inserted = total - entry.row_count
     return Published(version, inserted, changes.count() - inserted)

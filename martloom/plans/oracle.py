@@ -279,8 +279,8 @@ select transaction_id, date_key, product_id as product_key, customer_id as custo
 from bi_fact"""),
     "category_weight_map": """
 select p_partkey as product_key, p_type as category,
-       cast(case p_type when 'ECONOMY' then 0.30 when 'LARGE' then 0.20 when 'MEDIUM' then 0.22
-                        when 'PROMO' then 0.12 when 'SMALL' then 0.09 when 'STANDARD' then 0.07 end as double) as weight
+       cast(case p_type when 'ECONOMY' then 0.25 when 'LARGE' then 0.15 when 'MEDIUM' then 0.20
+                        when 'PROMO' then 0.10 when 'SMALL' then 0.05 when 'STANDARD' then 0.25 end as double) as weight
 from part""",
     "dim_date_bi": _with(BI, """
 select date_key, full_date, year, month, quarter, day_of_week, is_weekend, month_name from bi_date"""),

@@ -30,19 +30,24 @@ def month_of(day: str):
 
 
 def new_files(spark: SparkSession, glob: str, lake: str, table: str) -> DataFrame:
-    """Landed files that are not in the bronze table yet.
-
-    Known files are those in the ledger and, in case the last run died between
-    storing its rows and noting its files, the files of the newest version.
-    """
-    seen = files.ledger(spark, f"{lake}/{table}_files").select("path")
-    newest = versions.latest_version(spark, f"{lake}/{table}") or 0
-    last = versions.added_since(spark, f"{lake}/{table}", newest - 1)
-    if last is not None:
-        seen = seen.unionByName(last.select(F.col(files.SOURCE_FILE).alias("path")).distinct())
+    """Landed files that no version of the bronze table holds yet."""
+    seen = files.ledger(spark, f"{lake}/{table}_files", lambda version: versions.holds(spark, f"{lake}/{table}", version))
     return files.unseen(files.list_files(spark, glob), seen)
 
 
+def literal_path(path: str) -> str:
+    """A path that a reader does not take for a pattern."""
+    return "".join("\\" + c if c in "\\[]{}*?" else c for c in path)
+
+
+def _store(rows: DataFrame, fresh: DataFrame, lake: str, table: str) -> int:
+    """Append rows under the next version number, which their files are noted under before it becomes visible."""
+    spark = rows.sparkSession
+    version = (versions.latest_version(spark, f"{lake}/{table}") or 0) + 1
+    files.record(fresh, f"{lake}/{table}_files", version)
+    return versions.append(rows, f"{lake}/{table}", writer="files", batch_id=version).inserted
+
+
 def ingest_csv(
     spark: SparkSession, glob: str, lake: str, table: str, columns: Sequence[str]
 ) -> int:
@@ -51,13 +56,10 @@ def ingest_csv(
     The driver holds the paths of the new files only.
     """
     fresh = pinned(new_files(spark, glob, lake, table))
-    paths = [r.path for r in fresh.select("path").collect()]
+    paths = [literal_path(r.path) for r in fresh.select("path").collect()]
     if not paths:
         return 0
-    rows = files.with_lineage(files.read_csv_raw(spark, paths, columns))
-    done = versions.append(rows, f"{lake}/{table}")
-    files.record(fresh, f"{lake}/{table}_files")
-    return done.inserted
+    return _store(files.with_lineage(files.read_csv_raw(spark, paths, columns)), fresh, lake, table)
 
 
 def ingest_json(
@@ -65,13 +67,11 @@ def ingest_json(
 ) -> int:
     """The same for JSON pages below ``run_date=*/``; empty pages count as loaded."""
     fresh = pinned(new_files(spark, landing, lake, table))
-    paths = [r.path for r in fresh.select("path").collect()]
+    paths = [literal_path(r.path) for r in fresh.select("path").collect()]
     if not paths:
         return 0
     rows = files.with_lineage(files.read_json_pages(spark, landing, schema, paths, arrays))
-    done = versions.append(rows, f"{lake}/{table}")
-    files.record(fresh, f"{lake}/{table}_files")
-    return done.inserted
+    return _store(rows, fresh, lake, table)
 
 
 def refresh_snapshot(snapshot: DataFrame, lake: str, table: str) -> int:

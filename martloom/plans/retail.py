@@ -23,7 +23,8 @@ TYPES = {
     "unit_price": text.to_money,
     "region": text.blank_to_null,
 }
-SILVER_TYPES = {**TYPES, "region": text.trimmed}
+# Silver keeps ids such as "3.0" as 3; the batch load rejects them.
+SILVER_TYPES = {**TYPES, "customer_id": text.to_whole, "product_id": text.to_whole, "region": text.trimmed}
 
 # Reject rules in the order they are tried. The reason texts are fixed values.
 REJECT_RULES = [
@@ -33,6 +34,7 @@ REJECT_RULES = [
     ("order_date", "unparseable OrderDate"),
     ("quantity", "null/unparseable Quantity"),
     ("unit_price", "null/unparseable UnitPrice"),
+    ("total_amount", "line total out of range"),
 ]
 
 FACT_COLUMNS = [
@@ -43,7 +45,8 @@ FACT_COLUMNS = [
 
 def typed_batch(bronze: DataFrame) -> DataFrame:
     """Typed columns next to the raw row text."""
-    return clean.coerce(bronze.withColumn(clean.RAW, text.raw_row(RAW_COLUMNS)), TYPES)
+    typed = clean.coerce(bronze.withColumn(clean.RAW, text.raw_row(RAW_COLUMNS)), TYPES)
+    return typed.withColumn("total_amount", money.line_total("quantity", "unit_price"))
 
 
 def accepted_and_rejected(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:

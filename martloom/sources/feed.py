@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from martloom.session import pinned
 
 CONTROL = "table_name string, id bigint, value timestamp_ntz, updated_at timestamp"
-# Rows a single task may gather for a page near the front of the feed.
-TOP_ROWS = 10_000
 # HWM of a table that was never loaded (fixed value of the control table).
 NEVER = "1900-01-01 00:00:00"
 
@@ -81,13 +79,10 @@ def hwm_advance(spark: SparkSession, path: str, name: str, value) -> None:
 
 
 def page_slice(feed: DataFrame, order: Sequence[str], cursor: int, page_size: int) -> DataFrame:
-    """One page of the ordered feed.
+    """One page of the ordered feed, cut by row numbers: all pages are cut alike and tile the feed.
 
-    Near the front a bounded top-n does; further back rows are numbered, because
-    an offset would gather everything before the page in one task.
+    An offset would gather everything before the page in one task.
     """
-    if cursor + page_size <= TOP_ROWS:
-        return feed.orderBy(*order).offset(cursor).limit(page_size)
     place = F.col("_row")
     return numbered(feed, order).filter((place >= cursor) & (place < cursor + page_size)).drop("_row")
 

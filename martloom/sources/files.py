@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.functions.text import file_name, plain_path
+from martloom.functions.text import file_name, plain_path, scanned_path
 
 SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingested_at"
@@ -21,22 +21,6 @@ POSITION = "_position"
 FILES = "path string, modified_at timestamp, size bigint"
 
 
-# A scan in at least this many pieces is left as it is.
-FEW_SPLITS = 32
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan that comes in few pieces (one big row group) over the idle cores.
-
-    A table of any size has more splits than this and is not shuffled; for a
-    small one the shuffle costs less than joining and typing it in one task.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= min(cores, FEW_SPLITS):
-        return scan
-    return scan.hint("rebalance")
-
-
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
@@ -45,7 +29,7 @@ def with_lineage(scan: DataFrame) -> DataFrame:
     """Source file, ingest time and row position; must follow the scan directly."""
     return scan.select(
         "*",
-        plain_path(F.col("_metadata.file_path")).alias(SOURCE_FILE),
+        scanned_path().alias(SOURCE_FILE),
         F.current_timestamp().alias(INGESTED_AT),
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(POSITION),
@@ -121,16 +105,22 @@ def unseen(files: DataFrame, seen: DataFrame, by_name: bool = False) -> DataFram
     return files.withColumn("_name", file_name("path")).join(known, "_name", "left_anti").drop("_name")
 
 
-def ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Files loaded so far, empty ones included."""
+def ledger(spark: SparkSession, path: str, valid: Callable[[Column], Column] = lambda version: version.isNotNull()) -> DataFrame:
+    """Files loaded by the ``valid`` versions, empty ones included.
+
+    Files are noted under the number of the version they go into, before that
+    version becomes visible; notes of a version that never did are ignored, and
+    overwritten by the next run, which makes the version of that number.
+    """
     try:
-        return spark.read.schema(FILES).parquet(path)
+        noted = spark.read.schema(f"{FILES}, version int").parquet(path)
+        return noted.where(valid(F.col("version"))).drop("version")
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], FILES)
         raise
 
 
-def record(files: DataFrame, path: str) -> None:
-    """Add files to the ledger, after their rows are stored."""
-    files.select("path", "modified_at", "size").coalesce(1).write.mode("append").parquet(path)
+def record(files: DataFrame, path: str, version: int) -> None:
+    """Note the files that go into a version of the table."""
+    files.select("path", "modified_at", "size").write.mode("overwrite").parquet(f"{path}/version={version}")

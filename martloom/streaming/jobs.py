@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.functions.text import plain_path
+from martloom.functions.text import scanned_path
 from martloom.operators.clean import dedup_latest
 from martloom.operators.versions import Layout, upsert
 from martloom.sources.files import BLOCK, INGESTED_AT, SOURCE_FILE
@@ -22,7 +22,7 @@ def stream_files(
     scan = reader.options(**options).format(kind).load(path)
     return scan.select(
         "*",
-        plain_path(F.col("_metadata.file_path")).alias(SOURCE_FILE),
+        scanned_path().alias(SOURCE_FILE),
         F.current_timestamp().alias(INGESTED_AT),
         F.col("_metadata.file_block_start").alias(BLOCK),
     )
@@ -55,14 +55,16 @@ def upsert_stream(
 
     The batch is first reduced to the newest row per key. The batch number is
     kept with the version, so a batch that is replayed after a failure is not
-    applied twice.
+    applied twice. A restore takes the number back with the rows, but not the
+    checkpoint: the stream then refuses to go on, instead of leaving the batches
+    in between out, until it is started with a new checkpoint.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         newest = dedup_latest(prepare(batch), keys, newest_first)
         upsert(
             newest, table, keys, layout, newest_first=newest_first,
-            rows_may_move=rows_may_move, writer=checkpoint, batch_id=batch_id,
+            rows_may_move=rows_may_move, writer=checkpoint, batch_id=batch_id, in_sequence=True,
         )
 
     run = (

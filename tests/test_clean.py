@@ -139,3 +139,29 @@ def test_superseded_counts_on_a_hot_key(spark):
     lost = {r.g: r.superseded for r in clean.superseded_counts(rows, ["k"], F.struct("v"), ["g"]).collect()}
     assert lost == {"even": 15_000, "odd": 14_999}
     assert sum(lost.values()) == rows.count() - winners.count()
+
+
+def test_a_line_total_without_room_is_a_reject(spark):
+    row = ("1", "10", "5", "2026-07-01", "2000000000", "100.00", "N")
+    bronze = spark.createDataFrame([row], ", ".join(f"{c} string" for c in retail.RAW_COLUMNS))
+    accepted, rejected = retail.accepted_and_rejected(bronze)
+    assert accepted.isEmpty() and [r.reason for r in rejected.collect()] == ["line total out of range"]
+
+
+def test_instants_are_utc_in_any_session_zone(spark):
+    df = spark.createDataFrame([("2026-07-01T02:00:00+00:00",), ("2026-11-01T01:30:00-04:00",), ("2026-07-01T02:00:00Z",), ("2026-07-01 02:00:00",), ("x",), (None,)], "t string")
+    expected = ["2026-07-01 02:00:00", "2026-11-01 05:30:00", "2026-07-01 02:00:00", "2026-07-01 02:00:00", None, None]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            found = df.select(text.to_instant("t").cast("string").alias("t")).collect()
+            assert [r.t for r in found] == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_silver_keeps_ids_written_as_floats(spark):
+    df = spark.createDataFrame([("3.0",)], "customer_id string")
+    assert df.select(retail.SILVER_TYPES["customer_id"]("customer_id").alias("c")).first().c == 3
+    assert df.select(retail.TYPES["customer_id"]("customer_id").alias("c")).first().c is None

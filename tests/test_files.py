@@ -108,14 +108,43 @@ def test_ingest_is_incremental_and_idempotent(spark, fresh, landing):
     assert files.ledger(spark, f"{lake}/bronze_files").count() == 3
 
 
-def test_files_of_the_last_version_count_as_seen(spark, fresh, landing):
-    """A run that stored its rows but died before noting the files is not loaded twice."""
+def test_a_crash_loads_nothing_twice(spark, fresh, landing, monkeypatch):
+    """Whatever step a run dies at, later runs load every file once, whatever its name."""
     from martloom.operators import versions
 
-    path = drop(landing, "a.csv", "1,10,5,2026-07-01,2,9,N")
     lake = f"{fresh}/lake"
-    versions.append(scan(spark, path), f"{lake}/bronze")
-    assert pipeline.ingest_csv(spark, landing, lake, "bronze", retail.RAW_COLUMNS) == 0
+    run = lambda: pipeline.ingest_csv(spark, landing, lake, "bronze", retail.RAW_COLUMNS)
+    drop(landing, "a 1.csv", "1,10,5,2026-07-01,2,9,N")
+    assert run() == 1
+    names = ["b+2.csv", "c%3.csv", "d[4].csv", "e{5}.csv", "ü 6.csv"]
+    for step, name in zip((versions._write_data, versions._commit, files.record, versions._commit, versions._write_data), names, strict=True):
+        drop(landing, name, f"{names.index(name) + 2},10,5,2026-07-01,2,9,N")
+        with monkeypatch.context() as broken:
+            def die(*_, **__):
+                raise RuntimeError("lost")
+
+            broken.setattr(files if step is files.record else versions, step.__name__, die)
+            with pytest.raises(RuntimeError):
+                run()
+        if name != "c%3.csv":
+            run()
+    assert run() == 0 and run() == 0
+    rows = versions.read(spark, f"{lake}/bronze").select("transaction_id", files.SOURCE_FILE).collect()
+    assert sorted(r[0] for r in rows) == ["1", "2", "3", "4", "5", "6"]
+    assert sorted(r[1].rsplit("/", 1)[1] for r in rows) == sorted(["a 1.csv", *names])
+
+
+def test_files_taken_back_are_loaded_again(spark, fresh, landing):
+    from martloom.operators import versions
+
+    lake = f"{fresh}/lake"
+    run = lambda: pipeline.ingest_csv(spark, landing, lake, "bronze", retail.RAW_COLUMNS)
+    for n in (1, 2):
+        drop(landing, f"{n}.csv", f"{n},10,5,2026-07-01,2,9,N")
+        assert run() == 1
+    versions.restore(spark, f"{lake}/bronze", 1)
+    assert run() == 1 and run() == 0
+    assert versions.read(spark, f"{lake}/bronze").count() == 2
 
 
 def test_unseen_by_path_and_by_name(spark):
@@ -146,14 +175,3 @@ def test_jdbc_ranges():
     }
     with pytest.raises(ValueError):
         jdbc.partition_options("id", 5, 1, 4)
-
-
-def test_only_scans_in_few_pieces_are_spread(spark, fresh, plan_of):
-    spark.range(0, 1000, 1, 1).write.parquet(f"{fresh}/one")
-    spark.range(0, 1000, 1, 40).write.parquet(f"{fresh}/many")
-    assert "REBALANCE" in plan_of(files.spread(spark.read.parquet(f"{fresh}/one")))
-    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
-    try:
-        assert "REBALANCE" not in plan_of(files.spread(spark.read.parquet(f"{fresh}/many")))
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -141,3 +141,45 @@ def test_reads_prune_partitions(spark, fresh, plan_of):
     versions.publish(table(spark, (1, "a", "1"), (2, "b", "1")), fresh, layout=LAYOUT)
     plan = plan_of(versions.read(spark, fresh).filter("part = 'b' and k = 2"))
     assert "PartitionFilters: [isnotnull(part" in plan and "EqualTo(k,2)" in plan
+
+
+def test_marks_follow_a_restore(spark, fresh):
+    """What a restore took back is merged again; nothing is skipped, nothing merged twice."""
+    put = lambda n: versions.upsert(table(spark, (n, "a", str(n))), fresh, ["k"], LAYOUT, writer="w", batch_id=n)
+    put(1), put(2)
+    versions.restore(spark, fresh, 1)
+    assert versions.last_batch(spark, fresh, "w") == 1
+    assert put(1).version is None and put(2).inserted == 1
+    put(3)
+    assert sorted(r.k for r in versions.read(spark, fresh).collect()) == [1, 2, 3]
+
+
+def test_a_stream_refuses_a_gap(spark, fresh):
+    put = lambda n: versions.upsert(table(spark, (n, "a", str(n))), fresh, ["k"], LAYOUT, writer="w", batch_id=n, in_sequence=True)
+    put(0), put(1)
+    versions.restore(spark, fresh, 1)
+    with pytest.raises(ValueError, match="does not follow"):
+        put(2)
+
+
+def test_no_effect_still_moves_the_mark(spark, fresh):
+    versions.upsert(table(spark, (1, "a", "1")), fresh, ["k"], LAYOUT, writer="w", batch_id=1)
+    assert versions.upsert(table(spark, (1, "a", "1")), fresh, ["k"], LAYOUT, writer="w", batch_id=2).version is None
+    assert versions.last_batch(spark, fresh, "w") == 2
+    assert versions.history(spark, fresh).count() == 1
+    empty = table(spark, (9, "a", "1")).limit(0)
+    assert versions.append(empty, fresh, writer="w", batch_id=3).version is None
+    assert versions.last_batch(spark, fresh, "w") == 3
+
+
+def test_a_stale_row_makes_no_version(spark, fresh):
+    newest = [F.desc("amount")]
+    versions.upsert(table(spark, (1, "a", "2")), fresh, ["k"], LAYOUT, newest_first=newest)
+    assert versions.upsert(table(spark, (1, "a", "1")), fresh, ["k"], LAYOUT, newest_first=newest) == versions.Published(None)
+    assert [r.amount for r in versions.read(spark, fresh).collect()] == [2]
+
+
+def test_empty_text_in_a_partition_column(spark, fresh):
+    for v in ("1", "2"):
+        versions.upsert(table(spark, (1, "", v)), fresh, ["k"], LAYOUT)
+    assert [(r.k, r.amount) for r in versions.read(spark, fresh).collect()] == [(1, 2)]
