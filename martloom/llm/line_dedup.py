@@ -38,8 +38,7 @@ from martloom.llm.common import LOWER, batches, mixed, stored
 SHARDS = 256
 MIN_CHARS, MIN_DOCS = 40, 5
 SLOTS, KICKS = 4, 500  # entries of a bucket; moves before a filter grows
-_BLANK = " \t\n\x0b\x0c\r"
-_FOLD = {i: chr(b) for i, b in enumerate(LOWER[:128]) if i != b}
+_BLANK = b" \t\n\x0b\x0c\r"
 
 
 class CuckooFilter:
@@ -107,17 +106,22 @@ class CuckooFilter:
             size = 2 * max(size, 1)
 
 
-def line_key(line: str) -> str:
-    return line.strip(_BLANK).translate(_FOLD)
+def _key(line: bytes) -> bytes:
+    return line.strip(_BLANK).translate(LOWER)
 
 
-def _hashes(key: str) -> bytes:
-    return hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+def line_key(line: str) -> str:
+    return _key(line.encode("utf-8", "surrogatepass")).decode("utf-8", "surrogatepass")
 
 
 def _long_keys(text: str | None, min_chars: int) -> list[bytes | None]:
-    """Hash of the key of each line, None for short ones."""
-    return [_hashes(k) if len(k := line_key(x)) >= min_chars else None for x in (text or "").split("\n")]
+    """Hash of the key of each line, None for those of fewer code points than ``min_chars``."""
+    out: list[bytes | None] = []
+    for line in (text or "").encode("utf-8", "surrogatepass").split(b"\n"):
+        key = _key(line) if len(line) >= min_chars else b""
+        long = len(key) >= min_chars and (key.isascii() or len(key.decode("utf-8", "surrogatepass")) >= min_chars)
+        out.append(hashlib.blake2b(key, digest_size=16).digest() if long else None)
+    return out
 
 
 def postings(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
