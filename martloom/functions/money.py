@@ -22,6 +22,15 @@ def line_cost(unit_cost: Column | str, quantity: Column | str) -> Column:
     return F.round(col(unit_cost) * col(quantity), 2).try_cast("decimal(14,2)")
 
 
+def cents(amount: Column | str) -> Column:
+    """An amount of two decimals in whole cents; sums of them are plain additions of 64-bit numbers."""
+    return (col(amount) * F.lit(100)).cast("bigint")
+
+
+def from_cents(total: Column) -> Column:
+    return (total.cast("decimal(20,0)") / F.lit(100)).cast("decimal(24,2)")
+
+
 def ratio(part: Column, whole: Column, digits: int = 6) -> Column:
     """part / whole; NULL when the denominator is zero or missing."""
     return F.round(F.try_divide(part.cast("double"), whole.cast("double")), digits)

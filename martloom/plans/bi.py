@@ -96,18 +96,23 @@ def measures(sales: DataFrame, axes: Sequence[str] = (), filters: Column | None
 
 
 def star_month_category(fact: DataFrame, dates: DataFrame, products: DataFrame) -> DataFrame:
-    """Revenue and profit by year, month and category from the star schema."""
-    joined = fact.join(dates, "date_key").join(products.select("product_key", "category"), "product_key")
-    return month_category(joined)
+    """Revenue and profit by year, month and category from the star schema.
+
+    Facts are summed per day and category first, so only those few sums meet the calendar.
+    """
+    daily = fact.join(products.select("product_key", "category"), "product_key").groupBy("date_key", "category")
+    daily = daily.agg(F.sum(money.cents("revenue")).alias("_revenue"), F.sum(money.cents("profit")).alias("_profit"))
+    return _month_category(daily.join(dates.select("date_key", "year", "month_name"), "date_key"))
 
 
 def month_category(sales: DataFrame) -> DataFrame:
+    return _month_category(sales.withColumns({"_revenue": money.cents("revenue"), "_profit": money.cents("profit")}))
+
+
+def _month_category(sales: DataFrame) -> DataFrame:
     axes = ["year", "month_name", "category"]
-    return (
-        sales.groupBy(*axes)
-        .agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"))
-        .orderBy(*axes)
-    )
+    sums = [money.from_cents(F.sum(f"_{c}")).alias(c) for c in ("revenue", "profit")]
+    return sales.groupBy(*axes).agg(*sums).orderBy(*axes)
 
 
 def yearly_growth(sales: DataFrame) -> DataFrame:
