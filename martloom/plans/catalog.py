@@ -412,6 +412,29 @@ def incremental_append(spark, folder):
     return versions.read(spark, f"{lake}/bronze").groupBy(drop).agg(F.count(F.lit(1)).alias("landed_rows"))
 
 
+def ingest_after_crash(spark, folder):
+    """Rows per drop after three runs, the second of which died before its version became visible."""
+    landed, lake = _land_sales(spark, folder, "drops"), scratch_dir(spark, "lake")
+    pipeline.ingest_csv(spark, f"{landed}/drop_year=199[0-6]", lake, "bronze", retail.RAW_COLUMNS)
+    lost = pipeline.new_files(spark, f"{landed}/drop_year=199[7-8]", lake, "bronze")
+    files.record(lost, f"{lake}/bronze_files", 2)
+    for years in ("1999", "*", "*"):
+        pipeline.ingest_csv(spark, f"{landed}/drop_year={years}", lake, "bronze", retail.RAW_COLUMNS)
+    drop = F.regexp_extract(files.SOURCE_FILE, r"drop_year=(\d+)", 1).cast("int").alias("drop_year")
+    return versions.read(spark, f"{lake}/bronze").groupBy(drop).agg(F.count(F.lit(1)).alias("landed_rows"))
+
+
+def restore_then_run(spark, folder):
+    """Transactions of the fact after a drop, another drop, a restore of the first version, and one more run."""
+    landed, lake = _land_sales(spark, folder, "drops"), scratch_dir(spark, "lake")
+    for years in ("199[0-7]", "*"):
+        pipeline.ingest_csv(spark, f"{landed}/drop_year={years}", lake, "bronze_sales", retail.RAW_COLUMNS)
+        pipeline.merge_fact(spark, lake, pipeline.MONTHLY_FACT)
+    versions.restore(spark, f"{lake}/fact_sales", 1)
+    pipeline.merge_fact(spark, lake, pipeline.MONTHLY_FACT)
+    return versions.read(spark, f"{lake}/fact_sales").select("transaction_id")
+
+
 def snapshot_refresh(spark, folder):
     """Bronze snapshot of a relational table, replaced as a whole by a second load."""
     lake = scratch_dir(spark, "refresh")
@@ -616,7 +639,7 @@ QUERIES: dict[str, Query] = {
         stg_orders, fct_orders, dim_customer_activity, dim_product_current, dim_date_orders,
         feed_increment, feed_pages, feed_page_slice, hwm_lookup, hwm_advance, id_overlap,
         scan_csv_raw, scan_json_pages, land_json_roundtrip, staging_mapped, files_modified_after, new_files_anti,
-        incremental_append, snapshot_refresh, layout_pruned_scan,
+        incremental_append, ingest_after_crash, restore_then_run, snapshot_refresh, layout_pruned_scan,
         merge_upsert, merge_partial_update, merge_counts, dim_type1_upsert, insert_missing,
         snapshot_current, snapshot_as_of, snapshot_history, snapshot_restore,
         dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_suite,

@@ -429,6 +429,8 @@ from fx_bronze"""),
 select distinct '/landing/orders_' || strftime(modified_at, '%Y-%m') || '.json' as path
 from fx_feed where modified_at >= timestamp '1999-01-01 00:00:00'"""),
     "incremental_append": _with(BRONZE, DROPS),
+    "ingest_after_crash": _with(BRONZE, DROPS),
+    "restore_then_run": _with(BRONZE, "select distinct transaction_id from judged where reason is null"),
     "stream_file_ingest": _with(BRONZE, DROPS),
     "snapshot_refresh": "select * from customer",
     "layout_pruned_scan": _with(LINES, """

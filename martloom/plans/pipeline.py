@@ -93,6 +93,17 @@ def unprocessed(spark: SparkSession, bronze: str, table: str) -> tuple[DataFrame
     return versions.added_since(spark, bronze, done), newest
 
 
+def merge_fact(spark: SparkSession, lake: str, layout: Layout) -> None:
+    """Clean what bronze holds beyond the fact's mark, and upsert it."""
+    fresh, batch = unprocessed(spark, f"{lake}/bronze_sales", f"{lake}/fact_sales")
+    if fresh is None:
+        return
+    fact = retail.clean_sales(fresh, files.newest_landed_first())
+    if "order_month" in layout.partition_by:
+        fact = fact.withColumn("order_month", month_of("order_date"))
+    versions.upsert(fact, f"{lake}/fact_sales", ["transaction_id"], layout, writer="bronze", batch_id=batch)
+
+
 # ---- retail run --------------------------------------------------------------
 
 
@@ -132,14 +143,7 @@ def run_retail(
     if fresh is not None:
         rejected = retail.stamped_rejects(retail.reject_log(fresh))
         versions.append(rejected, f"{lake}/rejects", writer="bronze", batch_id=batch)
-    fresh, batch = unprocessed(spark, f"{lake}/bronze_sales", f"{lake}/fact_sales")
-    if fresh is not None:
-        fact = retail.clean_sales(fresh, files.newest_landed_first())
-        if "order_month" in fact_layout.partition_by:
-            fact = fact.withColumn("order_month", month_of("order_date"))
-        versions.upsert(
-            fact, f"{lake}/fact_sales", ["transaction_id"], fact_layout, writer="bronze", batch_id=batch
-        )
+    merge_fact(spark, lake, fact_layout)
 
     for name in ("customers", "products"):
         silver = retail.silver_dimension(versions.read(spark, f"{lake}/bronze_{name}"))
