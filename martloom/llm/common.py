@@ -103,10 +103,8 @@ def word_hashes(raws: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     bounds = np.searchsorted(starts, edges)
     if not len(starts):
         return np.zeros(0, dtype=np.uint64), bounds
-    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data)))) if starts[0] == 0 else None
-    if place is None:
-        place = np.arange(len(data) - starts[0]) - np.repeat(starts - starts[0], np.diff(np.append(starts, len(data))))
-        data, blank, starts = data[starts[0]:], blank[starts[0]:], starts - starts[0]
+    data, blank, starts = data[starts[0] :], blank[starts[0] :], starts - starts[0]
+    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
     values = _BYTE[data] * _powers(int(place.max()) + 1)[place]
     values[blank] = 0
     return mixed(np.add.reduceat(values, starts)), bounds
