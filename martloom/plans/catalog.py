@@ -8,6 +8,8 @@ write to a fresh folder under ``spark.checkpoint.dir`` and read back from it.
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -382,24 +384,28 @@ def staging_mapped(spark, folder):
     return versions.read(spark, path)
 
 
+def _drops_of(found: DataFrame) -> DataFrame:
+    return found.select(F.regexp_extract("path", r"drop_year=(\d+)", 1).cast("int").alias("drop_year")).distinct()
+
+
 def files_modified_after(spark, folder):
-    """Landed files newer than a far past and a far future time."""
-    landed = _land_sales(spark, folder, "modified")
-    newer = files.list_files(spark, landed, "1990-01-01T00:00:00")
-    none = files.list_files(spark, landed, "2990-01-01T00:00:00")
-    marks = newer.select(F.lit(1).alias("past"), F.lit(0).alias("future")).unionByName(
-        none.select(F.lit(0).alias("past"), F.lit(1).alias("future"))
-    )
-    return marks.agg((F.sum("past") > 0).alias("newer_than_past"), (F.sum("future") > 0).alias("newer_than_future"))
+    """Drops that landed after the last change of an earlier batch, found by their time of change."""
+    rows = _bronze(spark, folder).withColumn("drop_year", F.year("staged_on")).select(*retail.RAW_COLUMNS, "drop_year")
+    path = scratch_dir(spark, "modified")
+    layout.land_csv(rows.filter("drop_year < 1999"), f"{path}/early", ["drop_year"])
+    last = files.list_files(spark, path).agg(F.max("modified_at").alias("m")).first().m
+    # the reader's cut-off has whole seconds and the session's zone
+    cut = last.replace(microsecond=0) + dt.timedelta(seconds=1)
+    time.sleep(max(0.0, cut.timestamp() + 0.1 - time.time()))
+    layout.land_csv(rows.filter("drop_year >= 1999"), f"{path}/late", ["drop_year"])
+    return _drops_of(files.list_files(spark, path, cut.astimezone(dt.UTC).strftime("%Y-%m-%dT%H:%M:%S")))
 
 
 def new_files_anti(spark, folder):
-    """Files by month of change; those before 1999 are known."""
-    rows = inputs.feed(inputs.tables(spark, folder))
-    month = F.date_format("modified_at", "yyyy-MM")
-    landed = rows.select(F.concat(F.lit("/landing/orders_"), month, F.lit(".json")).alias("path")).distinct()
-    known = landed.filter(F.col("path") < "/landing/orders_1999")
-    return files.unseen(landed, known)
+    """Landed drops that are not among the files known so far."""
+    landed = _land_sales(spark, folder, "unseen")
+    known = files.list_files(spark, f"{landed}/drop_year=199[0-8]")
+    return _drops_of(files.unseen(files.list_files(spark, landed), known))
 
 
 def incremental_append(spark, folder):

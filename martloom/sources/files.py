@@ -80,10 +80,10 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 
 
 def list_files(spark: SparkSession, glob: str, modified_after: str | None = None) -> DataFrame:
-    """Path, time and size of the files of a landing folder; contents are not read."""
+    """Path, time and size of the files of a landing folder (changed after a time in UTC); contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
+        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
     try:
         found = reader.load(glob)
     except AnalysisException as problem:
