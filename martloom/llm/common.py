@@ -37,8 +37,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first collection only makes the plan of the write unreachable
+        gc.collect()
+        spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

@@ -38,7 +38,9 @@ from martloom.llm.common import batches, components, discard, gram_hashes, mixed
 
 WINDOW, GRAM = 20, 6
 _EDGE, _REPEAT, _LOCAL = 0, 1, 2
-FOUND = "key bigint, kind int, doc_id bigint, start bigint, n bigint, ends bigint"
+# ``code`` is four times the start; plus 1 if the edge was met again in its slice; plus 2 for a stretch of
+# local repeats, whose length is in ``ends``. Four columns keep the rows short that are shuffled.
+FOUND = "key bigint, doc_id bigint, code bigint, ends bigint"
 RESOLVED = "kind int, doc_id bigint, start bigint, n bigint, ends bigint, src_id bigint, src_start bigint"
 
 
@@ -110,14 +112,13 @@ def _candidates(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             source = begin[which]
             again = (doc_id != doc_id[source]) | (start != start[source])
             keep = np.sort(begin)
-            yield _found(edges[at][keep], _EDGE, doc_id[keep], start[keep], np.minimum(times[which[keep]], 2), _ends(nodes, at[keep]))
+            yield _found(edges[at][keep], doc_id[keep], start[keep] * 4 + (times[which[keep]] > 1), _ends(nodes, at[keep]))
             spot = np.flatnonzero(again)
             if len(spot):
                 cut = np.flatnonzero((np.diff(spot) != 1) | (np.diff(at[spot]) != 1) | (np.diff(doc[spot]) != 0)) + 1
                 heads = spot[np.concatenate([[0], cut])]
                 sizes = np.diff(np.concatenate([[0], cut, [len(spot)]]))
-                none = np.zeros(len(heads), dtype=np.uint64)
-                yield _found(mixed(doc_id[heads].astype(np.uint64)), _LOCAL, doc_id[heads], start[heads], sizes, none)
+                yield _found(mixed(doc_id[heads].astype(np.uint64)), doc_id[heads], start[heads] * 4 + 2, sizes)
 
 
 def _ends(nodes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -126,14 +127,13 @@ def _ends(nodes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (nodes[at] >> half << half) | (nodes[at + 1] >> half)
 
 
-def _found(key, kind, doc_id, start, n, ends) -> pa.RecordBatch:
-    columns = [key.view(np.int64), np.full(len(key), kind, dtype=np.int32), doc_id, start, n, ends.view(np.int64)]
-    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4]
-    return pa.record_batch([pa.array(np.asarray(c), t) for c, t in zip(columns, kinds, strict=True)], names=["key", "kind", "doc_id", "start", "n", "ends"])
+def _found(key, doc_id, code, ends) -> pa.RecordBatch:
+    columns = [key.view(np.int64), doc_id, code, ends.view(np.int64)]
+    return pa.record_batch([pa.array(np.asarray(c), pa.int64()) for c in columns], names=["key", "doc_id", "code", "ends"])
 
 
 def _resolve(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, kind, doc_id and start: sources of repeated edges, repeats with their source, local repeats.
+    """Rows sorted by key, ends, doc_id and code: sources of repeated edges, repeats with their source, local repeats.
 
     The rows of the last key of a batch wait for the next one; there is one per task at most.
     """
@@ -154,17 +154,17 @@ def _resolve(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sorted_out(batch: pa.RecordBatch) -> pa.RecordBatch:
     c = {name: batch.column(name).to_numpy() for name in batch.schema.names}
-    edge = c["kind"] == _EDGE
+    start, edge = c["code"] >> 2, c["code"] & 2 == 0
     key = np.stack([c["key"], c["ends"]])
     new = np.ones(len(edge), dtype=bool)
     new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0) | ~edge[1:] | ~edge[:-1]
     group = np.cumsum(new) - 1
     source = np.flatnonzero(new)[group]
-    many = (np.bincount(group)[group] > 1) | (np.maximum.reduceat(c["n"], np.flatnonzero(new))[group] > 1)
-    repeat = edge & ((c["doc_id"] != c["doc_id"][source]) | (c["start"] != c["start"][source]))
+    many = (np.bincount(group)[group] > 1) | (np.maximum.reduceat(c["code"] & 1, np.flatnonzero(new))[group] > 0)
+    repeat = edge & ((c["doc_id"] != c["doc_id"][source]) | (start != start[source]))
     kind = np.where(edge, np.where(repeat, _REPEAT, _EDGE), _LOCAL).astype(np.int32)
     keep = ~edge | repeat | (new & many)
-    columns = [kind, c["doc_id"], c["start"], np.where(edge, 1, c["n"]), np.where(repeat, 0, c["ends"]), c["doc_id"][source], c["start"][source]]
+    columns = [kind, c["doc_id"], start, np.where(edge, 1, c["ends"]), np.where(edge & ~repeat, c["ends"], 0), c["doc_id"][source], start[source]]
     names = ["kind", "doc_id", "start", "n", "ends", "src_id", "src_start"]
     return pa.record_batch([pa.array(x[keep]) for x in columns], names=names)
 
@@ -178,7 +178,7 @@ def repeated_edges(docs: DataFrame) -> DataFrame:
     lists = stored(lists, "repeats-lists")
     discard(marked)
     found = docs.join(lists, "doc_id").mapInArrow(_candidates, FOUND)
-    dealt = found.repartition("key").sortWithinPartitions("key", "kind", "ends", "doc_id", "start")
+    dealt = found.repartition("key").sortWithinPartitions("key", "ends", "doc_id", "code")
     out = stored(dealt.mapInArrow(_resolve, RESOLVED), "repeats-resolved")
     discard(lists)
     return out
