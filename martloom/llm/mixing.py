@@ -6,10 +6,12 @@ document has a rate, how often it is to be seen, and the expected tokens of a
 domain are the sum of rate x tokens x posterior. The rates are fitted so that
 these totals come as near as possible, in least squares, to weight x budget.
 
-The fit is a projected gradient: rates begin at one, move along the posteriors
-against the residual (scaled by the domains' second moments) and are cut to
-[0, cap]. A step needs one distributed sum per domain; a rate follows from the
-document's posteriors and the few steps taken, so no rate is stored or collected.
+The fit solves the least squares with rates in [0, cap] in its dual, which has one
+number per domain: with a slight pull of every rate towards one (which also
+decides between equally good rates), the best rate of a document is
+1 - posterior . z, cut to [0, cap], and z is found by Newton steps on stored rows
+while the pull is made weaker. A step needs a few distributed sums per domain; a
+rate follows from the document's posteriors and z, so no rate is stored or collected.
 
 Defined cases: documents without words have no tokens, and count only in their
 own rate; null ids take part; labels without an id or value train nothing; with
@@ -20,6 +22,7 @@ doc_id and text are carried along or not read.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 from functools import reduce
 
@@ -34,7 +37,10 @@ from martloom.llm.quality import SAMPLE, features, held_out, logit_scores, train
 
 DOMAINS = ("plain", "toxic", "poor")
 TARGETS = {"plain": 0.92, "toxic": 0.03, "poor": 0.05}
-STEPS, CAP = 25, 1.0  # projected steps, at most; how often a document may be seen
+STEPS, CAP = 25, 1.0  # projected steps of fit_rates, at most; how often a document may be seen
+PULLS = (1e-1, 1e-3, 1e-5, 1e-6)  # pull towards rate one; the last one adds at most half of it to the squared miss, as a share of all tokens
+SETTLED, PASSES = 1e-7, 300  # miss of the optimality conditions, as a share of all tokens; passes after which the fit says that it has not settled
+LENGTHS = 0.5 ** np.arange(24)  # of a Newton step
 
 
 def domain(quality: str = "quality", toxic: str = "toxic") -> Column:
@@ -94,13 +100,78 @@ def _totals(rows: DataFrame, rates: Column) -> np.ndarray:
     return np.array([x or 0.0 for x in rows.agg(*sums).first()])
 
 
+def _wanted(weights: np.ndarray, totals: np.ndarray, budget: float | None) -> np.ndarray:
+    """Without a ``budget`` it is the one at which the domain with the largest target is used up once."""
+    return weights * (budget or totals[weights.argmax()] / weights.max())
+
+
+def measure(tokens: np.ndarray, posteriors: np.ndarray, tried: list[np.ndarray], cap: float) -> np.ndarray:
+    """For each z tried: the totals of the domains, the squared distance of the rates from one, the moments of rows with an uncut rate."""
+    out = []
+    for z in tried:
+        free = 1 - posteriors @ z
+        rates = np.clip(free, 0, cap)
+        inside = posteriors * (tokens * ((free > 0) & (free < cap)))[:, None]
+        out.append(np.concatenate([(tokens * rates) @ posteriors, [tokens @ (rates - 1) ** 2], (inside.T @ posteriors).ravel()]))
+    return np.array(out)
+
+
+def _measured(rows: DataFrame, tried: list[np.ndarray], cap: float) -> np.ndarray:
+    """measure() over all rows; a task sends the driver one row of sums."""
+    n = len(DOMAINS)
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(tried), n + 1 + n * n))
+        for batch in found:
+            posteriors = batch.column("posterior").flatten().to_numpy().reshape(-1, n)
+            sums += measure(batch.column("n_tokens").to_numpy().astype(float), posteriors, tried, cap)
+        yield pa.record_batch([pa.array([sums.ravel()], pa.list_(pa.float64()))], names=["sums"])
+
+    parts = rows.select("n_tokens", "posterior").mapInArrow(run, "sums array<double>").collect()
+    return np.array([r["sums"] for r in parts] or [[0.0] * (len(tried) * (n + 1 + n * n))]).sum(axis=0).reshape(len(tried), -1)
+
+
+def least_squares(
+    rows: DataFrame, targets: Mapping[str, float], budget: float | None = None, cap: float = CAP
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(steps, reached totals, wanted totals) of the rates in [0, cap] with the least squared miss, for rows with n_tokens and posterior.
+
+    The steps are a single one, z. With totals as shares of all tokens and y =
+    pull * z, the dual to minimise is |y|^2 / 2 + y . (wanted - totals(z)) -
+    pull / 2 * distance(z); at its minimum y is the miss.
+    """
+    n = len(DOMAINS)
+    weights = np.array([targets[d] for d in DOMAINS], dtype=float)
+    weights /= weights.sum()
+    once = _measured(rows, [np.zeros(n)], np.inf)[0]
+    whole = once[:n].sum()
+    if not whole:
+        return [], np.zeros(n), np.zeros(n)
+    wanted = _wanted(weights, once[:n], budget)
+    goal, y, passes = wanted / whole, np.zeros(n), 0
+    for pull in PULLS:
+        now = _measured(rows, [y / pull], cap)[0] / whole
+        while np.abs(slope := y + goal - now[:n]).max() > (SETTLED if pull == PULLS[-1] else 1e-2):
+            if passes == PASSES:
+                warnings.warn(f"the mixture's rates have not settled: {np.abs(slope).max():.1e} of all tokens", stacklevel=2)
+                break
+            step = -np.linalg.solve(np.eye(n) + now[n + 1 :].reshape(n, n) / pull, slope)
+            tried = [y + length * step for length in LENGTHS]
+            found = _measured(rows, [t / pull for t in tried], cap) / whole
+            value = [t @ t / 2 + t @ (goal - x[:n]) - pull / 2 * x[n] for t, x in zip(tried, found, strict=True)]
+            best = int(np.argmin(value))
+            y, now, passes = tried[best], found[best], passes + 1
+    return [y / PULLS[-1]], now[:n] * whole, wanted
+
+
 def fit_rates(
     rows: DataFrame, targets: Mapping[str, float], budget: float | None = None, cap: float = CAP, steps: int = STEPS
 ) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(steps, reached totals, wanted totals) for rows with n_tokens and posterior.
+    """(steps, reached totals, wanted totals) by at most ``steps`` projected steps in the metric of the inverse moments.
 
-    Without a ``budget`` it is the one at which the domain with the largest
-    target is used up once.
+    This is not the least squares that the mixture uses: where a rate is cut, the
+    miss is weighted by the inverse of the domains' second moments, so a scarce
+    domain that cannot be filled lowers the rates of others (see least_squares).
     """
     weights = np.array([targets[d] for d in DOMAINS], dtype=float)
     weights /= weights.sum()
@@ -110,7 +181,7 @@ def fit_rates(
     whole = moments.sum()
     if not whole:
         return [], np.zeros(n), np.zeros(n)
-    wanted = weights * (budget or moments.sum(axis=1)[weights.argmax()] / weights.max())
+    wanted = _wanted(weights, moments.sum(axis=1), budget)
     scale = np.linalg.inv(moments + np.eye(n) * whole * 1e-3)
     taken: list[np.ndarray] = []
     reached = _totals(rows, rate(taken, cap))
@@ -136,7 +207,7 @@ def mixed_rates(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]
     """The documents with n_tokens, posterior, rate and copies (the rate rounded up or down by chance)."""
     models = fit_domains(docs, labels)
     rows = stored(with_posteriors(docs.select("doc_id", "text"), models).drop("text"), "mixing-posteriors")
-    steps, _, _ = fit_rates(rows, targets, cap=cap)
+    steps, _, _ = least_squares(rows, targets, cap=cap)
     rated = rows.withColumn("rate", rate(steps, cap))
     return rated.withColumn("copies", F.floor(F.col("rate") + chance()).cast("int")), steps
 
@@ -146,7 +217,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TAR
     models = fit_domains(docs, labels)
     names = ("__n_tokens", "__posterior")
     rows = with_posteriors(docs.select("text"), models).drop("text")
-    steps, _, _ = fit_rates(stored(rows, "mixing-posteriors"), targets)
+    steps, _, _ = least_squares(stored(rows, "mixing-posteriors"), targets)
     rated = with_posteriors(docs, models, *names).where(F.floor(rate(steps, posterior=names[1]) + chance()) >= 1)
     return rated.select(*docs.columns)
 

@@ -312,6 +312,29 @@ def test_mixture_by_brute_force(spark):
     assert np.allclose([r[0] for r in free], rates)
 
 
+def test_mixture_is_the_least_squares(spark, monkeypatch):
+    """Against the bounded least squares of an accelerated projected gradient on the plain squared miss, one domain scarce."""
+    make = np.random.default_rng(6)
+    sharp = [make.dirichlet(np.where(np.arange(3) == k, 9, 0.3), n) for k, n in enumerate([860, 100, 5])]
+    shares, tokens = np.concatenate(sharp), make.integers(1, 900, 965).astype(float)
+    rows = spark.createDataFrame([(i, "", int(n), p.tolist()) for i, (n, p) in enumerate(zip(tokens, shares, strict=True))], "doc_id long, text string, n_tokens long, posterior array<double>")
+    monkeypatch.setattr(mixing, "fit_domains", lambda docs, labels: [])
+    monkeypatch.setattr(mixing, "with_posteriors", lambda docs, models: docs.join(rows.drop("text"), "doc_id"))
+    rated, _ = mixing.mixed_rates(rows.select("doc_id", "text"), None)
+    rates = np.array([r["rate"] for r in rated.orderBy("doc_id").collect()])
+    weights = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
+    wanted = weights * (tokens @ shares)[0] / weights[0] / tokens.sum()
+    miss = lambda r: (r * tokens) @ shares / tokens.sum() - wanted
+    size = np.linalg.eigvalsh(shares.T @ (shares * tokens[:, None]) / tokens.sum()).max()
+    best = ahead = np.ones(len(tokens))
+    for k in range(1, 10_000):
+        new = np.clip(ahead - shares @ miss(ahead) / size, 0, mixing.CAP)
+        best, ahead = new, new + (k - 1) / (k + 2) * (new - best)
+    assert (0 <= rates).all() and (rates <= mixing.CAP).all()
+    assert np.linalg.norm(miss(rates)) <= np.linalg.norm(miss(best)) * 1.001 + 1e-5
+    assert np.linalg.norm(miss(best)) > 0.005 and rates[:860].mean() > 0.999
+
+
 def test_pipeline_equals_its_stages(spark, folder):
     """run() against the stages' decisions, taken again one document at a time."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
