@@ -4,11 +4,15 @@ A rotation of the principal directions is learned on a bounded sample so that
 the signs of the rotated vectors lose as little as possible (iterative
 quantisation); two starts give two rotations and a code of up to 128 bits. The
 code is cut into chunks of ``CHUNK`` bits, a hash table each. Two vectors are
-candidates if some chunk differs in one bit at most; at a cosine of 0.95 a bit
-differs with probability 0.1, so the eight tables miss such a pair once in 300
-times, nearer ones far less often. Each candidate pair is looked at in the first
-of its tables only, must agree in most bits of the whole code, and is then
-ranked by the cosine of the original vectors in double precision.
+candidates if some chunk differs in one bit at most. How many bits a pair at the
+wanted cosine differs in depends on the table: 0.1 of them where vectors have no
+common part, many more where they share a direction, since codes are taken about
+the centre. So pairs at exactly this cosine are made from the sample, and
+rotations are added, then chunks halved, until ``RECALL`` of them meet. Each
+candidate pair is looked at in the first of its tables only, must agree in as
+many bits of the whole code as made pairs do, and is then ranked by the cosine of
+the original vectors in double precision. With a large common part the made
+chunks are short and the candidates near all pairs.
 
 Identical vectors are one class from the start: they meet in no table, and their
 number only enters the count of links.
@@ -33,7 +37,8 @@ from martloom.llm.common import components, mixed, stored
 
 SAMPLE = 8_000  # vectors that the rotations are learned on, at most
 CHUNK, BITS, ROTATIONS, ROUNDS = 16, 64, 2, 30
-FAR = 0.28  # share of differing bits beyond which a candidate is no pair; 0.1 is expected at the threshold
+FAR = 0.28  # share of differing bits beyond which a candidate is no pair, at least; 0.1 is expected at the threshold without a common part
+RECALL, MOST = 0.995, 24  # share of made pairs that meet in a table; rotations at most before chunks are halved
 
 
 def matrix(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -59,10 +64,10 @@ def unit(rows: np.ndarray) -> np.ndarray:
 class Codes:
     """Centre and rotated directions; ``projections`` has one matrix per rotation."""
 
-    def __init__(self, centre: np.ndarray, projections: list[np.ndarray]):
-        self.centre, self.projections = centre, projections
+    def __init__(self, centre: np.ndarray, projections: list[np.ndarray], chunk: int = CHUNK, far: float = FAR):
+        self.centre, self.projections, self.far = centre, projections, far
         self.bits = projections[0].shape[1]
-        self.chunk = min(CHUNK, self.bits)
+        self.chunk = min(chunk, self.bits)
         self.chunks = self.bits // self.chunk  # per rotation
 
     def codes(self, rows: np.ndarray) -> np.ndarray:
@@ -71,6 +76,53 @@ class Codes:
         return np.stack([((rows - self.centre) @ p > 0) @ powers for p in self.projections], axis=1).astype(np.uint64)
 
 
+def made_pairs(rows: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and partners at this cosine: each turned towards another vector of the sample, and in a random direction."""
+    make = np.random.default_rng(1)
+    rows = rows[:4_000]
+    sides = []
+    for other in (rows[make.permutation(len(rows))], make.standard_normal(rows.shape)):
+        away = other - (other * rows).sum(axis=1, keepdims=True) * rows
+        some = (away * away).sum(axis=1) > 1e-12
+        sides.append((rows[some], cosine * rows[some] + np.sqrt(max(0.0, 1 - cosine * cosine)) * unit(away[some])))
+    return np.concatenate([s[0] for s in sides]), np.concatenate([s[1] for s in sides])
+
+
+def meeting(codes: Codes, one: np.ndarray, two: np.ndarray) -> tuple[float, float]:
+    """Share of the pairs that meet in a table (the lower of the two kinds of made pairs), and differing bits of nearly all, as a share."""
+    differ = codes.codes(one) ^ codes.codes(two)
+    shifts = np.arange(codes.chunks, dtype=np.uint64) * np.uint64(codes.chunk)
+    parts = (differ[:, :, None] >> shifts) & np.uint64((1 << codes.chunk) - 1)
+    met = (np.bitwise_count(parts) <= 1).any(axis=(1, 2))
+    apart = np.bitwise_count(differ).sum(axis=1) / (codes.bits * differ.shape[1])
+    half = len(met) // 2
+    return float(min(met[:half].mean(), met[half:].mean()) if half else met.mean()), float(np.quantile(apart, 0.9995))
+
+
+def fitted(rows: np.ndarray, cosine: float) -> Codes:
+    """Codes with as many rotations, as short chunks and as wide a limit as made pairs at ``cosine`` need."""
+    codes = learn(rows)
+    one, two = made_pairs(rows, cosine)
+    if not len(one):
+        return codes
+    width, count = codes.chunk, len(codes.projections)
+    turns = codes.projections
+    while True:
+        codes = Codes(codes.centre, turns[:count], width)
+        share, far = meeting(codes, one, two)
+        codes.far = max(FAR, min(1.0, far + 0.05))
+        if share >= RECALL:
+            return codes
+        if count < MOST:
+            count = min(MOST, count * 2)
+        elif width > 1:
+            width, count = width // 2, ROTATIONS
+        else:
+            return codes
+        if count > len(turns):
+            turns = learn(rows, count).projections
+
+
 def learn(rows: np.ndarray, rotations: int = ROTATIONS, rounds: int = ROUNDS) -> Codes:
     """Principal directions, rotated so that signs of the rows are near the rows themselves."""
     centre = rows.mean(axis=0) if len(rows) else np.zeros(rows.shape[1])
@@ -90,11 +142,11 @@ def learn(rows: np.ndarray, rotations: int = ROTATIONS, rounds: int = ROUNDS) ->
     return Codes(centre, out)
 
 
-def fit(vectors: DataFrame, sample: int = SAMPLE) -> Codes:
-    """Learn the codes on at most ``sample`` vectors, taken by the hash of their id."""
+def fit(vectors: DataFrame, sample: int = SAMPLE, cosine: float = 0.95) -> Codes:
+    """Learn the codes for pairs from ``cosine`` on, on at most ``sample`` vectors, taken by the hash of their id."""
     rows = vectors.select("vec_id", "embedding").where("embedding is not null").orderBy(F.xxhash64("vec_id")).limit(sample)
     found, good = matrix(rows.select("embedding").toArrow().column(0).combine_chunks())
-    return learn(unit(found[good]) if good.any() else np.zeros((0, found.shape[1])))
+    return fitted(unit(found[good]) if good.any() else np.zeros((0, found.shape[1])), cosine)
 
 
 def encoded(vectors: DataFrame, codes: Codes) -> DataFrame:
@@ -159,7 +211,7 @@ def _pairs(reps: DataFrame, codes: Codes) -> DataFrame:
         first = F.when(F.bit_count(chunk(place)) <= 1, F.lit(place)).otherwise(first)
     apart = sum((F.bit_count(x) for x in differ[1:]), F.bit_count(differ[0]))
     found = side("a", True).join(side("b", False), ["bucket", "place"])
-    return found.where((F.col("b") < F.col("a")) & (apart <= int(FAR * codes.bits * n)) & (first == F.col("place"))).select("a", "b")
+    return found.where((F.col("b") < F.col("a")) & (apart <= int(codes.far * codes.bits * n)) & (first == F.col("place"))).select("a", "b")
 
 
 def _near(cosine: float):
@@ -174,7 +226,7 @@ def _near(cosine: float):
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.95, codes: Codes | None = None) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
-    codes = codes or fit(vectors)
+    codes = codes or fit(vectors, cosine=cosine)
     rows = stored(encoded(vectors, codes), "vectors-encoded")
     usable = rows.where("key is not null")
     classes = stored(usable.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors-classes")

@@ -259,6 +259,21 @@ def test_hamming_tables_recall(spark):
     assert 0.97 * near.sum() <= total <= near.sum() and near.sum() > 100
 
 
+def test_vectors_with_a_common_part(spark):
+    """80 % of the squared length is common: links against all pairs, near the threshold."""
+    make = np.random.default_rng(8)
+    common = make.standard_normal(64)
+    own = np.repeat(make.standard_normal((150, 64)), 4, axis=0) + 0.55 * make.standard_normal((600, 64))
+    rows = 2 * common / np.linalg.norm(common) + own / np.linalg.norm(own, axis=1, keepdims=True)
+    rows = rows.astype(np.float32)
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert near.sum() > 500 and (near & (unit @ unit.T < 0.96)).sum() > 100
+    found = embedding_dedup.near_vectors(_vectors(spark, [(i, v.tolist(), 0, "x") for i, v in enumerate(rows)])).collect()
+    assert 0.985 * near.sum() <= sum(r["n_links"] for r in found) <= near.sum()
+
+
 def test_surrogates(spark):
     text = (
         "Frau Anna Schmidt, Mr. Smith, Mrs Smith, Mr Smith; Господин Иванов. 4111 1111 1111 1111 and 4111111111111111. "
