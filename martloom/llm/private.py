@@ -1,7 +1,7 @@
 """Surrogates for personal data, by DataFrame expressions only.
 
 Entities (mail and network addresses, phone, card and social security numbers,
-hexadecimal secrets, names behind a form of address) are found by one pattern.
+bank accounts, hexadecimal and other secrets, names behind a form of address) are found by one pattern.
 An entity is known by its kind and canonical form (digits without grouping,
 letters in lower case), so spellings of one entity share a surrogate all over the
 corpus. A surrogate comes from a keyed hash and keeps kind and format: lengths,
@@ -29,21 +29,30 @@ from pyspark.sql import functions as F
 from martloom.llm.common import stored
 
 KEY = "set a secret of your own"
-ROUNDS = 12  # collision rounds before a surrogate may grow longer than its original
+ROUNDS = 12  # collision rounds before a surrogate may grow longer than its original; a name gets a syllable more each round
 
 _EDGE, _NO_MORE = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _WOMEN, _MEN = r"(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа)", r"(?:Mr|Herr|Monsieur|Señor|Sr|Господин)"
+_HEX = r"[0-9A-Fa-f]{1,4}"
+_SOME_HEX = f"(?:{_HEX}(?::{_HEX}){{0,6}})?"
+_CALLING = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"  # country code
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "iban": _EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _NO_MORE,
     "ip": _EDGE + r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\p{L}\p{N}]|\.\d)",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}" + _NO_MORE,
+    "ipv6": r"(?<![\p{L}\p{N}:])(?=[0-9A-Fa-f:]{0,39}[0-9])(?:(?:" + _HEX + r":){7}" + _HEX + f"|{_SOME_HEX}::{_SOME_HEX})" + r"(?![\p{L}\p{N}:])",
+    "phone": r"(?<![\p{L}\p{N}+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}" + _NO_MORE
+    + r"|\+\d(?:(?:[ .()/-](?!\d{3}-\d{2}-\d{4}|\d{4}[ -]\d{4}[ -]\d{4})){0,2}\d){6,14}" + _NO_MORE
+    + r"|(?<![.-])\d{3}-\d{4}(?![\p{L}\p{N}]|[.-]\d))",
     "ssn": _EDGE + r"\d{3}-\d{2}-\d{4}" + _NO_MORE,
-    "card": _EDGE + r"(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{13,19})" + _NO_MORE,
+    "card": _EDGE + r"(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})" + _NO_MORE,
     "secret": _EDGE + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})" + _NO_MORE,
+    "token": r"(?<![\p{L}\p{N}+/_-])(?:AKIA[0-9A-Z]{16}|[spr]k[-_][A-Za-z0-9_-]{16,128}|gh[pousr]_[A-Za-z0-9]{36,128}|xox[abprs]-[A-Za-z0-9-]{10,128}"
+    + r"|(?=[^a-z]{0,127}[a-z])(?=[^A-Z]{0,127}[A-Z])(?=[^0-9]{0,127}[0-9])[A-Za-z0-9+/_-]{32,128}={0,2})(?![\p{L}\p{N}+/_-])",
     "name": _EDGE + f"(?:{_WOMEN}|{_MEN})" + r"\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_HINT = r"[0-9@]|[0-9a-fA-F]{32}|" + f"{_WOMEN}|{_MEN}"  # every entity has one of these
+_HINT = r"[0-9@]|[spr]k[-_]|gh[pousr]_|xox|AKIA|[0-9a-fA-F]{32}|" + f"{_WOMEN}|{_MEN}"  # every entity has one of these
 _DIGITS_ONLY = ("phone", "ssn", "card")
 # Syllables of invented names, by script; a name of a woman and of a man end differently.
 _SYLLABLES = {
@@ -71,7 +80,8 @@ def _canonical(kind: Column, raw: Column) -> Column:
     title = F.when(raw.rlike(f"^{_WOMEN}"), F.lit("f:")).otherwise(F.lit("m:"))
     name = F.concat(title, F.lower(F.regexp_replace(raw, f"^(?:{_WOMEN}|{_MEN})" + r"\.? ", "")))
     digits = F.regexp_replace(raw, "[^0-9]", "")
-    return F.when(kind.isin(*_DIGITS_ONLY), digits).when(kind == "name", name).otherwise(F.lower(raw))
+    digits = F.concat(F.when((kind == "phone") & raw.startswith("+"), "+").otherwise(""), digits)
+    return F.when(kind == "token", raw).when(kind == "iban", F.regexp_replace(raw, " ", "")).when(kind.isin(*_DIGITS_ONLY), digits).when(kind == "name", name).otherwise(F.lower(raw))
 
 
 def _luhn(body: Column) -> Column:
@@ -84,6 +94,13 @@ def _luhn(body: Column) -> Column:
     return ((10 - F.aggregate(doubled, F.lit(0), lambda a, x: a + x) % 10) % 10).cast("string")
 
 
+def _rest(text: Column) -> Column:
+    """Rest of a bank account number by 97, letters as 10 to 35."""
+    places = F.sequence(F.lit(1), F.length(text))
+    values = F.transform(places, lambda i: F.conv(F.substring(text, i, F.lit(1)), 36, 10).cast("int"))
+    return F.aggregate(values, F.lit(0), lambda a, x: F.when(x > 9, a * 100 + x).otherwise(a * 10 + x) % 97)
+
+
 def _surrogate(kind: Column, canon: Column, attempt: int, key: str) -> Column:
     """Surrogate of the canonical form: same kind, length and format."""
     seed = F.concat_ws("|", F.lit(key), kind, F.lit(str(attempt)), canon)
@@ -99,16 +116,27 @@ def _surrogate(kind: Column, canon: Column, attempt: int, key: str) -> Column:
 
     def part(text: Column, i: Column) -> Column:
         n = number(i * 4 + 1)
-        return F.when(F.length(text) >= 3, 100 + n % 156).when(F.length(text) == 2, 10 + n % 90).otherwise(n % 10).cast("string")
+        return F.when((F.length(text) >= 3) | F.lit(attempt >= ROUNDS), 100 + n % 156).when(F.length(text) == 2, 10 + n % 90).otherwise(n % 10).cast("string")
 
     ip = F.array_join(F.transform(F.split(canon, r"\."), part), ".")
-    country = F.greatest(F.length(canon) - 10, F.lit(0))
+    code = F.length(F.regexp_extract(canon, _CALLING, 0))
+    country = F.when(code > 0, code).otherwise(F.greatest(F.length(canon) - 10, F.lit(0)))
     phone = _characters(canon, lambda c, i: F.when(i <= country, c).otherwise(pick(digits, i)))
     ssn = _characters(canon, lambda c, i: pick(digits, i))
     body = F.substring(canon, F.lit(1), F.length(canon) - 1)
     drawn = _characters(body, lambda c, i: F.when(i == 1, c).otherwise(pick(digits, i)))
     valid = _luhn(body) == F.right(canon, F.lit(1))
     card = F.concat(drawn, F.when(valid, _luhn(drawn)).otherwise(pick(digits, F.length(canon))))
+    ipv6 = _characters(canon, lambda c, i: F.when(c == ":", c).otherwise(pick(stream, i)))
+    bank = _characters(F.substring(canon, F.lit(5), F.length(canon)), lambda c, i: F.when(c.rlike("[0-9]"), pick(digits, i)).otherwise(F.upper(pick(letters, i))))
+    land = F.left(canon, F.lit(2))
+    right = _rest(F.concat(F.substring(canon, F.lit(5), F.length(canon)), F.left(canon, F.lit(4)))) == 1
+    made_check = F.lpad((98 - _rest(F.concat(bank, land, F.lit("00")))).cast("string"), 2, "0")
+    iban = F.concat(land, F.when(right, made_check).otherwise(F.concat(pick(digits, F.lit(201)), pick(digits, F.lit(202)))), bank)
+    prefix = F.length(F.regexp_extract(canon, "^(?:AKIA|[spr]k[-_]|gh[pousr]_|xox[abprs]-)", 0))
+    token = _characters(
+        canon, lambda c, i: F.when(i <= prefix, c).when(c.rlike("[0-9]"), pick(digits, i)).when(c.rlike("[a-z]"), pick(letters, i)).when(c.rlike("[A-Z]"), F.upper(pick(letters, i))).otherwise(c)
+    )
     secret = _characters(canon, lambda c, i: pick(stream, i))
 
     script = F.when(canon.rlike(r"\p{IsCyrillic}"), "cyrillic").when(canon.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
@@ -118,17 +146,17 @@ def _surrogate(kind: Column, canon: Column, attempt: int, key: str) -> Column:
         made = F.lit("")
         for name, syllables in _SYLLABLES.items():
             row = F.array(*map(F.lit, syllables))
-            drawn = F.concat(*[F.element_at(row, number(i * 16 + j * 4 + 1) % len(syllables) + 1) for j in range(3)])
+            drawn = F.concat(*[F.element_at(row, number(i * 128 + j * 4 + 1) % len(syllables) + 1) for j in range(min(3 + attempt, 30))])
             female, male = _ENDINGS[name]
             made = F.when(script == name, F.concat(drawn, F.when(canon.startswith("f:"), female).otherwise(male))).otherwise(made)
         return F.initcap(made)
 
     name = F.array_join(F.transform(words, word), " ")
-    kinds = {"email": email, "ip": ip, "phone": phone, "ssn": ssn, "card": card, "secret": secret}
+    kinds = {"email": email, "ip": ip, "phone": phone, "ssn": ssn, "card": card, "secret": secret, "ipv6": ipv6, "iban": iban, "token": token}
     out = F.when(kind == "name", F.lower(F.concat(F.left(canon, F.lit(2)), name)))
     for value, made in kinds.items():
         out = out.when(kind == value, made)
-    return F.concat(out, F.lit(f"-{attempt}")) if attempt >= ROUNDS else out
+    return F.when(kind.isin("name", "ip"), out).otherwise(F.concat(out, F.lit(f"-{attempt}"))) if attempt >= ROUNDS else out
 
 
 def _written(kind: Column, raw: Column, made: Column) -> Column:
@@ -136,7 +164,7 @@ def _written(kind: Column, raw: Column, made: Column) -> Column:
     digits = _characters(
         raw,
         lambda c, i: F.when(
-            c.rlike("[0-9]"), F.substring(made, F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), "[^0-9]", "")), F.lit(1))
+            c.rlike("[0-9]"), F.substring(F.regexp_replace(made, r"^\+", ""), F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), "[^0-9]", "")), F.lit(1))
         ).otherwise(c),
     )
     cased = F.concat(
@@ -145,7 +173,8 @@ def _written(kind: Column, raw: Column, made: Column) -> Column:
     )
     title = F.regexp_extract(raw, f"^(?:{_WOMEN}|{_MEN})" + r"\.? ", 0)
     name = F.concat(title, F.initcap(F.substring(made, F.lit(3), F.length(made))))
-    return F.when(kind.isin(*_DIGITS_ONLY), digits).when(kind == "name", name).otherwise(cased)
+    grouped = _characters(raw, lambda c, i: F.when(c == " ", c).otherwise(F.substring(made, F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), " ", "")), F.lit(1))))
+    return F.when(kind.isin(*_DIGITS_ONLY), digits).when(kind == "name", name).when(kind == "iban", grouped).when(kind == "token", made).otherwise(cased)
 
 
 def found(text: str = "text") -> Column:
