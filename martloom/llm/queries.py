@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from martloom.llm import arrow_files, bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, private, quality, repeats
+from martloom.llm import arrow_files, bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, prefix_bpe, private, quality, repeats
 from martloom.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op11_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_bpe.rank_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_arrow_tokens": op8_arrow_tokens,
     "op9_soft_mixing": op9_soft_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_bpe": op11_prefix_bpe,
 }
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
