@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from martloom.llm import arrow_files, bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, prefix_bpe, private, quality, repeats
+from martloom.llm import arrow_files, bpe, clusters, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, prefix_bpe, private, quality, repeats
 from martloom.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op11_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_bpe.rank_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.cluster_digests(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -69,10 +73,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_soft_mixing": op9_soft_mixing,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_prefix_bpe": op11_prefix_bpe,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _finite(column: str) -> str:
+    return f"len(list_filter({column}, lambda x : x is null or not isfinite(x))) = 0"
+
+
+def _clusters_sql(rounds: int = 3) -> str:
+    """Rounds of assigning and averaging, one after the other."""
+    parts = [
+        f"""v as materialized (
+            select vec_id, row_number() over () as row, list_transform(embedding, lambda x : floor(64 * cast(x as double))) as q
+            from embeddings where len(embedding) = 64 and {_finite("embedding")}
+        )""",
+        """c0 as materialized (
+            select row_number() over (order by h, q) - 1 as cluster, q as c
+            from (select sha256('1:' || vec_id) as h, q from v where vec_id is not null order by h, q limit 16)
+        )""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} as materialized (
+            select vec_id, row, q, arg_min(cluster, (d, cluster)) as cluster, cast(min(d) as bigint) as distance
+            from (select vec_id, row, q, cluster, list_dot_product(q, q) - 2 * list_dot_product(q, c) + list_dot_product(c, c) as d from v, c{i})
+            group by vec_id, row, q
+        )""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} as materialized (
+                select cluster, list(m order by i) as c from (
+                    select cluster, i, floor(cast(sum(x) as bigint) / count(*)) as m
+                    from (select cluster, unnest(q) as x, generate_subscripts(q, 1) as i from a{i}) group by cluster, i
+                ) group by cluster
+                union all select cluster, c from c{i} where cluster not in (select cluster from a{i})
+            )""")
+    return "with " + ", ".join(parts) + f"""
+        select vec_id, cast(cluster as integer) as cluster, distance,
+               cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia, cast(sum(distance) over () as bigint) as inertia,
+               sha256(array_to_string(list_transform(c, lambda x : cast(x as bigint)), ',')) as centroid_sha256
+        from a{rounds} join c{rounds} using (cluster)
+    """
+
+
 ORACLE: dict[str, str] = {
     "op1_minhash_near_dedup": f"""
         with recursive w as (
@@ -151,4 +195,5 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) over w as kept, sha256(norm) as text_sha256
         from t window w as (partition by norm)
     """,
+    "op13_centroid_clusters": _clusters_sql(),
 }
