@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from martloom.llm import arrow_files, bpe, clusters, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, prefix_bpe, private, quality, repeats
+from martloom.llm import arrow_files, bpe, clusters, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, negatives, prefix_bpe, private, quality, repeats
 from martloom.llm.common import table
 
 
@@ -57,6 +58,11 @@ def op11_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_bpe.rank_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), "vec_id % 100 = 0", label)
+
+
 def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.cluster_digests(table(spark, folder, "embeddings"))
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_soft_mixing": op9_soft_mixing,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_prefix_bpe": op11_prefix_bpe,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
 
@@ -195,5 +202,23 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) over w as kept, sha256(norm) as text_sha256
         from t window w as (partition by norm)
     """,
+    "op12_hard_negatives": f"""
+        with r as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x : floor(256 * cast(x as double))) as q
+            from embeddings where vec_id is not null and label is not null and embedding is not null and {_finite("embedding")}
+        ), s as (
+            select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id as other, cast(list_dot_product(a.q, b.q) as bigint) as score
+            from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+        ), p as (
+            select anchor_id, other as positive_id, score as positive_score from s where same
+            qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+        )
+        select anchor_id, positive_id, cast(row_number() over w as integer) as rank, other as negative_id, positive_score, score as negative_score
+        from p join s using (anchor_id)
+        where not same and 80 * positive_score <= 100 * score and score <= positive_score
+        window w as (partition by anchor_id, positive_id order by score desc, other)
+        qualify row_number() over w <= 5
+    """,
     "op13_centroid_clusters": _clusters_sql(),
 }
