@@ -246,6 +246,7 @@ class Rows:
             if not rows.num_rows or not asked.num_rows:  # such a side may come without columns
                 return pa.table({n: pa.array([], pa.int64()) for n in names})
             one = arrays(rows, ["key", "vec_id", "label"])
+            asked = asked.rename_columns([n.removeprefix("asked_") for n in asked.column_names])
             two = arrays(asked, ["key", "label", "threshold"])
             for side in ("low", "high"):
                 two[side] = np.array(asked.column(side).to_pylist(), dtype=np.int64).reshape(-1, windows)
@@ -254,7 +255,9 @@ class Rows:
             return pa.table({n: pa.array(np.concatenate([f[n] for f in found] or nothing), pa.int64()) for n in names})
 
         left = dealt(self.rows.select("key", "vec_id", "label", "whole"), "down", down, "across", across)
-        right = dealt(anchors.select("key", "label", "whole", "threshold", "low", "high"), "across", across, "down", down)
+        # under new names, so that anchors may be picked from the very rows they meet
+        asked = anchors.select(*[F.col(n).alias(f"asked_{n}") for n in ("key", "label", "whole", "threshold", "low", "high")])
+        right = dealt(asked.withColumn("key", F.col("asked_key")), "across", across, "down", down).drop("key")
         return left.groupBy("down", "across").cogroup(right.groupBy("down", "across")).applyInArrow(run, FOUND)
 
 
