@@ -6,17 +6,18 @@ document has a rate, how often it is to be seen, and the expected tokens of a
 domain are the sum of rate x tokens x posterior. The rates are fitted so that
 these totals come as near as possible, in least squares, to weight x budget.
 
-The fit solves the least squares with rates in [0, cap] in its dual, which has one
-number per domain: with a slight pull of every rate towards one (which also
-decides between equally good rates), the best rate of a document is
-1 - posterior . z, cut to [0, cap], and z is found by Newton steps on stored rows
-while the pull is made weaker. A step needs a few distributed sums per domain; a
-rate follows from the document's posteriors and z, so no rate is stored or collected.
+Rates are fitted by projected gradient: every rate moves against the document's part
+in the miss and is cut at zero (and at ``cap``, if there is one). Rates weigh as
+many as their document has tokens, so one step length fits all; steps are accelerated,
+and start afresh where the miss grows. A rate follows from the document's posteriors
+and the steps so far, one number per domain each, so no rate is stored or collected:
+a pass over the stored rows makes the rates again and sends a few sums per task.
 
 Defined cases: documents without words have no tokens, and count only in their
 own rate; null ids take part; labels without an id or value train nothing; with
-no labels all domains are equally likely; a target nobody can fill is filled as
-far as ``cap`` allows; an empty table gives an empty result. Columns besides
+no labels all domains are equally likely; without a cap scarce documents are seen
+more than once; with one, a target nobody can fill is filled as far as it goes; an
+empty table gives an empty result. Columns besides
 doc_id and text are carried along or not read.
 """
 
@@ -24,7 +25,6 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator, Mapping
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import batches, stored
+from martloom.llm.common import batches, stored, tidied
 from martloom.llm.quality import SAMPLE, features, held_out, logit_scores, train
 
 DOMAINS = ("plain", "toxic", "poor")
 TARGETS = {"plain": 0.92, "toxic": 0.03, "poor": 0.05}
-STEPS, CAP = 25, 1.0  # projected steps of fit_rates, at most; how often a document may be seen
-PULLS = (1e-1, 1e-3, 1e-5, 1e-6)  # pull towards rate one; the last one adds at most half of it to the squared miss, as a share of all tokens
-SETTLED, PASSES = 1e-7, 300  # miss of the optimality conditions, as a share of all tokens; passes after which the fit says that it has not settled
-LENGTHS = 0.5 ** np.arange(24)  # of a Newton step
+FOLD = 32  # steps that a pass makes again, at most
+SETTLED, PASSES = 1e-5, 500  # miss, or movement of the rates, as a share of all tokens; passes after which the fit says that it has not settled
 
 
 def domain(quality: str = "quality", toxic: str = "toxic") -> Column:
@@ -59,6 +57,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> lis
     rows = labels.select("doc_id", domain().alias("domain")).where(F.col("doc_id").isNotNull() & F.col("domain").isNotNull() & ~held_out())
     rows = rows.orderBy(F.xxhash64("doc_id"), "domain").limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")  # bounded by ``sample``
+    texts = texts.groupBy("doc_id", "domain").agg(F.min("text").alias("text"))  # however often the id occurs
     found = texts.select("domain", "text").mapInArrow(_extract, "domain int, ids binary").collect()
     found.sort(key=lambda r: (bytes(r["ids"]), r["domain"]))
     ids, own = [np.frombuffer(r["ids"], dtype=np.int32) for r in found], np.array([r["domain"] for r in found])
@@ -83,21 +82,25 @@ def with_posteriors(docs: DataFrame, models: list, tokens: str = "n_tokens", pos
                 names=[*names, tokens, posterior],
             )
 
-    return docs.select(*names).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(tidied(run), schema)
 
 
-def _dot(vector: np.ndarray, posterior: str) -> Column:
-    return reduce(lambda a, b: a + b, [F.col(posterior)[k] * F.lit(float(x)) for k, x in enumerate(vector)])
+class Steps:
+    """The steps of a fit: per step the change for each domain, and how far the movement before carries on."""
 
+    def __init__(self, cap: float | None = None):
+        self.cap = np.inf if cap is None else cap
+        self.taken: list[tuple[np.ndarray, float]] = []
 
-def rate(steps: list[np.ndarray], cap: float = CAP, posterior: str = "posterior") -> Column:
-    """The rate of a document after these steps, each cut to [0, cap]."""
-    return reduce(lambda r, s: F.least(F.greatest(r - _dot(s, posterior), F.lit(0.0)), F.lit(float(cap))), steps, F.lit(min(1.0, cap)))
-
-
-def _totals(rows: DataFrame, rates: Column) -> np.ndarray:
-    sums = [F.sum(rates * F.col("n_tokens") * F.col("posterior")[k]) for k in range(len(DOMAINS))]
-    return np.array([x or 0.0 for x in rows.agg(*sums).first()])
+    def rates(self, posteriors: np.ndarray, state: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rates after the last step, where they would be carried to, and where the last step began; ``state`` is the first two before the steps."""
+        rate, ahead = state or [np.full(len(posteriors), min(1.0, self.cap))] * 2
+        begun = ahead
+        for step, carry in self.taken:
+            begun = ahead
+            new = np.clip(ahead - posteriors @ step, 0, self.cap)
+            rate, ahead = new, new + carry * (new - rate)
+        return rate, ahead, begun
 
 
 def _wanted(weights: np.ndarray, totals: np.ndarray, budget: float | None) -> np.ndarray:
@@ -105,97 +108,102 @@ def _wanted(weights: np.ndarray, totals: np.ndarray, budget: float | None) -> np
     return weights * (budget or totals[weights.argmax()] / weights.max())
 
 
-def measure(tokens: np.ndarray, posteriors: np.ndarray, tried: list[np.ndarray], cap: float) -> np.ndarray:
-    """For each z tried: the totals of the domains, the squared distance of the rates from one, the moments of rows with an uncut rate."""
-    out = []
-    for z in tried:
-        free = 1 - posteriors @ z
-        rates = np.clip(free, 0, cap)
-        inside = posteriors * (tokens * ((free > 0) & (free < cap)))[:, None]
-        out.append(np.concatenate([(tokens * rates) @ posteriors, [tokens @ (rates - 1) ** 2], (inside.T @ posteriors).ravel()]))
-    return np.array(out)
+def measure(tokens: np.ndarray, posteriors: np.ndarray, steps: Steps, state: tuple | None = None) -> np.ndarray:
+    """Totals of the domains at the rates, and where they are carried to; movement of the last step; second moments of the posteriors."""
+    rate, ahead, begun = steps.rates(posteriors, state)
+    moments = posteriors.T @ (posteriors * tokens[:, None])
+    return np.concatenate([(tokens * rate) @ posteriors, (tokens * ahead) @ posteriors, [tokens @ np.abs(rate - begun)], moments.ravel()])
+
+
+def _posteriors(batch: pa.RecordBatch, column: str = "posterior") -> np.ndarray:
+    return batch.column(column).flatten().to_numpy().reshape(-1, len(DOMAINS))
+
 
+def _given(batch: pa.RecordBatch) -> tuple[np.ndarray, tuple | None]:
+    """Posteriors of a batch, and the state of its rates if they were stored."""
+    state = (batch.column("_rate").to_numpy(), batch.column("_ahead").to_numpy()) if "_rate" in batch.schema.names else None
+    return _posteriors(batch), state
 
-def _measured(rows: DataFrame, tried: list[np.ndarray], cap: float) -> np.ndarray:
+
+def _measured(rows: DataFrame, steps: Steps) -> np.ndarray:
     """measure() over all rows; a task sends the driver one row of sums."""
     n = len(DOMAINS)
+    size = 2 * n + 1 + n * n
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(tried), n + 1 + n * n))
+        sums = np.zeros(size)
         for batch in found:
-            posteriors = batch.column("posterior").flatten().to_numpy().reshape(-1, n)
-            sums += measure(batch.column("n_tokens").to_numpy().astype(float), posteriors, tried, cap)
-        yield pa.record_batch([pa.array([sums.ravel()], pa.list_(pa.float64()))], names=["sums"])
+            posteriors, state = _given(batch)
+            sums += measure(batch.column("n_tokens").to_numpy().astype(float), posteriors, steps, state)
+        yield pa.record_batch([pa.array([sums], pa.list_(pa.float64()))], names=["sums"])
 
-    parts = rows.select("n_tokens", "posterior").mapInArrow(run, "sums array<double>").collect()
-    return np.array([r["sums"] for r in parts] or [[0.0] * (len(tried) * (n + 1 + n * n))]).sum(axis=0).reshape(len(tried), -1)
+    parts = rows.mapInArrow(run, "sums array<double>").collect()
+    return np.array([r["sums"] for r in parts] or [[0.0] * size]).sum(axis=0)
 
 
-def least_squares(
-    rows: DataFrame, targets: Mapping[str, float], budget: float | None = None, cap: float = CAP
-) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(steps, reached totals, wanted totals) of the rates in [0, cap] with the least squared miss, for rows with n_tokens and posterior.
+def _folded(rows: DataFrame, steps: Steps) -> DataFrame:
+    """The rows with the state of their rates after the steps, stored, so that later passes begin there."""
 
-    The steps are a single one, z. With totals as shares of all tokens and y =
-    pull * z, the dual to minimise is |y|^2 / 2 + y . (wanted - totals(z)) -
-    pull / 2 * distance(z); at its minimum y is the miss.
-    """
-    n = len(DOMAINS)
-    weights = np.array([targets[d] for d in DOMAINS], dtype=float)
-    weights /= weights.sum()
-    once = _measured(rows, [np.zeros(n)], np.inf)[0]
-    whole = once[:n].sum()
-    if not whole:
-        return [], np.zeros(n), np.zeros(n)
-    wanted = _wanted(weights, once[:n], budget)
-    goal, y, passes = wanted / whole, np.zeros(n), 0
-    for pull in PULLS:
-        now = _measured(rows, [y / pull], cap)[0] / whole
-        while np.abs(slope := y + goal - now[:n]).max() > (SETTLED if pull == PULLS[-1] else 1e-2):
-            if passes == PASSES:
-                warnings.warn(f"the mixture's rates have not settled: {np.abs(slope).max():.1e} of all tokens", stacklevel=2)
-                break
-            step = -np.linalg.solve(np.eye(n) + now[n + 1 :].reshape(n, n) / pull, slope)
-            tried = [y + length * step for length in LENGTHS]
-            found = _measured(rows, [t / pull for t in tried], cap) / whole
-            value = [t @ t / 2 + t @ (goal - x[:n]) - pull / 2 * x[n] for t, x in zip(tried, found, strict=True)]
-            best = int(np.argmin(value))
-            y, now, passes = tried[best], found[best], passes + 1
-    return [y / PULLS[-1]], now[:n] * whole, wanted
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            posteriors, state = _given(batch)
+            rate, ahead, _ = steps.rates(posteriors, state)
+            yield pa.record_batch([batch.column("n_tokens"), batch.column("posterior"), pa.array(rate), pa.array(ahead)], names=["n_tokens", "posterior", "_rate", "_ahead"])
+
+    made = rows.mapInArrow(run, rows.select("n_tokens", "posterior").schema.add("_rate", "double").add("_ahead", "double"))
+    return stored(made, "mixing-rates")
 
 
 def fit_rates(
-    rows: DataFrame, targets: Mapping[str, float], budget: float | None = None, cap: float = CAP, steps: int = STEPS
-) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(steps, reached totals, wanted totals) by at most ``steps`` projected steps in the metric of the inverse moments.
-
-    This is not the least squares that the mixture uses: where a rate is cut, the
-    miss is weighted by the inverse of the domains' second moments, so a scarce
-    domain that cannot be filled lowers the rates of others (see least_squares).
-    """
+    rows: DataFrame, targets: Mapping[str, float], budget: float | None = None, cap: float | None = None
+) -> tuple[Steps, np.ndarray, np.ndarray]:
+    """(steps, reached totals, wanted totals) of the rates with the least squared miss, for rows with n_tokens and posterior."""
+    n = len(DOMAINS)
     weights = np.array([targets[d] for d in DOMAINS], dtype=float)
     weights /= weights.sum()
-    n = len(weights)
-    second = [F.sum(F.col("n_tokens") * F.col("posterior")[i] * F.col("posterior")[k]) for i in range(n) for k in range(n)]
-    moments = np.array([x or 0.0 for x in rows.agg(*second).first()]).reshape(n, n)
-    whole = moments.sum()
+    rows = rows.select("n_tokens", "posterior")
+    steps, recent = Steps(cap), Steps(cap)  # all steps, and those since rates were stored
+    now = _measured(rows, Steps())
+    moments, totals = now[2 * n + 1 :].reshape(n, n), now[:n]
+    whole = totals.sum()
     if not whole:
-        return [], np.zeros(n), np.zeros(n)
-    wanted = _wanted(weights, moments.sum(axis=1), budget)
-    scale = np.linalg.inv(moments + np.eye(n) * whole * 1e-3)
-    taken: list[np.ndarray] = []
-    reached = _totals(rows, rate(taken, cap))
-    for _ in range(steps):
-        step = scale @ (reached - wanted)
-        if np.abs(step).max() < 1e-4:
-            break
-        now = _totals(rows, rate([*taken, step], cap))
-        taken.append(step)
-        settled = np.abs(now - reached).max() < 1e-5 * whole
-        reached = now
-        if settled:
-            break
-    return taken, reached, wanted
+        return steps, np.zeros(n), np.zeros(n)
+    wanted = _wanted(weights, totals, budget)
+    length = 1 / np.linalg.eigvalsh(moments / whole).max()
+    now, before, speed = (now if steps.cap >= 1 else _measured(rows, recent)), np.inf, 1.0
+    for _ in range(PASSES):
+        miss = (now[:n] - wanted) / whole
+        if steps.taken and np.abs(miss).max() < SETTLED or len(steps.taken) > 1 and now[2 * n] / whole < 0.1 * SETTLED * length:
+            return steps, now[:n], wanted
+        if miss @ miss > before:  # the movement has carried too far
+            speed = 1.0
+            steps.taken[-1] = recent.taken[-1] = (steps.taken[-1][0], 0.0)
+            ahead = miss
+        else:
+            ahead = (now[n : 2 * n] - wanted) / whole
+        before = miss @ miss
+        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+        if len(recent.taken) > FOLD:  # all but the last, whose carrying may be taken back
+            done = Steps(cap)
+            done.taken, recent.taken = recent.taken[:-1], recent.taken[-1:]
+            rows = _folded(rows, done)
+        steps.taken.append((length * ahead, (speed - 1) / faster))
+        recent.taken.append(steps.taken[-1])
+        speed = faster
+        now = _measured(rows, recent)
+    warnings.warn(f"the mixture's rates have not settled: {np.abs(now[:n] - wanted).max() / whole:.1e} of all tokens", stacklevel=2)
+    return steps, now[:n], wanted
+
+
+def with_rates(rows: DataFrame, steps: Steps, rate: str = "rate", posterior: str = "posterior") -> DataFrame:
+    """The rows with the rate that the steps give for their posterior."""
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            rates = steps.rates(_posteriors(batch, posterior))[0]
+            yield pa.record_batch([*batch.columns, pa.array(rates)], names=[*batch.schema.names, rate])
+
+    return rows.mapInArrow(run, rows.select("*").schema.add(rate, "double"))
 
 
 def chance(doc_id: str = "doc_id") -> Column:
@@ -203,27 +211,30 @@ def chance(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.xxhash64(F.col(doc_id), F.lit(9)), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
-def mixed_rates(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, cap: float = CAP) -> tuple[DataFrame, list[np.ndarray]]:
-    """The documents with n_tokens, posterior, rate and copies (the rate rounded up or down by chance)."""
+def mixed_rates(
+    docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, cap: float | None = None
+) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """The documents with n_tokens, posterior, rate and copies (the rate rounded up or down by chance); reached and wanted totals."""
     models = fit_domains(docs, labels)
     rows = stored(with_posteriors(docs.select("doc_id", "text"), models).drop("text"), "mixing-posteriors")
-    steps, _, _ = least_squares(rows, targets, cap=cap)
-    rated = rows.withColumn("rate", rate(steps, cap))
-    return rated.withColumn("copies", F.floor(F.col("rate") + chance()).cast("int")), steps
+    steps, reached, wanted = fit_rates(rows, targets, cap=cap)
+    rated = with_rates(rows, steps)
+    return rated.withColumn("copies", F.floor(F.col("rate") + chance()).cast("int")), reached, wanted
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
-    """The documents of the mixture: each row is in it with the probability of its rate."""
+def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, cap: float = 1.0) -> DataFrame:
+    """The documents of the mixture: each row is in it with the probability of its rate, at most once."""
     models = fit_domains(docs, labels)
     names = ("__n_tokens", "__posterior")
-    rows = with_posteriors(docs.select("text"), models).drop("text")
-    steps, _, _ = least_squares(stored(rows, "mixing-posteriors"), targets)
-    rated = with_posteriors(docs, models, *names).where(F.floor(rate(steps, posterior=names[1]) + chance()) >= 1)
-    return rated.select(*docs.columns)
+    rows = stored(with_posteriors(docs, models, *names), "mixing-documents")
+    steps, _, _ = fit_rates(rows.select(*[F.col(n).alias(n.strip("_")) for n in names]), targets, cap=min(1.0, cap))
+    rated = with_rates(rows, steps, "__rate", names[1])
+    return rated.where(F.floor(F.col("__rate") + chance()) >= 1).select(*docs.columns)
 
 
 def mixing_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, the posterior of every domain, rate and copies."""
-    rated, _ = mixed_rates(docs, labels)
+    """doc_id, n_tokens, the posterior of every domain, rate and copies; on every row the reached and wanted tokens of each domain."""
+    rated, reached, wanted = mixed_rates(docs, labels)
     shares = [F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)]
-    return rated.select("doc_id", "n_tokens", *shares, "rate", "copies")
+    totals = [F.lit(float(x[k])).alias(f"{side}_{d}") for side, x in (("reached", reached), ("wanted", wanted)) for k, d in enumerate(DOMAINS)]
+    return rated.select("doc_id", "n_tokens", *shares, "rate", "copies", *totals)

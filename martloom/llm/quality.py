@@ -9,8 +9,8 @@ logistic curve fitted on rows the margin was not trained on.
 The model is fitted on at most ``SAMPLE`` labelled rows, taken by the hash of
 their id, so its cost does not depend on the corpus; every text is scored whole.
 
-Defined cases: rows without an id or without the label train nothing; several
-labels for an id train on each; null and empty texts have no feature and get the
+Defined cases: rows without an id or without the label train nothing; different
+labels for an id train on each, with one of the texts of that id; null and empty texts have no feature and get the
 score of the bias; with no labelled rows, or only one class, every score is the
 share of label 1 (0.5 without rows). Columns besides doc_id and text are not read.
 """
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import batches, gram_hashes, mixed, slices, word_hashes
+from martloom.llm.common import batches, gram_hashes, mixed, slices, tidied, word_hashes
 
 BUCKETS = 1 << 18
 SAMPLE = 6_000  # labelled rows that the model is fitted on, at most
@@ -163,6 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
     rows = rows.select("doc_id", F.col(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "label").limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")  # bounded by ``sample``
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # however often the id occurs
     found = texts.select("label", "text").mapInArrow(_extract, "label int, ids binary").collect()
     found.sort(key=lambda r: (bytes(r["ids"]), r["label"]))
     return train([np.frombuffer(r["ids"], dtype=np.int32) for r in found], np.array([r["label"] for r in found]))
@@ -186,7 +187,7 @@ def score(docs: DataFrame, model: Model, scale: np.ndarray, column: str = "score
             scores = logit_scores(found, model, scale)
             yield pa.record_batch([*batch.columns, pa.array(scores)], names=[*batch.schema.names, column])
 
-    return docs.drop(column).mapInArrow(run, schema)
+    return docs.drop(column).mapInArrow(tidied(run), schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:
