@@ -26,11 +26,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from martloom.llm.common import batches
+from martloom.llm.common import slim_batches, tidied
 
 # The published pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE = 250_000  # distinct pieces remembered by a task, at most
+CACHE_BYTES = 48 << 20  # of pieces remembered by a task, about
+PAIRS = 1 << 19  # pairs of tokens remembered by a task
 _NEVER = 1 << 60
 
 
@@ -71,10 +72,17 @@ class TrieEncoder:
         self._sides: dict[int, tuple] = {}
         self._fits: dict[int, bool] = {}
         self._wholes: dict[int, bool] = {}
-        self._seen: dict[str, bytes] = {text: self._packed[i] for text, i in self.added.items()}
+        self.forget()
         self.pattern = regex.compile(PATTERN)
+        self.marks = {text[0] for text in self.added}  # what added tokens begin with
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts; the tables of the vocabulary stay."""
+        self._fits.clear()
+        self._seen: dict[str, bytes] = {text: self._packed[i] for text, i in self.added.items()}
+        self._seen_bytes = 0
+
     def _step(self, state: int, byte: int) -> int:
         """The state behind ``state`` and one more byte: the longest end of both that begins a token."""
         text = self._texts[state] + bytes([byte])
@@ -109,7 +117,7 @@ class TrieEncoder:
         """
         known = self._fits.get(left << 20 | right)
         if known is None:
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) > PAIRS:
                 self._fits.clear()
             known = self._fits[left << 20 | right] = not self._joined(left, right, _NEVER)
         return known
@@ -142,14 +150,14 @@ class TrieEncoder:
         prefix, and the states of its nodes stay on the path.
         """
         out: dict[str, bytes] = {}
-        steps, ends, known, packed = self._next, self._ends, self._fits, self._packed
-        # per node on the path: matching state, last token, encoding
-        path, states, last, codes = b"", [0], [-1], [b""]
+        steps, ends, known, packed, token_bytes = self._next, self._ends, self._fits, self._packed, self.token
+        # per node on the path: matching state, last token
+        path, states, last = b"", [0], [-1]
         for raw, word in sorted([(w.encode("utf-8", "surrogatepass"), w) for w in words]):
             same, most = 0, min(len(path), len(raw))
             while same < most and path[same] == raw[same]:
                 same += 1
-            del states[same + 1 :], last[same + 1 :], codes[same + 1 :]
+            del states[same + 1 :], last[same + 1 :]
             state = states[same]
             for end in range(same + 1, len(raw) + 1):
                 byte = raw[end - 1]
@@ -163,9 +171,12 @@ class TrieEncoder:
                         break
                 states.append(state)
                 last.append(token)
-                codes.append(codes[end - n] + packed[token])
-            path = raw
-            out[word] = codes[-1]
+            path, end, codes = raw, len(raw), []
+            while end:  # from the end back, a token at a time
+                codes.append(packed[last[end]])
+                end -= len(token_bytes[last[end]])
+            codes.reverse()
+            out[word] = b"".join(codes)
         return out
 
     # A piece is a run of spaces and line feeds and what follows it. The pattern never joins a
@@ -180,21 +191,21 @@ class TrieEncoder:
         cut = {p: [p] if p.isalpha() or p[0] == " " and p[1:].isalpha() else self.pattern.findall(p) for p in pieces}
         words = self.encode_words(set().union(*cut.values()))
         for piece, found in cut.items():
-            self._seen[piece] = b"".join([words[w] for w in found])
+            ids = self._seen[piece] = b"".join([words[w] for w in found])
+            self._seen_bytes += 150 + 2 * len(piece) + len(ids)
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self._pieces(text or "") for text in texts]
-        if len(self._seen) > CACHE:
-            self._seen.clear()
-            self._seen.update({text: self._packed[i] for text, i in self.added.items()})
+        if self._seen_bytes > CACHE_BYTES:
+            self.forget()
         seen = self._seen
         if new := set().union(*cut) - seen.keys():
             self._learn(new)
         return [b"".join([seen[p] for p in pieces]) for pieces in cut]
 
     def _pieces(self, text: str) -> list[str]:
-        if self.special and "<" in text and len(parts := self.special.split(text)) > 1:
+        if self.special and any(m in text for m in self.marks) and len(parts := self.special.split(text)) > 1:
             return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else self._pieces(part))]
         return self.pattern.findall(text) if self._odd.search(text) else self._piece.findall(text)
 
@@ -220,11 +231,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in batches(rows, 1500):
-            ids = pa.array(bpe.encode_batch(batch.column("text").to_pylist()), pa.binary())
-            yield pa.record_batch([*batch.columns, ids], names=[*batch.schema.names, "ids"])
+        try:
+            for batch in slim_batches(rows):
+                ids = pa.array(bpe.encode_batch(batch.column("text").to_pylist()), pa.binary())
+                yield pa.record_batch([*batch.columns, ids], names=[*batch.schema.names, "ids"])
+        finally:
+            bpe.forget()
 
-    return docs.drop("ids").mapInArrow(run, schema)
+    return docs.drop("ids").mapInArrow(tidied(run), schema)
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -233,11 +247,11 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in batches(rows, 1500):
-            text = pa.array([bpe.decode(x) for x in batch.column("ids").to_pylist()], pa.string())
+        for batch in slim_batches(rows, "ids"):
+            text = pa.array([bpe.decode(x or b"") for x in batch.column("ids").to_pylist()], pa.string())
             yield pa.record_batch([*batch.columns, text], names=[*batch.schema.names, "decoded"])
 
-    return tokens.drop("decoded").mapInArrow(run, schema)
+    return tokens.drop("decoded").mapInArrow(tidied(run), schema)
 
 
 def roundtrip_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -245,19 +259,22 @@ def roundtrip_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in batches(rows, 1500):
-            ids = bpe.encode_batch(batch.column("text").to_pylist())
-            texts = [bpe.decode(x).encode() for x in ids]
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in texts]),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        try:
+            for batch in slim_batches(rows):
+                ids = bpe.encode_batch(batch.column("text").to_pylist())
+                texts = [bpe.decode(x).encode() for x in ids]
+                yield pa.record_batch(
+                    [
+                        batch.column("doc_id"),
+                        pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in texts]),
+                    ],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+        finally:
+            bpe.forget()
 
     columns = docs.select("doc_id", "text")
     kind = columns.schema["doc_id"].dataType.simpleString()
-    return columns.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return columns.mapInArrow(tidied(run), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

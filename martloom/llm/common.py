@@ -7,11 +7,13 @@ a time, so no task holds more than a few megabytes of text at once.
 
 from __future__ import annotations
 
+import ctypes
 import gc
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,6 +131,38 @@ def batches(rows: Iterator[pa.RecordBatch], size: int = 1024) -> Iterator[pa.Rec
             yield batch.slice(at, size)
 
 
+def slim_batches(rows: Iterator[pa.RecordBatch], column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in record batches of about ``size`` bytes of a column, at least one row each."""
+    for batch in rows:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
+def tidied(run: Callable) -> Callable:
+    """A map over record batches that gives its memory back when its task ends.
+
+    Workers live on for later tasks, and what one operator has left would come on
+    top of what the next one needs.
+    """
+
+    def tidy(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(rows)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+            if trim is not None:
+                trim(0)
+
+    return tidy
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
     return tuple(row)

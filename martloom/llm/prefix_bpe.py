@@ -38,7 +38,8 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 4 << 20  # text encoded in one go
+from martloom.llm.common import slim_batches, tidied
+
 CACHE_BYTES = 48 << 20  # of remembered parts, about
 PAIRS = 1 << 19  # remembered pairs of tokens
 _NEVER = 1 << 60
@@ -338,18 +339,6 @@ def encoder(path: str) -> RankEncoder:
     return _loaded[path]
 
 
-def _slices(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of about SLICE_BYTES of text, at least one row each."""
-    for batch in rows:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
-        at = 0
-        while at < batch.num_rows:
-            before = ends[at - 1] if at else 0
-            upto = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
-            yield batch.slice(at, upto - at)
-            at = upto
-
-
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """The documents with ``ids``: the tokens of the whole text as little-endian 32-bit integers."""
     schema = docs.drop("ids").schema.add("ids", "binary")
@@ -357,14 +346,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         try:
-            for batch in _slices(rows):
+            for batch in slim_batches(rows):
                 flat, ends = bpe.encode_texts(batch.column("text"))
                 ids = pa.array([flat[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
                 yield pa.record_batch([*batch.columns, ids], names=[*batch.schema.names, "ids"])
         finally:
             bpe.forget()
 
-    return docs.drop("ids").mapInArrow(run, schema)
+    return docs.drop("ids").mapInArrow(tidied(run), schema)
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -377,7 +366,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
             raw = [bpe.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column("ids").to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(raw, pa.binary())], names=[*batch.schema.names, "decoded"])
 
-    return tokens.drop("decoded").mapInArrow(run, schema)
+    return tokens.drop("decoded").mapInArrow(tidied(run), schema)
 
 
 def rank_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -387,7 +376,7 @@ def rank_digests(docs: DataFrame, path: str) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         try:
-            for batch in _slices(rows):
+            for batch in slim_batches(rows):
                 flat, ends = bpe.encode_texts(batch.column("text"))
                 each = [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
                 ids = [hashlib.sha256(x.tobytes()).hexdigest() for x in each]
@@ -398,4 +387,4 @@ def rank_digests(docs: DataFrame, path: str) -> DataFrame:
 
     columns = docs.select("doc_id", "text")
     kind = columns.schema["doc_id"].dataType.simpleString()
-    return columns.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return columns.mapInArrow(tidied(run), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
