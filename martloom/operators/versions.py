@@ -31,7 +31,7 @@ from martloom.operators.upsert import merge_latest, merge_partial, merge_upsert,
 from martloom.session import pinned
 
 ENTRY = (
-    "operation string, writer string, batch_id bigint, marks map<string, bigint>, row_count bigint,"
+    "operation string, writer string, batch_id bigint, run string, marks map<string, bigint>, row_count bigint,"
     " partition_by array<string>,"
     " columns string, parts array<struct<part_key:string, folder:string, v:int, row_count:bigint>>"
 )
@@ -74,7 +74,7 @@ def history(spark: SparkSession, root: str) -> DataFrame:
     log = _log(spark, root)
     if log is None:
         log = spark.createDataFrame([], LOG)
-    return log.filter(F.col("operation") != MARK).drop("columns", "partition_by", "parts", "marks")
+    return log.filter(F.col("operation") != MARK).drop("columns", "partition_by", "parts", "marks", "run")
 
 
 def _entry(spark: SparkSession, root: str, version: int | None = None) -> T.Row | None:
@@ -157,13 +157,14 @@ def _commit(
     writer: str | None,
     batch_id: int | None,
     marks: dict[str, int],
+    run: str | None = None,
 ) -> int:
     """Write the log row; ``marks`` are those before it. Returns the row count of the version."""
     total = sum(p.row_count for p in parts)
     if writer is not None and batch_id is not None:
         marks = {**marks, writer: batch_id}
     row = {
-        "operation": operation, "writer": writer, "batch_id": batch_id, "marks": marks, "row_count": total,
+        "operation": operation, "writer": writer, "batch_id": batch_id, "run": run, "marks": marks, "row_count": total,
         "partition_by": list(partition_by), "columns": schema.json(), "parts": [p.asDict() for p in parts],
     }
     (
@@ -185,11 +186,13 @@ def _already_done(entry: T.Row | None, writer: str | None, batch_id: int | None)
     return done is not None and batch_id is not None and done >= batch_id
 
 
-def _mark(spark: SparkSession, root: str, entry: T.Row | None, writer: str | None, batch_id: int | None) -> Published:
+def _mark(
+    spark: SparkSession, root: str, entry: T.Row | None, writer: str | None, batch_id: int | None, run: str | None = None
+) -> Published:
     """Note that a batch had no effect, so that it is not looked at again."""
     if entry and writer is not None and batch_id is not None:
         marks, schema = _marks(entry), _schema(entry)
-        _commit(spark, root, entry.version + 1, entry.parts, MARK, schema, entry.partition_by, writer, batch_id, marks)
+        _commit(spark, root, entry.version + 1, entry.parts, MARK, schema, entry.partition_by, writer, batch_id, marks, run)
     return Published(None)
 
 
@@ -207,6 +210,7 @@ def publish(
     writer: str | None = None,
     batch_id: int | None = None,
     unique_by: Sequence[str] = (),
+    run: str | None = None,
 ) -> Published:
     """Write ``df`` as the next version of the whole table (snapshot refresh).
 
@@ -221,7 +225,7 @@ def publish(
     if unique_by:
         require_unique(spark.read.schema(df.schema).parquet(f"{root}/data/v={version}"), unique_by)
     total = _commit(
-        spark, root, version, parts, operation, df.schema, layout.partition_by, writer, batch_id, _marks(entry)
+        spark, root, version, parts, operation, df.schema, layout.partition_by, writer, batch_id, _marks(entry), run
     )
     return Published(version, inserted=total)
 
@@ -232,22 +236,26 @@ def append(
     layout: Layout = Layout(),
     writer: str | None = None,
     batch_id: int | None = None,
+    run: str | None = None,
 ) -> Published:
-    """Add rows as they are; older files stay where they are. An empty increment only moves the writer's mark."""
+    """Add rows as they are; older files stay where they are. An empty increment only moves the writer's mark.
+
+    ``run`` names the job that makes the version, for notes it left before (see ``held``).
+    """
     spark = df.sparkSession
     entry = _entry(spark, root)
     if _already_done(entry, writer, batch_id):
         return Published(None)
     if df.isEmpty() and (entry is not None or writer is None):
-        return _mark(spark, root, entry, writer, batch_id)
+        return _mark(spark, root, entry, writer, batch_id, run)
     if entry is None:
-        return publish(df, root, "append", layout, writer, batch_id)
+        return publish(df, root, "append", layout, writer, batch_id, run=run)
     version = entry.version + 1
     df = _null_parts(df.select(_schema(entry).fieldNames()), entry.partition_by)
     added = _write_data(df, root, version, Layout(entry.partition_by, layout.cluster_by, layout.spread_by))
     total = _commit(
         spark, root, version, [*entry.parts, *added], "append", df.schema, entry.partition_by, writer, batch_id,
-        _marks(entry),
+        _marks(entry), run,
     )
     return Published(version, inserted=total - entry.row_count)
 
@@ -265,14 +273,16 @@ def last_batch(spark: SparkSession, root: str, writer: str) -> int:
     return _marks(_entry(spark, root)).get(writer, 0)
 
 
-def holds(spark: SparkSession, root: str, version: Column) -> Column:
-    """True for the versions whose work is part of the current one: all so far but those a restore took back."""
-    entry = _entry(spark, root)
-    out = version <= F.lit(entry.version if entry else 0)
+def held(spark: SparkSession, root: str) -> DataFrame:
+    """(version, run) of the versions whose work is part of the current one: all so far but those a restore took back."""
+    log, entry = _log(spark, root), _entry(spark, root)
+    if log is None or entry is None:
+        return spark.createDataFrame([], "version int, run string")
+    out = F.lit(True)
     for name, target in _marks(entry).items():
         if name.startswith(_RESTORE):
-            out &= ~((version > F.lit(target)) & (version < F.lit(int(name.removeprefix(_RESTORE)))))
-    return out
+            out &= ~((F.col("version") > F.lit(target)) & (F.col("version") < F.lit(int(name.removeprefix(_RESTORE)))))
+    return log.where(out).select("version", "run")
 
 
 def restore(spark: SparkSession, root: str, version: int) -> Published:

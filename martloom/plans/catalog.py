@@ -408,6 +408,11 @@ def new_files_anti(spark, folder):
     return _drops_of(files.unseen(files.list_files(spark, landed), known))
 
 
+def _rows_per_drop(landed: DataFrame) -> DataFrame:
+    drop = F.regexp_extract(files.SOURCE_FILE, r"drop_year=(\d+)", 1).cast("int").alias("drop_year")
+    return landed.groupBy(drop).agg(F.count(F.lit(1)).alias("landed_rows"))
+
+
 def incremental_append(spark, folder):
     """CSV drops loaded in two runs and a third that finds nothing; rows per drop."""
     landed, lake = _land_sales(spark, folder, "drops"), scratch_dir(spark, "lake")
@@ -423,11 +428,22 @@ def ingest_after_crash(spark, folder):
     landed, lake = _land_sales(spark, folder, "drops"), scratch_dir(spark, "lake")
     pipeline.ingest_csv(spark, f"{landed}/drop_year=199[0-6]", lake, "bronze", retail.RAW_COLUMNS)
     lost = pipeline.new_files(spark, f"{landed}/drop_year=199[7-8]", lake, "bronze")
-    files.record(lost, f"{lake}/bronze_files", 2)
+    files.record(lost, f"{lake}/bronze_files", 2, "lost")
     for years in ("1999", "*", "*"):
         pipeline.ingest_csv(spark, f"{landed}/drop_year={years}", lake, "bronze", retail.RAW_COLUMNS)
-    drop = F.regexp_extract(files.SOURCE_FILE, r"drop_year=(\d+)", 1).cast("int").alias("drop_year")
-    return versions.read(spark, f"{lake}/bronze").groupBy(drop).agg(F.count(F.lit(1)).alias("landed_rows"))
+    return _rows_per_drop(versions.read(spark, f"{lake}/bronze"))
+
+
+def crash_then_restore(spark, folder):
+    """Rows per drop where a run died after it noted its files, and a restore took the number of its version."""
+    landed, lake = _land_sales(spark, folder, "drops"), scratch_dir(spark, "lake")
+    pipeline.ingest_csv(spark, f"{landed}/drop_year=199[0-6]", lake, "bronze", retail.RAW_COLUMNS)
+    lost = pipeline.new_files(spark, f"{landed}/drop_year=199[7-8]", lake, "bronze")
+    files.record(lost, f"{lake}/bronze_files", 2, "lost")
+    versions.restore(spark, f"{lake}/bronze", 1)
+    for _ in range(2):
+        pipeline.ingest_csv(spark, f"{landed}/drop_year=*", lake, "bronze", retail.RAW_COLUMNS)
+    return _rows_per_drop(versions.read(spark, f"{lake}/bronze"))
 
 
 def restore_then_run(spark, folder):
@@ -645,7 +661,7 @@ QUERIES: dict[str, Query] = {
         stg_orders, fct_orders, dim_customer_activity, dim_product_current, dim_date_orders,
         feed_increment, feed_pages, feed_page_slice, hwm_lookup, hwm_advance, id_overlap,
         scan_csv_raw, scan_json_pages, land_json_roundtrip, staging_mapped, files_modified_after, new_files_anti,
-        incremental_append, ingest_after_crash, restore_then_run, snapshot_refresh, layout_pruned_scan,
+        incremental_append, ingest_after_crash, crash_then_restore, restore_then_run, snapshot_refresh, layout_pruned_scan,
         merge_upsert, merge_partial_update, merge_counts, dim_type1_upsert, insert_missing,
         snapshot_current, snapshot_as_of, snapshot_history, snapshot_restore,
         dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_suite,

@@ -432,6 +432,7 @@ from fx_bronze"""),
     "new_files_anti": _with(BRONZE, LATE_DROPS),
     "incremental_append": _with(BRONZE, DROPS),
     "ingest_after_crash": _with(BRONZE, DROPS),
+    "crash_then_restore": _with(BRONZE, DROPS),
     "restore_then_run": _with(BRONZE, "select distinct transaction_id from judged where reason is null"),
     "stream_file_ingest": _with(BRONZE, DROPS),
     "snapshot_refresh": "select * from customer",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,7 @@ def month_of(day: str):
 
 def new_files(spark: SparkSession, glob: str, lake: str, table: str) -> DataFrame:
     """Landed files that no version of the bronze table holds yet."""
-    seen = files.ledger(spark, f"{lake}/{table}_files", lambda version: versions.holds(spark, f"{lake}/{table}", version))
+    seen = files.ledger(spark, f"{lake}/{table}_files", versions.held(spark, f"{lake}/{table}"))
     return files.unseen(files.list_files(spark, glob), seen)
 
 
@@ -44,8 +45,9 @@ def _store(rows: DataFrame, fresh: DataFrame, lake: str, table: str) -> int:
     """Append rows under the next version number, which their files are noted under before it becomes visible."""
     spark = rows.sparkSession
     version = (versions.latest_version(spark, f"{lake}/{table}") or 0) + 1
-    files.record(fresh, f"{lake}/{table}_files", version)
-    return versions.append(rows, f"{lake}/{table}", writer="files", batch_id=version).inserted
+    run = uuid.uuid4().hex
+    files.record(fresh, f"{lake}/{table}_files", version, run)
+    return versions.append(rows, f"{lake}/{table}", writer="files", batch_id=version, run=run).inserted
 
 
 def ingest_csv(

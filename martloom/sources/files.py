@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,22 +105,27 @@ def unseen(files: DataFrame, seen: DataFrame, by_name: bool = False) -> DataFram
     return files.withColumn("_name", file_name("path")).join(known, "_name", "left_anti").drop("_name")
 
 
-def ledger(spark: SparkSession, path: str, valid: Callable[[Column], Column] = lambda version: version.isNotNull()) -> DataFrame:
-    """Files loaded by the ``valid`` versions, empty ones included.
+def ledger(spark: SparkSession, path: str, held: DataFrame | None = None) -> DataFrame:
+    """Files loaded by the versions in ``held`` (version, run), empty ones included; all noted files without it.
 
-    Files are noted under the number of the version they go into, before that
-    version becomes visible; notes of a version that never did are ignored, and
-    overwritten by the next run, which makes the version of that number.
+    Files are noted under the number of the version they go into and the name of the
+    run that makes it, before that version becomes visible. A note counts only if the
+    version of its number was made by its run: where the run died, another run, or a
+    restore, takes the number, and the files are loaded again.
     """
     try:
-        noted = spark.read.schema(f"{FILES}, version int").parquet(path)
-        return noted.where(valid(F.col("version"))).drop("version")
+        noted = spark.read.schema(f"{FILES}, run string, version int").parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], FILES)
         raise
+    if held is not None:
+        made = held.select(F.col("version").alias("_made"), F.col("run").alias("_by"))
+        noted = noted.join(made, (F.col("version") == F.col("_made")) & F.col("run").eqNullSafe(F.col("_by")), "left_semi")
+    return noted.drop("version", "run")
 
 
-def record(files: DataFrame, path: str, version: int) -> None:
-    """Note the files that go into a version of the table."""
-    files.select("path", "modified_at", "size").write.mode("overwrite").parquet(f"{path}/version={version}")
+def record(files: DataFrame, path: str, version: int, run: str | None = None) -> None:
+    """Note the files that a run puts into a version of the table."""
+    noted = files.select("path", "modified_at", "size", F.lit(run).cast("string").alias("run"))
+    noted.write.mode("overwrite").parquet(f"{path}/version={version}")

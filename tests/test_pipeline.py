@@ -126,3 +126,26 @@ def test_lineage_does_not_reach_the_marts(spark, fresh):
     for name in ("stg_orders", "fct_orders", "dim_customer", "dim_product"):
         assert files.INGESTED_AT not in versions.read(spark, f"{lake}/{name}").columns
     assert versions.read(spark, f"{lake}/fct_orders").select(F.col("gross_amount").cast("string")).first()[0] == "2.50"
+
+
+@pytest.mark.parametrize("dies", ["after the note", "after the data"])
+def test_no_file_is_lost_by_a_crash_and_a_restore(spark, fresh, monkeypatch, dies):
+    """A run dies at some step, a restore takes the number of its version, later runs load every file once."""
+    from martloom.plans import retail
+
+    landing, lake = f"{fresh}/landing", f"{fresh}/lake"
+    ingest = lambda: pipeline.ingest_csv(spark, landing, lake, "bronze", retail.RAW_COLUMNS)
+    drop(landing, "sales_1.csv", "1,10,5,2026-07-01,2,9.50,N")
+    ingest()
+    drop(landing, "sales_2.csv", "2,10,5,2026-07-02,2,9.50,N")
+    step = (versions, "append") if dies == "after the note" else (versions, "_commit")
+    with monkeypatch.context() as patch:
+        patch.setattr(*step, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError, match="died"):
+            ingest()
+    versions.restore(spark, f"{lake}/bronze", 1)
+    drop(landing, "sales_3.csv", "3,10,5,2026-07-03,2,9.50,N")
+    assert (ingest(), ingest()) == (2, 0)
+    assert sorted(r.transaction_id for r in versions.read(spark, f"{lake}/bronze").collect()) == ["1", "2", "3"]
+    versions.restore(spark, f"{lake}/bronze", 1)
+    assert (ingest(), ingest()) == (2, 0)
