@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,7 @@ from martloom.llm.common import slim_batches, tidied
 
 # The published pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SLICE_BYTES = 1 << 20  # text encoded in one go
 CACHE_BYTES = 48 << 20  # of pieces remembered by a task, about
 PAIRS = 1 << 19  # pairs of tokens remembered by a task
 _NEVER = 1 << 60
@@ -215,66 +216,56 @@ class TrieEncoder:
         return b"".join([token[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode("utf-8", "replace")
 
 
-_loaded: dict[str, TrieEncoder] = {}
+def each_task(path: str, work: Callable) -> Callable:
+    """A map over record batches for which a task loads an encoder, and drops it at the end: a worker lives on."""
 
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(TrieEncoder(path), rows)
 
-def encoder(path: str) -> TrieEncoder:
-    """One encoder per worker process and file."""
-    if path not in _loaded:
-        _loaded[path] = TrieEncoder(path)
-    return _loaded[path]
+    return tidied(run)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """The documents with ``ids``: the tokens of the whole text as little-endian 32-bit integers."""
     schema = docs.drop("ids").schema.add("ids", "binary")
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
-        try:
-            for batch in slim_batches(rows):
-                ids = pa.array(bpe.encode_batch(batch.column("text").to_pylist()), pa.binary())
-                yield pa.record_batch([*batch.columns, ids], names=[*batch.schema.names, "ids"])
-        finally:
-            bpe.forget()
+    def run(bpe: TrieEncoder, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slim_batches(rows, size=SLICE_BYTES):
+            ids = pa.array(bpe.encode_batch(batch.column("text").to_pylist()), pa.binary())
+            yield pa.record_batch([*batch.columns, ids], names=[*batch.schema.names, "ids"])
 
-    return docs.drop("ids").mapInArrow(tidied(run), schema)
+    return docs.drop("ids").mapInArrow(each_task(path, run), schema)
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """The rows with ``decoded``: the text of their ``ids``."""
     schema = tokens.drop("decoded").schema.add("decoded", "string")
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+    def run(bpe: TrieEncoder, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slim_batches(rows, "ids"):
             text = pa.array([bpe.decode(x or b"") for x in batch.column("ids").to_pylist()], pa.string())
             yield pa.record_batch([*batch.columns, text], names=[*batch.schema.names, "decoded"])
 
-    return tokens.drop("decoded").mapInArrow(tidied(run), schema)
+    return tokens.drop("decoded").mapInArrow(each_task(path, run), schema)
 
 
 def roundtrip_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, and hashes of the ids and of the text they decode to."""
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
-        try:
-            for batch in slim_batches(rows):
-                ids = bpe.encode_batch(batch.column("text").to_pylist())
-                texts = [bpe.decode(x).encode() for x in ids]
-                yield pa.record_batch(
-                    [
-                        batch.column("doc_id"),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in texts]),
-                    ],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
-        finally:
-            bpe.forget()
+    def run(bpe: TrieEncoder, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slim_batches(rows, size=SLICE_BYTES):
+            ids = bpe.encode_batch(batch.column("text").to_pylist())
+            texts = [bpe.decode(x).encode() for x in ids]
+            yield pa.record_batch(
+                [
+                    batch.column("doc_id"),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in texts]),
+                ],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     columns = docs.select("doc_id", "text")
     kind = columns.schema["doc_id"].dataType.simpleString()
-    return columns.mapInArrow(tidied(run), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return columns.mapInArrow(each_task(path, run), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

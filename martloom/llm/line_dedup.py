@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import LOWER, batches, mixed, stored
+from martloom.llm.common import LOWER, batches, mixed, stored, tidied
 
 SHARDS = 256
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -136,7 +136,7 @@ def postings(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 ids += [doc_id] * len(own)
             yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], names=["key", "doc_id"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "key binary, doc_id bigint")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidied(run), "key binary, doc_id bigint")
 
 
 def _common(refs: pd.DataFrame) -> np.ndarray:
@@ -193,9 +193,9 @@ class LineIndex:
         min_chars, n_shards = self.min_chars, self.n_shards
         held = postings(docs, min_chars)
         held = held.select("key", "doc_id", ((F.xxhash64("key") % n_shards + n_shards) % n_shards).cast("int").alias("shard"))
-        blocks = held.mapInArrow(_blocks, "shard int, keys binary, ids binary, nulls binary")
+        blocks = held.mapInArrow(tidied(_blocks), "shard int, keys binary, ids binary, nulls binary")
         asked = blocks.join(self.shards.withColumnRenamed("keys", "common"), "shard")
-        return asked.mapInArrow(_ask, "doc_id bigint, key binary")
+        return asked.mapInArrow(tidied(_ask), "doc_id bigint, key binary")
 
     def apply(self, docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
         """The documents without the lines they lose; ``counts`` names the columns for lines before, and lines lost."""
@@ -221,7 +221,7 @@ class LineIndex:
                 arrays = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
                 yield pa.record_batch([*arrays, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=[*names, *counts])
 
-        return joined.mapInArrow(run, schema)
+        return joined.mapInArrow(tidied(run), schema)
 
 
 def _update(changes: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import batches, components, gram_hashes, mixed, numbers, slices, stored, word_hashes
+from martloom.llm.common import batches, components, gram_hashes, mixed, numbers, slices, stored, tidied, word_hashes
 
 REGISTERS, BAND = 128, 4  # a pair at the threshold 0.8 shares none of the 32 bands once in 10^7
 BASE, RATE, TOP = 1.001, 20.0, 65_535
@@ -115,7 +115,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
             )
 
     columns = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return columns.mapInArrow(run, "doc_id bigint, size bigint, words binary, regs binary")
+    return columns.mapInArrow(tidied(run), "doc_id bigint, size bigint, words binary, regs binary")
 
 
 def _bands(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,10 +227,10 @@ class _Linker:
         """The pairs (a, b) whose full sets are similar enough."""
         side = lambda x: self.reps.select(F.col("doc_id").alias(x), F.col("size").alias(f"size_{x}"), F.col("regs").alias(f"regs_{x}"))
         near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", "regs_a", "regs_b")
-        near = stored(near.mapInArrow(_likely(self.percent / 100), "a bigint, b bigint"), "minhash-near")
+        near = stored(near.mapInArrow(tidied(_likely(self.percent / 100)), "a bigint, b bigint"), "minhash-near")
         text = lambda x: self.docs.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
         full = near.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
-        return stored(full.mapInArrow(_verified(self.k, self.percent), "a bigint, b bigint").distinct(), "minhash-links")
+        return stored(full.mapInArrow(tidied(_verified(self.k, self.percent)), "a bigint, b bigint").distinct(), "minhash-links")
 
     def links_apart(self, stars: DataFrame, labels: DataFrame) -> DataFrame:
         """Links (a, b) that join components around a hub: blocks of the documents outside the largest one, against all blocks."""
@@ -249,7 +249,7 @@ class _Linker:
         # two blocks with documents outside the largest component on both sides meet twice; that is harmless
         pairs = all_.join(minor, "hub")
         pairs = pairs.select("hub", "block", "other", "minors", "rows")
-        return stored(pairs.mapInArrow(_blocks_joined(self.k, self.percent), "a bigint, b bigint").distinct(), "minhash-joined")
+        return stored(pairs.mapInArrow(tidied(_blocks_joined(self.k, self.percent)), "a bigint, b bigint").distinct(), "minhash-joined")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -269,7 +269,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     reps = stored(reps.dropDuplicates(["doc_id", "size", "regs"]), "minhash-reps")
     linker = _Linker(docs, reps, shingle, percent)
 
-    bands = reps.select("doc_id", "regs").mapInArrow(_bands, "bucket bigint, doc_id bigint")
+    bands = reps.select("doc_id", "regs").mapInArrow(tidied(_bands), "bucket bigint, doc_id bigint")
     stars = stored(_stars(bands), "minhash-stars")
     found = linker.links(stars.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")))
 
