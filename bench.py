@@ -78,7 +78,10 @@ def layouts(spark: SparkSession, folder: str, cores: int, times: dict[str, float
     t = inputs.tables(spark, folder)
     base = scratch_dir(spark, "bench-layout")
     fact = stored(catalog._report_fact(t), f"{base}/plain", cores)
-    layout.write_clustered(fact, f"{base}/by_day", ["order_date"], ["customer_id"], ["transaction_id"], tasks=cores)
+    days = fact.select("order_date").distinct().count()
+    layout.write_clustered(
+        fact, f"{base}/by_day", ["order_date"], ["customer_id"], ["transaction_id"], tasks=layout.write_width(fact, days)
+    )
     by_day = spark.read.parquet(f"{base}/by_day")
     one_day = (F.col("order_date") == F.lit("1998-03-02").cast("date")) & F.col("customer_id").between(100, 900)
 
@@ -88,7 +91,26 @@ def layouts(spark: SparkSession, folder: str, cores: int, times: dict[str, float
     for name, table in (("plain", fact), ("by_day", by_day)):
         slice_of(table).collect()
         times[f"day_customer_slice_{name}"] = timed(lambda table=table: slice_of(table).collect(), 5)
-        times[f"latest_day_{name}"] = timed(lambda table=table: bi.latest_day_by_region(table).collect(), 3)
+
+    def latest(table: DataFrame, known: bool):
+        day = layout.newest(table, "order_date") if known else None
+        return bi.latest_day_by_region(table, day).collect()
+
+    for name, table in (("plain", fact), ("by_day", by_day)):
+        times[f"latest_day_{name}"] = timed(lambda t=table, k=name == "by_day": latest(t, k), 5)
+
+    # one customer looked up: plain copy against one with page index and Bloom filters, and along a curve
+    layout.write_indexed(fact, f"{base}/indexed", "customer_id", fact.select("customer_id").distinct().count())
+    layout.recluster(fact, f"{base}/curve", ["customer_id", "order_date"], ["transaction_id"], tasks=cores)
+    for name in ("indexed", "curve"):
+        table = spark.read.parquet(f"{base}/{name}")
+        times[f"customer_point_{name}"] = timed(lambda t=table: spend(t), 5)
+    times["customer_point_plain"] = timed(lambda: spend(fact), 5)
+
+
+def spend(table: DataFrame):
+    one = table.filter(F.col("customer_id") == 137)
+    return one.agg(F.count("*"), F.sum("total_amount")).collect()
 
 
 def retail_run(spark: SparkSession, folder: str) -> float:

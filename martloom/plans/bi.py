@@ -223,6 +223,7 @@ def last_days_by_region(fact: DataFrame, as_of: Column, days: int = 7) -> DataFr
     return daily_region(recent).orderBy("order_date", "region")
 
 
-def latest_day_by_region(fact: DataFrame) -> DataFrame:
-    latest = fact.agg(F.max("order_date")).scalar()
+def latest_day_by_region(fact: DataFrame, latest: Column | None = None) -> DataFrame:
+    """Revenue per region of the last day; a fact kept by day knows which that is (``layout.newest``)."""
+    latest = fact.agg(F.max("order_date")).scalar() if latest is None else latest
     return daily_region(fact.filter(F.col("order_date") == latest))

@@ -469,14 +469,55 @@ def snapshot_refresh(spark, folder):
 def layout_pruned_scan(spark, folder):
     """One day and a customer range out of a table kept by day and sorted by customer."""
     t = inputs.tables(spark, folder)
-    path = scratch_dir(spark, "layout")
-    cores = spark.sparkContext.defaultParallelism
-    layout.write_clustered(_report_fact(t), path, ["order_date"], ["customer_id"], ["transaction_id"], tasks=cores)
-    stored = spark.read.parquet(path)
+    stored = _fact_by_day(spark, t)
     one_day = stored.filter((F.col("order_date") == day("1998-03-02")) & F.col("customer_id").between(100, 900))
     return plain(one_day.groupBy("region").agg(F.sum("total_amount").alias("total"), F.count(F.lit(1)).alias("n")))
 
 
+def _fact_by_day(spark, t: inputs.Tables) -> DataFrame:
+    path = scratch_dir(spark, "layout")
+    days = inputs.bi_bounds(t).select(F.date_diff("last_day", "first_day").alias("n")).first().n or 0
+    width = layout.write_width(t("lineitem"), days + 1)
+    layout.write_clustered(_report_fact(t), path, ["order_date"], ["customer_id"], ["transaction_id"], tasks=width)
+    return spark.read.parquet(path)
+
+
+def latest_day_stored(spark, folder):
+    """The last day of a fact kept by day, found in the names of its folders; no other day is opened."""
+    stored = _fact_by_day(spark, inputs.tables(spark, folder))
+    return plain(bi.latest_day_by_region(stored, layout.newest(stored, "order_date")))
+
+
+def layout_optimized(spark, folder):
+    """A stored fact written anew along a curve through customer and day; slices by either column."""
+    t = inputs.tables(spark, folder)
+    before, after = scratch_dir(spark, "stored"), scratch_dir(spark, "curve")
+    _report_fact(t).write.parquet(before)
+    layout.recluster(spark.read.parquet(before), after, ["customer_id", "order_date"], ["transaction_id"])
+    stored = spark.read.parquet(after)
+    slices = {
+        "customers": F.col("customer_id").between(100, 200),
+        "days": F.col("order_date").between(day("1998-03-01"), day("1998-03-31")),
+        "all": F.lit(True),
+    }
+    parts = [
+        stored.filter(rows).agg(F.lit(name).alias("slice"), F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("total"))
+        for name, rows in slices.items()
+    ]
+    return plain(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def customer_indexed(spark, folder):
+    """Spend of one customer with sales and of one without, looked up in a fact with page index and Bloom filters."""
+    t = inputs.tables(spark, folder)
+    path = scratch_dir(spark, "indexed")
+    customers = inputs.customers(t)
+    layout.write_indexed(_report_fact(t, False), path, "customer_id", customers.count())
+    stored = spark.read.parquet(path)
+    found = [bi.customer_spend(stored, customers, key, key) for key in (137, 138)]
+    return plain(found[0].unionByName(found[1]))
+
+
 # ---- upserts and versions ----------------------------------------------------
 
 
@@ -662,6 +703,7 @@ QUERIES: dict[str, Query] = {
         feed_increment, feed_pages, feed_page_slice, hwm_lookup, hwm_advance, id_overlap,
         scan_csv_raw, scan_json_pages, land_json_roundtrip, staging_mapped, files_modified_after, new_files_anti,
         incremental_append, ingest_after_crash, crash_then_restore, restore_then_run, snapshot_refresh, layout_pruned_scan,
+        latest_day_stored, layout_optimized, customer_indexed,
         merge_upsert, merge_partial_update, merge_counts, dim_type1_upsert, insert_missing,
         snapshot_current, snapshot_as_of, snapshot_history, snapshot_restore,
         dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_suite,

@@ -346,6 +346,20 @@ group by order_date, region"""),
 select order_date, region, cast(sum(cast(round(quantity * unit_price, 2) as decimal(12,2))) as double)
          as daily_revenue, count(*) as transaction_count
 from fx_lines where order_date = (select max(order_date) from fx_lines) group by order_date, region"""),
+    "latest_day_stored": _with(LINES, """
+select order_date, region, cast(sum(cast(round(quantity * unit_price, 2) as decimal(12,2))) as double)
+         as daily_revenue, count(*) as transaction_count
+from fx_lines where order_date = (select max(order_date) from fx_lines) group by order_date, region"""),
+    "layout_optimized": _with(LINES, """,
+parts as (select customer_id between 100 and 200 as c, order_date between date '1998-03-01' and date '1998-03-31' as d,
+                 cast(round(quantity * unit_price, 2) as decimal(12,2)) as amount from fx_lines)
+select 'customers' as slice, count(*) as n, cast(sum(amount) as double) as total from parts where c
+union all select 'days', count(*), cast(sum(amount) as double) from parts where d
+union all select 'all', count(*), cast(sum(amount) as double) from parts"""),
+    "customer_indexed": _with(LINES, """
+select customer_name, count(*) as transaction_count,
+       cast(sum(cast(round(quantity * unit_price, 2) as decimal(12,2))) as double) as total_spend
+from fx_lines where customer_id in (137, 138) group by customer_name"""),
     "clean_sales": _with(FACT, """
 select transaction_id, customer_id, product_id, order_date, quantity, cast(unit_price as double) as unit_price, region
 from clean"""),
