@@ -15,22 +15,85 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.clean import dedup_latest
-
+from martloom.session import pinned
 
 # Largest measured increment that is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def _is_small(df: DataFrame, limit: int) -> bool:
+    text = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
+    return (df.agg(F.sum(text + 16 * len(df.columns)).alias("bytes")).first().bytes or 0) <= limit
+
+
+def small_side(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Measure a stored increment; mark it for broadcast if it is small enough.
 
     Stored rows carry no size estimate, so without this Spark would shuffle the
     target even for a handful of incoming rows. The mark holds for columns
     picked from the result as well.
     """
-    text = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
-    size = df.agg(F.sum(text + 16 * len(df.columns)).alias("bytes")).first().bytes or 0
-    return F.broadcast(df) if size <= limit else df
+    return F.broadcast(df) if _is_small(df, BROADCAST_BYTES if limit is None else limit) else df
+
+
+# A Bloom filter in blocks of 4 KB: about BITS bits and PROBES marks per key, 16 MB in all at most.
+BLOCK_BITS, BITS, PROBES, MAX_BLOCKS = 32_768, 16, 3, 4_096
+
+
+def _places(keys: Sequence[str], blocks: Column) -> tuple[Column, list[Column]]:
+    """The block a key falls into and its marks there."""
+    block = F.pmod(F.xxhash64(F.lit(0), *keys), blocks)
+    return block, [F.pmod(F.xxhash64(F.lit(i + 1), *keys), F.lit(BLOCK_BITS)) for i in range(PROBES)]
+
+
+def key_filter(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(block, bits, blocks): a Bloom filter of the keys, a row per block; filters of one size merge by bitmap_or_agg.
+
+    Tasks set bits before the shuffle, so what moves is bitmaps, not keys. With more
+    keys than MAX_BLOCKS hold at full strength, more rows pass; none is ever lost.
+    """
+    count = source.agg(F.count(F.lit(1)).alias("n")).select(
+        F.least(F.lit(MAX_BLOCKS), F.greatest(F.lit(1), F.ceil(F.col("n") * BITS / BLOCK_BITS))).cast("bigint").alias("blocks")
+    )
+    blocks = F.lit(count.first().blocks)
+    block, marks = _places(keys, blocks)
+    set_ = source.dropna(how="any", subset=list(keys)).select(block.alias("block"), F.explode(F.array(*marks)).alias("mark"))
+    return set_.groupBy("block").agg(F.bitmap_construct_agg("mark").alias("bits")).withColumn("blocks", blocks)
+
+
+def may_match(target: DataFrame, bloom: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target rows whose keys the filter lets through: all that match, and few others.
+
+    The filter is pinned and broadcast: its size is bounded by MAX_BLOCKS.
+    """
+    bloom = pinned(bloom)
+    first = bloom.first()
+    if first is None:
+        return target.limit(0)
+    block, marks = _places(keys, F.lit(first.blocks))
+    names = ["_block", "_bits", *(f"_mark{i}" for i in range(len(marks)))]
+    marked = target.withColumns(dict(zip(names[2:], marks, strict=True))).withColumn("_block", block)
+    sides = F.broadcast(bloom.select(F.col("block").alias("_block"), F.col("bits").alias("_bits")))
+    hit = F.lit(True)
+    for name in names[2:]:
+        byte = F.conv(F.hex(F.expr(f"substring(_bits, cast({name} div 8 as int) + 1, 1)")), 16, 10).cast("int")
+        hit &= byte.bitwiseAND(F.expr(f"shiftleft(1, cast({name} % 8 as int))")) != 0
+    # keys that hang on the filter: a join on them is not moved in front of it
+    passed = [F.when(hit, F.col(c)).alias(c) if c in keys else F.col(c) for c in target.columns]
+    return marked.join(sides, "_block").where(hit).select(passed)
+
+
+def matching(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key occurs in the (stored) source.
+
+    A small source is broadcast. Otherwise a Bloom filter of its keys goes to the
+    target's scan first, so that what is shuffled for the join is near the matches and not the target.
+    """
+    keys = list(keys)
+    wanted = source.select(*keys)
+    if not _is_small(source, BROADCAST_BYTES):
+        target = may_match(target, key_filter(wanted, keys), keys)
+    return target.join(wanted, keys, "left_semi")
 
 
 class DuplicateKeys(ValueError):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.layout import MAX_FILE_ROWS, clustered
-from martloom.operators.upsert import merge_latest, merge_partial, merge_upsert, require_unique, small_side
+from martloom.operators.upsert import matching, merge_latest, merge_partial, merge_upsert, require_unique, small_side
 from martloom.session import pinned
 
 ENTRY = (
@@ -344,7 +344,7 @@ def upsert(
         return {r.k for r in df.select(_part_key(layout.partition_by).alias("k")).distinct().collect()}
 
     compared = list(update_columns) if update_columns else [c for c in columns if c not in keys]
-    home = stored(keys_of(source)).join(source.select(*keys), list(keys), "left_semi")
+    home = matching(stored(keys_of(source)), source, keys)
     if newest_first:  # rows that lose against the stored one change nothing
         source = merge_latest(home, source, keys, newest_first)
     home = home.alias("t")
@@ -357,7 +357,7 @@ def upsert(
     touched = keys_of(changes)
     if rows_may_move and layout.partition_by:
         everywhere = stored(by_key)
-        touched |= keys_of(everywhere.join(changes.select(*keys), list(keys), "left_semi"))
+        touched |= keys_of(matching(everywhere, changes, keys))
     target = stored(touched)
     if newest_first:
         merged = merge_latest(target, changes, keys, newest_first)

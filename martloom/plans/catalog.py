@@ -543,6 +543,15 @@ def merge_partial_update(spark, folder):
     return plain(upsert.merge_partial(target, source, ["transaction_id"], ["quantity", "total_amount"]))
 
 
+def merge_matches(spark, folder):
+    """Stored rows that an increment touches, found through a Bloom filter of its keys, per region."""
+    target, source = _merge_sides(spark, folder)
+    keys = ["transaction_id"]
+    near = upsert.may_match(target, upsert.key_filter(source, keys), keys)
+    hits = near.join(source.select(*keys), keys, "left_semi")
+    return plain(hits.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("total")))
+
+
 def merge_counts(spark, folder):
     return upsert.merge_counts(*_merge_sides(spark, folder), ["transaction_id"])
 
@@ -704,7 +713,7 @@ QUERIES: dict[str, Query] = {
         scan_csv_raw, scan_json_pages, land_json_roundtrip, staging_mapped, files_modified_after, new_files_anti,
         incremental_append, ingest_after_crash, crash_then_restore, restore_then_run, snapshot_refresh, layout_pruned_scan,
         latest_day_stored, layout_optimized, customer_indexed,
-        merge_upsert, merge_partial_update, merge_counts, dim_type1_upsert, insert_missing,
+        merge_upsert, merge_partial_update, merge_counts, merge_matches, dim_type1_upsert, insert_missing,
         snapshot_current, snapshot_as_of, snapshot_history, snapshot_restore,
         dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_suite,
         stream_file_ingest, stream_hourly_counts, stream_upsert,

@@ -454,6 +454,9 @@ from fx_bronze"""),
 select region, cast(sum(cast(round(quantity * unit_price, 2) as decimal(12,2))) as double) as total, count(*) as n
 from fx_lines where order_date = date '1998-03-02' and customer_id between 100 and 900 group by region"""),
     "merge_upsert": _with(MERGE, f"select {FACT_OUT} from merged"),
+    "merge_matches": _with(MERGE, """
+select region, count(*) as n, cast(sum(total_amount) as double) as total
+from target where transaction_id in (select transaction_id from source) group by region"""),
     "merge_partial_update": _with(MERGE, """
 select t.transaction_id, t.customer_id, t.product_id, t.date_key, t.order_date,
        case when s.transaction_id is null then t.quantity else s.quantity end as quantity,

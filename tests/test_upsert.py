@@ -71,3 +71,63 @@ def test_small_increment_does_not_shuffle_the_target(spark, plan_of):
 def test_shared_keys(spark):
     a, b = table(spark, (1, "", ""), (2, "", "")), table(spark, (2, "", ""), (2, "", ""), (3, "", ""))
     assert rows(upsert.shared_keys(a, b, ["k"])) == [(2,)]
+
+
+def _target(spark, n=200_000):
+    return spark.range(0, n, 1, 4).select(
+        F.when(F.col("id") % 1000 != 7, F.col("id").cast("int")).alias("k"), F.lit("x").alias("a"), F.lit("x").alias("b")
+    )
+
+
+def test_a_filter_of_keys_loses_none_and_lets_few_others_through(spark):
+    target = _target(spark)
+    source = spark.range(0, 2_000, 1, 2).select((F.col("id") * 131).cast("int").alias("k"), F.lit("y").alias("a"), F.lit("y").alias("b"))
+    near = upsert.may_match(target, upsert.key_filter(source, ["k"]), ["k"])
+    hits = target.join(source.select("k"), "k", "left_semi")
+    assert near.columns == target.columns
+    assert hits.exceptAll(near).isEmpty()
+    assert near.count() - hits.count() < 0.02 * target.count()
+    two = ["k", "a"]
+    assert upsert.may_match(target, upsert.key_filter(source, two), two).count() < 0.02 * target.count()
+
+
+def test_filters_of_parts_merge_into_that_of_the_whole(spark):
+    source = table(spark, *[(i, "", "") for i in range(500)], (None, "", ""))
+    whole = upsert.key_filter(source, ["k"])
+    parts = upsert.key_filter(source.filter("k < 200"), ["k"]).unionByName(upsert.key_filter(source.filter("k >= 200"), ["k"]))
+    merged = parts.groupBy("block", "blocks").agg(F.bitmap_or_agg("bits").alias("bits")).select(whole.columns)
+    assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+    assert upsert.may_match(source, upsert.key_filter(source.limit(0), ["k"]), ["k"]).isEmpty()
+
+
+def test_a_large_increment_shuffles_few_stored_rows(spark, monkeypatch):
+    """Beyond the broadcast, what a join shuffles of the target is near its matches."""
+    monkeypatch.setattr(upsert, "BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = table(spark, *[(i * 400, "y", "y") for i in range(500)])
+        found = upsert.matching(_target(spark), source, ["k"])
+        assert sorted(r.k for r in found.collect()) == [i * 400 for i in range(500)]
+        plan, most = [found._jdf.queryExecution().executedPlan().executedPlan()], 0
+        while plan:
+            node = plan.pop()
+            if node.nodeName() == "Exchange":
+                most = max(most, node.metrics().apply("shuffleRecordsWritten").value())
+            plan += [node.plan()] if node.getClass().getSimpleName().endswith("QueryStageExec") else []
+            plan += [node.children().apply(i) for i in range(node.children().length())]
+        assert 500 <= most < 5_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_versioned_upsert_without_broadcast(spark, fresh, monkeypatch):
+    """Rows that move to another partition are found by the filter too."""
+    from martloom.operators import versions
+
+    monkeypatch.setattr(upsert, "BROADCAST_BYTES", -1)
+    layout = versions.Layout(["a"], ["k"], ["k"])
+    versions.publish(table(spark, *[(i, f"p{i % 4}", "old") for i in range(400)]), fresh, "load", layout)
+    versions.upsert(table(spark, (3, "p3", "new"), (8, "p1", "moved"), (9_000, "p9", "added")), fresh, ["k"], layout)
+    found = {r.k: (r.a, r.b) for r in versions.read(spark, fresh).collect()}
+    assert len(found) == 401 and found[3] == ("p3", "new") and found[8] == ("p1", "moved") and found[9_000] == ("p9", "added")
+    assert versions.read(spark, fresh).count() == 401
