@@ -98,6 +98,17 @@ def audit(judged: DataFrame, key: str) -> DataFrame:
     )
 
 
+def seeded_pick(df: DataFrame, column: str, seed: int, k: int = 1) -> DataFrame:
+    """``k`` distinct values, picked by the hash of seed and value: the same ones however the rows are dealt.
+
+    The values with the smallest hashes are the sample, so samples of parts merge by
+    taking the smallest again; every task keeps ``k`` and nothing is sorted as a whole.
+    """
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(column).cast("string")))
+    return values.withColumn("_order", order).orderBy("_order", column).limit(k).drop("_order")
+
+
 def distinct_rows(df: DataFrame, ignoring: Sequence[str] = ()) -> DataFrame:
     """Drop exact copies, judged on the data columns alone."""
     return df.dropDuplicates([c for c in df.columns if c not in ignoring])

@@ -227,6 +227,13 @@ def audit_counts(spark, folder):
     return retail.audit_counts(_bronze(spark, folder))
 
 
+def seeded_day(spark, folder):
+    """Sales by region of one day that a seed picks."""
+    fact = _report_fact(inputs.tables(spark, folder))
+    picked = clean.seeded_pick(inputs.tables(spark, folder)("orders").select(F.col("o_orderdate").cast("date").alias("order_date")), "order_date", 42)
+    return plain(bi.daily_region(fact.join(picked, "order_date", "left_semi")))
+
+
 def silver_dims(spark, folder):
     """Customers landed with padded text and, for every tenth, an exact copy without the padding."""
     t = inputs.tables(spark, folder)
@@ -297,6 +304,15 @@ def feed_page_slice(spark, folder):
     return plain(feed.page_slice(rows, ["modified_at", "order_id"], 400, 200))
 
 
+def feed_page_seek(spark, folder):
+    """The third page of the feed, reached by the cursors of the pages before it."""
+    rows, order = inputs.feed(inputs.tables(spark, folder)), ["modified_at", "order_id"]
+    cursor = None
+    for _ in range(2):
+        cursor = feed.cursor_of(feed.page_after(rows, order, cursor, 200), order)
+    return plain(feed.page_after(rows, order, cursor, 200))
+
+
 def hwm_lookup(spark, folder):
     """Marks of two loaded tables, and of one that was never loaded."""
     names = spark.createDataFrame([("orders",), ("lines",), ("returns",)], "table_name string")
@@ -663,6 +679,19 @@ def stream_file_ingest(spark, folder):
     return spark.read.parquet(f"{out}/bronze").groupBy(drop).agg(F.count(F.lit(1)).alias("landed_rows"))
 
 
+def stream_json_pages(spark, folder):
+    """Pages of the feed landed in two turns, an empty one among them, and streamed into bronze; a third run adds nothing."""
+    out = scratch_dir(spark, "stream-pages")
+    rows = inputs.feed(inputs.tables(spark, folder))
+    pages = pinned(feed.page_arrays(rows, ["modified_at", "order_id"], 1000))
+    empty = pages.limit(1).select("page", F.filter("rows", lambda _: F.lit(False)).alias("rows"))
+    turns = [pages.filter("page % 2 = 0").unionByName(empty), pages.filter("page % 2 = 1"), pages.limit(0)]
+    for i, turn in enumerate(turns):
+        layout.land_json_pages(turn, f"{out}/landing", day(f"2026-07-0{i + 1}"))
+        jobs.ingest(jobs.json_pages(spark, f"{out}/landing/run_date=*", orders.FEED), f"{out}/bronze", f"{out}/checkpoint")
+    return plain(orders.typed_feed(spark.read.parquet(f"{out}/bronze").select(*orders.FEED_COLUMNS)))
+
+
 def stream_hourly_counts(spark, folder):
     out = scratch_dir(spark, "hourly")
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
@@ -707,15 +736,15 @@ QUERIES: dict[str, Query] = {
         category_contribution, metric_weekend, metric_top_months, trend_month, region_segment,
         customer_drilldown, customer_point, last7_region_daily, latest_day_region,
         clean_sales, fact_sales, reject_log, reject_summary, silver_sales, dedup_audit, audit_counts, silver_dims,
-        dim_date, dim_date_observed,
+        dim_date, dim_date_observed, seeded_day,
         stg_orders, fct_orders, dim_customer_activity, dim_product_current, dim_date_orders,
-        feed_increment, feed_pages, feed_page_slice, hwm_lookup, hwm_advance, id_overlap,
+        feed_increment, feed_pages, feed_page_slice, feed_page_seek, hwm_lookup, hwm_advance, id_overlap,
         scan_csv_raw, scan_json_pages, land_json_roundtrip, staging_mapped, files_modified_after, new_files_anti,
         incremental_append, ingest_after_crash, crash_then_restore, restore_then_run, snapshot_refresh, layout_pruned_scan,
         latest_day_stored, layout_optimized, customer_indexed,
         merge_upsert, merge_partial_update, merge_counts, merge_matches, dim_type1_upsert, insert_missing,
         snapshot_current, snapshot_as_of, snapshot_history, snapshot_restore,
         dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_suite,
-        stream_file_ingest, stream_hourly_counts, stream_upsert,
+        stream_file_ingest, stream_json_pages, stream_hourly_counts, stream_upsert,
     )
 }

@@ -360,6 +360,12 @@ union all select 'all', count(*), cast(sum(amount) as double) from parts"""),
 select customer_name, count(*) as transaction_count,
        cast(sum(cast(round(quantity * unit_price, 2) as decimal(12,2))) as double) as total_spend
 from fx_lines where customer_id in (137, 138) group by customer_name"""),
+    "seeded_day": _with(LINES, """
+select order_date, region, cast(sum(cast(round(quantity * unit_price, 2) as decimal(12,2))) as double)
+         as daily_revenue, count(*) as transaction_count
+from fx_lines where order_date = (select d from (select distinct cast(o_orderdate as date) as d from orders)
+                                  order by md5('42:' || cast(d as varchar)), d limit 1)
+group by order_date, region"""),
     "clean_sales": _with(FACT, """
 select transaction_id, customer_id, product_id, order_date, quantity, cast(unit_price as double) as unit_price, region
 from clean"""),
@@ -411,6 +417,8 @@ select cast(page as bigint) as page, count(*) as page_rows, max(modified_at) as
        cast(case when (page + 1) * 200 < total_rows then (page + 1) * 200 end as bigint) as next_cursor
 from numbered group by page, total_rows""".replace("\n, numbered", ", numbered", 1)),
     "feed_page_slice": _with(FEED, f"""
+select {FEED_OUT} from fx_feed order by fx_feed.modified_at, fx_feed.order_id limit 200 offset 400"""),
+    "feed_page_seek": _with(FEED, f"""
 select {FEED_OUT} from fx_feed order by fx_feed.modified_at, fx_feed.order_id limit 200 offset 400"""),
     "hwm_lookup": _with(_marks("timestamp '2001-01-01 00:00:00'"), "select table_name, value from marks"),
     "hwm_advance": _with(_marks("timestamp '2001-01-01 00:00:00'"), """
@@ -429,6 +437,10 @@ union all select 'both', count(*) filter (where a and b) from per_id""",
     "scan_csv_raw": _with(BRONZE, """
 select transaction_id, nullif(customer_id, '') as customer_id, product_id, order_date, quantity, unit_price, region,
        cast(extract(year from staged_on) as int) as drop_year, true as plain_path from fx_bronze"""),
+    "stream_json_pages": _with(FEED, """
+select order_id, customer_id, product_id, category, cast(trunc(cast(quantity as double)) as int) as quantity,
+       cast(unit_price as double) as unit_price, order_status, created_at, modified_at
+from fx_feed"""),
     "scan_json_pages": _with(FEED, """
 select order_id, customer_id, product_id, category, cast(trunc(cast(quantity as double)) as int) as quantity,
        cast(unit_price as double) as unit_price, order_status, created_at, modified_at,

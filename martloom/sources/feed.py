@@ -87,6 +87,27 @@ def page_slice(feed: DataFrame, order: Sequence[str], cursor: int, page_size: in
     return numbered(feed, order).filter((place >= cursor) & (place < cursor + page_size)).drop("_row")
 
 
+def page_after(feed: DataFrame, order: Sequence[str], after: Sequence | None, page_size: int) -> DataFrame:
+    """The next ``page_size`` rows behind a cursor, the order values of the last row seen (None for the first page).
+
+    Every task keeps its first rows only, so one page neither sorts nor shuffles the feed, and
+    rows that came in before the cursor meanwhile do not shift later pages. The order has to
+    be unique; NULL comes first. The first column's bound reaches the scan.
+    """
+    if after is not None:
+        seen = F.struct(*[F.lit(v).cast(feed.schema[c].dataType).alias(c) for c, v in zip(order, after, strict=True)])
+        if after[0] is not None:
+            feed = feed.filter(F.col(order[0]) >= F.lit(after[0]).cast(feed.schema[order[0]].dataType))
+        feed = feed.filter(F.struct(*order) > seen)
+    return feed.orderBy(*order).limit(page_size)
+
+
+def cursor_of(page: DataFrame, order: Sequence[str]) -> list | None:
+    """The cursor behind a page; None if the page is empty, which ends the feed."""
+    last = page.agg(F.max(F.struct(*order)).alias("last")).first().last
+    return list(last) if last is not None else None
+
+
 def numbered(feed: DataFrame, order: Sequence[str]) -> DataFrame:
     """Add ``_row``, the 0-based place of every row in the order, without one big task.
 

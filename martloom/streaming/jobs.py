@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from martloom.functions.text import scanned_path
 from martloom.operators.clean import dedup_latest
 from martloom.operators.versions import Layout, upsert
-from martloom.sources.files import BLOCK, INGESTED_AT, SOURCE_FILE
+from martloom.sources.files import BLOCK, INGESTED_AT, POSITION, SOURCE_FILE
 
 
 def stream_files(
@@ -28,6 +28,23 @@ def stream_files(
     )
 
 
+def json_pages(spark: SparkSession, path: str, schema: str, max_files: int = 1000) -> DataFrame:
+    """Stream of the rows of landed pages, one JSON array per file, with file and place in the page.
+
+    A page is read as a whole, so its array may span lines. The checkpoint remembers
+    every file, empty pages too. A page that does not parse stops the stream: its rows must
+    not go missing without a word.
+    """
+    pages = stream_files(spark, path, T.StructType([T.StructField("value", T.StringType())]), "text", max_files, wholetext="true")
+    rows = F.from_json("value", f"array<struct<{_fields(schema)}>>", {"mode": "FAILFAST"})
+    placed = pages.select(F.posexplode(rows).alias("_position", "_row"), SOURCE_FILE, INGESTED_AT)
+    return placed.select("_row.*", SOURCE_FILE, INGESTED_AT, F.col("_position").alias(POSITION))
+
+
+def _fields(schema: str) -> str:
+    return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema).fields)
+
+
 def ingest(stream: DataFrame, bronze: str, checkpoint: str) -> None:
     """Append the rows of new files to the bronze table; a second run finds nothing to do."""
     run = (

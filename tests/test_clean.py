@@ -165,3 +165,12 @@ def test_silver_keeps_ids_written_as_floats(spark):
     df = spark.createDataFrame([("3.0",)], "customer_id string")
     assert df.select(retail.SILVER_TYPES["customer_id"]("customer_id").alias("c")).first().c == 3
     assert df.select(retail.TYPES["customer_id"]("customer_id").alias("c")).first().c is None
+
+
+def test_a_seeded_pick_does_not_hang_on_the_partitioning(spark):
+    df = spark.range(1000).select((F.col("id") % 50).alias("v")).unionByName(spark.createDataFrame([(None,)], "v long"))
+    picks = [[r.v for r in clean.seeded_pick(df.repartition(n), "v", 7, 5).collect()] for n in (1, 3, 8)]
+    assert picks[0] == picks[1] == picks[2] and len(set(picks[0])) == 5
+    assert [r.v for r in clean.seeded_pick(df, "v", 8, 5).collect()] != picks[0]
+    halves = [clean.seeded_pick(df.filter(h), "v", 7, 5) for h in ("v < 25", "v >= 25")]
+    assert [r.v for r in clean.seeded_pick(halves[0].unionByName(halves[1]), "v", 7, 5).collect()] == picks[0]

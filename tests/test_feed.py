@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from martloom.sources import feed
@@ -77,3 +78,26 @@ def test_mark_never_goes_back(spark):
     old = spark.createDataFrame([("a", dt.datetime(2026, 7, 5)), ("b", dt.datetime(2026, 7, 5))], "table_name string, value timestamp_ntz")
     seen = spark.createDataFrame([("a", dt.datetime(2026, 7, 1))], "table_name string, modified_at timestamp_ntz")
     assert {r.new_value for r in feed.next_hwm(seen, old).collect()} == {dt.datetime(2026, 7, 5)}
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_pages_behind_cursors_tile_the_feed(spark, size):
+    """Tied and missing times: every row is on one page, in order."""
+    times = [None, "2026-07-01 00:00:00", "2026-07-01 00:00:00", "2026-07-02 00:00:00"]
+    rows = [(f"O{i:03d}", times[i % 4]) for i in range(22)]
+    feed_rows = spark.createDataFrame(rows, "order_id string, t string").select("order_id", F.col("t").cast("timestamp_ntz").alias("modified_at"))
+    order, cursor, seen = ["modified_at", "order_id"], None, []
+    while (found := feed.page_after(feed_rows.repartition(4), order, cursor, size).collect()):
+        assert len(found) <= size
+        seen += [r.order_id for r in found]
+        cursor = [found[-1].modified_at, found[-1].order_id]
+    assert seen == [i for i, _ in sorted(rows, key=lambda r: (r[1] or "", r[0]))]
+    page = feed.page_after(feed_rows, order, None, 4)
+    assert feed.cursor_of(page, order) == [None, "O012"]
+    assert feed.cursor_of(feed_rows.limit(0), order) is None
+
+
+def test_one_page_does_not_sort_the_feed(spark, folder, plan_of):
+    rows = spark.read.parquet(f"{folder}/orders.parquet").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("modified_at"))
+    plan = plan_of(feed.page_after(rows, ["modified_at", "order_id"], ["1998-01-01 00:00:00", 5], 100))
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan and "GreaterThanOrEqual(o_orderdate" in plan

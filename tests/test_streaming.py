@@ -1,6 +1,7 @@
 import json
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,3 +72,27 @@ def test_second_ingest_adds_nothing(spark, fresh):
     jobs.ingest(jobs.stream_files(spark, f"{fresh}/in", schema, "json"), f"{fresh}/bronze", f"{fresh}/cp")
     rows = spark.read.parquet(f"{fresh}/bronze")
     assert rows.select(F.count_distinct("_source_file")).first()[0] == 2
+
+
+def test_pages_are_streamed_once_and_empty_ones_are_remembered(spark, fresh):
+    from pathlib import Path
+
+    from martloom.streaming import jobs
+
+    landing = Path(fresh.removeprefix("file:"), "landing", "run_date=2026-07-01")
+    landing.mkdir(parents=True)
+    (landing / "page_0.json").write_text('[{"a": "1", "b": null},\n {"a": "2"}]')
+    (landing / "page_1.json").write_text("[]")
+    run = lambda: jobs.ingest(jobs.json_pages(spark, f"{fresh}/landing/run_date=*", "a string, b string"), f"{fresh}/bronze", f"{fresh}/check")
+    rows = lambda: sorted((r.a, r._position) for r in spark.read.parquet(f"{fresh}/bronze").collect())
+    run()
+    assert rows() == [("1", 0), ("2", 1)]
+    (landing / "page_2.json").write_text('[{"a": "3"}]')
+    for _ in range(2):
+        run()
+        assert rows() == [("1", 0), ("2", 1), ("3", 0)]
+    seen = "".join(f.read_text() for f in Path(fresh.removeprefix("file:"), "check", "sources", "0").iterdir() if not f.name.startswith("."))
+    assert "page_1.json" in seen
+    (landing / "page_3.json").write_text('[{"a": ')
+    with pytest.raises(Exception, match="(?i)malformed|failfast|parse"):
+        run()
