@@ -285,6 +285,57 @@ def held(spark: SparkSession, root: str) -> DataFrame:
     return log.where(out).select("version", "run")
 
 
+def replace(
+    df: DataFrame, root: str, touched: DataFrame, layout: Layout = Layout(), writer: str | None = None, batch_id: int | None = None
+) -> Published:
+    """Put the rows of ``df`` in the place of all rows of the table partitions in ``touched``; others are left alone.
+
+    ``touched`` has the partition columns; a partition named there without rows in
+    ``df`` is gone afterwards, and rows of other partitions are not allowed in ``df``.
+    """
+    spark = df.sparkSession
+    entry = _entry(spark, root)
+    if entry is None:
+        return publish(df, root, "replace", layout, writer, batch_id)
+    if _already_done(entry, writer, batch_id):
+        return Published(None)
+    schema = _schema(entry)
+    gone = {r.k for r in touched.select(_part_key(entry.partition_by).alias("k")).distinct().collect()}
+    if not gone:
+        return _mark(spark, root, entry, writer, batch_id)
+    version = entry.version + 1
+    df = _null_parts(df.select(schema.fieldNames()), entry.partition_by)
+    added = _write_data(df, root, version, Layout(entry.partition_by, layout.cluster_by, layout.spread_by))
+    if stray := {p.part_key for p in added} - gone:
+        raise ValueError(f"rows outside the named partitions: {sorted(stray)[:3]}")
+    kept = [p for p in entry.parts if p.part_key not in gone]
+    total = _commit(
+        spark, root, version, [*kept, *added], "replace", schema, entry.partition_by, writer, batch_id, _marks(entry)
+    )
+    return Published(version, inserted=total - entry.row_count)
+
+
+def read_parts(spark: SparkSession, root: str, touched: DataFrame) -> DataFrame | None:
+    """The rows of the named table partitions; files of others are not opened."""
+    entry = _entry(spark, root)
+    if entry is None:
+        return None
+    wanted = {r.k for r in touched.select(_part_key(entry.partition_by).alias("k")).distinct().collect()}
+    return _read_folders(spark, root, entry, [p for p in entry.parts if p.part_key in wanted])
+
+
+def changed_parts(spark: SparkSession, root: str, old: int, new: int) -> tuple[DataFrame, DataFrame]:
+    """The rows, at version ``old`` and at ``new``, of the table partitions whose files differ between the two."""
+    one, two = _entry(spark, root, old), _entry(spark, root, new)
+    files = [{}, {}]
+    for known, entry in zip(files, (one, two), strict=True):
+        for p in entry.parts:
+            known.setdefault(p.part_key, set()).add((p.v, p.folder))
+    same = {k for k in files[0] if files[0][k] == files[1].get(k)}
+    sides = [_read_folders(spark, root, e, [p for p in e.parts if p.part_key not in same]) for e in (one, two)]
+    return sides[0], sides[1]
+
+
 def restore(spark: SparkSession, root: str, version: int) -> Published:
     """Make an old version current again, as a new version that points to its files."""
     entry = _entry(spark, root, version)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from martloom.functions import calendar, money, text
 from martloom.operators import clean, layout, quality, upsert, versions
-from martloom.plans import bi, inputs, orders, pipeline, retail
+from martloom.plans import bi, inputs, marts, orders, pipeline, retail
 from martloom.session import pinned, scratch_dir
 from martloom.sources import feed, files
 from martloom.streaming import jobs
@@ -278,6 +278,37 @@ def dim_customer_activity(spark, folder):
     return orders.dim_customer(_stg(spark, folder))
 
 
+def marts_incremental(spark, folder):
+    """Marts of the orders so far, then two increments: new orders, changed ones, and customers without any left.
+
+    Returned per mart and key: a count, an amount, the first and the last time.
+    """
+    lake, rows = scratch_dir(spark, "marts"), inputs.feed(inputs.tables(spark, folder))
+    late = F.col("modified_at") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    change = F.col("order_status") == "returned"
+    for part in (rows.filter(~late & ~change), rows.filter(~late & change), rows.filter(late)):
+        newest = orders.latest_orders(part, F.desc("order_status")).withColumn("created_month", pipeline.month_of("created_at"))
+        by_month = versions.Layout(["created_month"], ["customer_id"], ["order_id"])
+        versions.upsert(
+            newest, f"{lake}/latest", ["order_id"], by_month, rows_may_move=False,
+            newest_first=orders.newest_first(F.desc("order_status")),
+        )
+        marts.follow(spark, lake, f"{lake}/latest", "month")
+    return plain(_marts_digest(*[marts.table(spark, lake, n) for n in ("fct_orders", "dim_customer", "dim_product")]))
+
+
+def _marts_digest(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("timestamp_ntz")
+    days = fact.groupBy(F.col("order_date").cast("string").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("gross_amount").cast("decimal(28,2)").alias("amount"), F.min("created_at").alias("first_at"), F.max("modified_at").alias("last_at")
+    )
+    return (
+        days.select(F.lit("fct_orders").alias("mart"), "*")
+        .unionByName(customers.select(F.lit("dim_customer").alias("mart"), F.col("customer_id").alias("key"), F.col("lifetime_order_count").alias("n"), F.lit(None).cast("decimal(28,2)").alias("amount"), F.col("first_order_at").alias("first_at"), F.col("last_order_at").alias("last_at")))
+        .unionByName(products.select(F.lit("dim_product").alias("mart"), F.concat_ws("/", "product_id", "category").alias("key"), F.col("times_ordered").alias("n"), F.col("current_unit_price").cast("decimal(28,2)").alias("amount"), none.alias("first_at"), none.alias("last_at")))
+    )
+
+
 def dim_product_current(spark, folder):
     return plain(orders.dim_product(_stg(spark, folder)))
 
@@ -738,6 +769,7 @@ QUERIES: dict[str, Query] = {
         clean_sales, fact_sales, reject_log, reject_summary, silver_sales, dedup_audit, audit_counts, silver_dims,
         dim_date, dim_date_observed, seeded_day,
         stg_orders, fct_orders, dim_customer_activity, dim_product_current, dim_date_orders,
+        marts_incremental,
         feed_increment, feed_pages, feed_page_slice, feed_page_seek, hwm_lookup, hwm_advance, id_overlap,
         scan_csv_raw, scan_json_pages, land_json_roundtrip, staging_mapped, files_modified_after, new_files_anti,
         incremental_append, ingest_after_crash, crash_then_restore, restore_then_run, snapshot_refresh, layout_pruned_scan,

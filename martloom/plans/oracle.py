@@ -418,6 +418,12 @@ select cast(page as bigint) as page, count(*) as page_rows, max(modified_at) as
 from numbered group by page, total_rows""".replace("\n, numbered", ", numbered", 1)),
     "feed_page_slice": _with(FEED, f"""
 select {FEED_OUT} from fx_feed order by fx_feed.modified_at, fx_feed.order_id limit 200 offset 400"""),
+    "marts_incremental": _with(STG, """
+select 'fct_orders' as mart, cast(order_date as varchar) as key, count(*) as n, cast(sum(gross_amount) as double) as amount,
+       min(created_at) as first_at, max(modified_at) as last_at from fct group by order_date
+union all select 'dim_customer', customer_id, lifetime_order_count, null, first_order_at, last_order_at from dim_customer
+union all select 'dim_product', product_id || '/' || category, times_ordered, cast(current_unit_price as double), null, null
+from dim_product"""),
     "feed_page_seek": _with(FEED, f"""
 select {FEED_OUT} from fx_feed order by fx_feed.modified_at, fx_feed.order_id limit 200 offset 400"""),
     "hwm_lookup": _with(_marks("timestamp '2001-01-01 00:00:00'"), "select table_name, value from marks"),
