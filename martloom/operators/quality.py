@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.upsert import matching
+
 
 class DataTestFailed(RuntimeError):
     """At least one data test found failing rows."""
@@ -65,6 +67,35 @@ def relationships(
     return _result(orphans.agg(F.sum("_n").alias("failures")), table, "relationships", column)
 
 
+def still_unique(stored: DataFrame, added: DataFrame, table: str, column: str) -> DataFrame:
+    """Values of an increment that occur more than once, within it or in stored rows that were unique before.
+
+    Only keys of the increment are looked for; of the stored rows, no more than their
+    matches are shuffled.
+    """
+    values = added.select(column).filter(F.col(column).isNotNull())
+    own = values.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    there = matching(stored.select(column), own.select(column), [column]).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = own.unionByName(there).groupBy(column).agg(F.sum("_n").alias("_n")).filter("_n > 1")
+    return _result(repeated.agg(F.count(F.lit(1)).alias("failures")), table, "unique", column)
+
+
+def still_related(
+    stored: DataFrame, added: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str, gone: DataFrame | None = None
+) -> DataFrame:
+    """Rows without a parent after an increment: new rows that never had one, and stored rows whose parent is in ``gone``.
+
+    ``gone`` holds the parent values that the same run took away; they are not in ``parent`` any more.
+    """
+    keys = added.select(F.col(column).alias("_k")).filter("_k IS NOT NULL").groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    orphans = keys.join(parent.select(F.col(parent_column).alias("_k")), "_k", "left_anti").agg(F.sum("_n").alias("failures"))
+    if gone is not None:
+        lost = gone.select(F.col(parent_column).alias(column)).distinct()
+        left = matching(stored.select(column), lost, [column]).agg(F.count(F.lit(1)).alias("failures"))
+        orphans = orphans.unionByName(left).agg(F.sum("failures").alias("failures"))
+    return _result(orphans, table, "relationships", column)
+
+
 def suite(checks: Sequence[DataFrame]) -> DataFrame:
     """All checks as one table with a verdict."""
     together = reduce(DataFrame.unionByName, checks)

@@ -143,6 +143,20 @@ def merge_partial(
     return updated.unionByName(unmatched(target, source, keys).select(target.columns))
 
 
+def merge_stamped(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], stamp: Column, column: str = "loaded_at"
+) -> DataFrame:
+    """Upsert that stamps inserted and changed rows; a row that comes in as it is stored keeps the time it was loaded at.
+
+    ``target`` has the stamp's column, ``source`` does not. NULLs compare as values.
+    """
+    keys, data = list(keys), [c for c in target.columns if c != column]
+    same = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
+    same += [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in data if c not in keys]
+    changes = source.select(data).alias("s").join(target.alias("t"), same, "left_anti")
+    return merge_upsert(target, changes.withColumn(column, stamp.cast(target.schema[column].dataType)), keys)
+
+
 def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows with no partner in the target.
 

@@ -603,6 +603,28 @@ def merge_counts(spark, folder):
     return upsert.merge_counts(*_merge_sides(spark, folder), ["transaction_id"])
 
 
+def merge_stamped(spark, folder):
+    """Rows per day of loading after a merge that repeats some rows, changes some and adds some."""
+    target, source = _merge_sides(spark, folder)
+    again = target.filter("transaction_id % 7 = 0 and order_date < date'1999-01-01'")
+    stored = target.withColumn("loaded_at", F.lit("2026-01-01").cast("timestamp_ntz"))
+    stamp = F.lit("2026-02-01").cast("timestamp_ntz")
+    merged = upsert.merge_stamped(stored, source.unionByName(again), ["transaction_id"], stamp)
+    counts = merged.groupBy(F.to_date("loaded_at").alias("loaded_on"), "region")
+    return plain(counts.agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("total_quantity")))
+
+
+def dim_csv_upsert(spark, folder):
+    """A customer dimension from a CSV file whose columns stand in another order, then changed by a second file."""
+    out = scratch_dir(spark, "reference")
+    stored = inputs.customers(inputs.tables(spark, folder)).select("customer_id", "customer_name", "segment")
+    changed = stored.filter("customer_id % 10 = 0").withColumn("segment", F.lit("CHANGED"))
+    layout.land_csv(stored.select("segment", "customer_id", "customer_name"), f"{out}/one")
+    layout.land_csv(changed.select("customer_name", "segment", "customer_id"), f"{out}/two")
+    one, two = (files.read_reference_csv(spark, f"{out}/{n}", stored.schema) for n in ("one", "two"))
+    return upsert.merge_upsert(one, upsert.small_side(pinned(two)), ["customer_id"])
+
+
 def dim_type1_upsert(spark, folder):
     t = inputs.tables(spark, folder)
     target = inputs.customers(t).select("customer_id", "customer_name", "segment")
@@ -689,6 +711,21 @@ def dq_relationships(spark, folder):
     )
 
 
+def retail_suite(spark, folder):
+    """Keys of the star schema after an increment that repeats keys of 1999 and has customers nobody knows."""
+    t = inputs.tables(spark, folder)
+    stored, added = _merge_sides(spark, folder)
+    unknown = F.when(F.col("transaction_id") % 100 == 3, F.col("customer_id") + 1_000_000_000).otherwise(F.col("customer_id"))
+    added = pinned(added.withColumn("customer_id", unknown.cast("int")))
+    customers, products = inputs.customers(t), inputs.bi_products(t).withColumnRenamed("product_key", "product_id")
+    return quality.suite([
+        quality.still_unique(stored, added, "fact_sales", "transaction_id"),
+        quality.not_null(added, "fact_sales", retail.FACT_COLUMNS[:-1]),
+        quality.still_related(stored, added, "fact_sales", "customer_id", customers, "customer_id"),
+        quality.still_related(stored, added, "fact_sales", "product_id", products, "product_id", gone=products.filter("product_id < 0")),
+    ])
+
+
 def dq_suite(spark, folder):
     """Staging and marts written, then the 19 tests on the stored tables."""
     return pipeline.publish_marts(_stg(spark, folder), scratch_dir(spark, "marts"))
@@ -774,9 +811,9 @@ QUERIES: dict[str, Query] = {
         scan_csv_raw, scan_json_pages, land_json_roundtrip, staging_mapped, files_modified_after, new_files_anti,
         incremental_append, ingest_after_crash, crash_then_restore, restore_then_run, snapshot_refresh, layout_pruned_scan,
         latest_day_stored, layout_optimized, customer_indexed,
-        merge_upsert, merge_partial_update, merge_counts, merge_matches, dim_type1_upsert, insert_missing,
+        merge_upsert, merge_partial_update, merge_counts, merge_matches, merge_stamped, dim_type1_upsert, dim_csv_upsert, insert_missing,
         snapshot_current, snapshot_as_of, snapshot_history, snapshot_restore,
-        dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_suite,
+        dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_suite, retail_suite,
         stream_file_ingest, stream_json_pages, stream_hourly_counts, stream_upsert,
     )
 }

@@ -472,6 +472,26 @@ from fx_bronze"""),
 select region, cast(sum(cast(round(quantity * unit_price, 2) as decimal(12,2))) as double) as total, count(*) as n
 from fx_lines where order_date = date '1998-03-02' and customer_id between 100 and 900 group by region"""),
     "merge_upsert": _with(MERGE, f"select {FACT_OUT} from merged"),
+    "merge_stamped": _with(MERGE, """
+select case when exists (select 1 from source s where s.transaction_id = m.transaction_id) then date '2026-02-01'
+            else date '2026-01-01' end as loaded_on,
+       region, count(*) as n, cast(sum(quantity) as bigint) as total_quantity
+from merged m group by 1, 2"""),
+    "dim_csv_upsert": """
+select c_custkey as customer_id, c_name as customer_name,
+       case when c_custkey % 10 = 0 then 'CHANGED' else c_mktsegment end as segment
+from customer""",
+    "retail_suite": _with(MERGE, """,
+added as (select *, case when transaction_id % 100 = 3 then customer_id + 1000000000 else customer_id end as buyer from source),
+checks as (
+  select 'unique' as check_name, 'transaction_id' as column_name,
+         (select count(*) from source s where exists (select 1 from target t where t.transaction_id = s.transaction_id)) as failures
+  union all select 'relationships', 'customer_id', (select count(*) from added where buyer not in (select c_custkey from customer))
+  union all select 'relationships', 'product_id', 0
+  union all select 'not_null', unnest(['transaction_id', 'customer_id', 'product_id', 'date_key', 'order_date', 'quantity', 'unit_price',
+                                       'total_amount']), 0
+)
+select 'fact_sales' as table_name, check_name, column_name, failures, failures = 0 as passed from checks"""),
     "merge_matches": _with(MERGE, """
 select region, count(*) as n, cast(sum(total_amount) as double) as total
 from target where transaction_id in (select transaction_id from source) group by region"""),

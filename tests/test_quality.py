@@ -52,3 +52,19 @@ def test_not_null_is_one_scan_per_table(spark, folder, plan_of):
     df = spark.read.parquet(f"{folder}/orders.parquet")
     plan = plan_of(quality.not_null(df, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]))
     assert plan.count("FileScan") == 1
+
+
+def test_constraints_after_an_increment(spark):
+    fact = "id int, fk int"
+    stored = spark.createDataFrame([(1, 10), (2, 20), (3, 20), (None, None)], fact)
+    added = spark.createDataFrame([(3, 10), (4, 30), (5, 40), (5, 10), (None, None), (None, 10)], fact)
+    parents = spark.createDataFrame([(10,), (30,)], "pk int")
+    gone = spark.createDataFrame([(20,)], "pk int")
+    checks = [
+        quality.still_unique(stored, added, "fact", "id"),
+        quality.still_related(stored, added, "fact", "fk", parents, "pk"),
+        quality.still_related(stored, added, "fact", "fk", parents, "pk", gone),
+    ]
+    assert [c.first().failures for c in checks] == [2, 1, 3]
+    clean = spark.createDataFrame([(7, 30)], fact)
+    assert all(r.passed for r in quality.suite([quality.still_unique(stored, clean, "f", "id"), quality.still_related(stored, clean, "f", "fk", parents, "pk")]).collect())

@@ -131,3 +131,13 @@ def test_a_versioned_upsert_without_broadcast(spark, fresh, monkeypatch):
     found = {r.k: (r.a, r.b) for r in versions.read(spark, fresh).collect()}
     assert len(found) == 401 and found[3] == ("p3", "new") and found[8] == ("p1", "moved") and found[9_000] == ("p9", "added")
     assert versions.read(spark, fresh).count() == 401
+
+
+def test_only_new_and_changed_rows_are_stamped(spark):
+    old, new = F.lit("2026-01-01"), F.lit("2026-02-01")
+    target = table(spark, (1, "x", None), (2, "x", "x"), (3, "x", "x")).withColumn("loaded_at", old.cast("timestamp"))
+    source = table(spark, (1, "x", None), (2, "x", "y"), (4, "z", "z"))
+    merged = upsert.merge_stamped(target, source, ["k"], new)
+    assert {r.k: (r.b, str(r.loaded_at)[:10]) for r in merged.collect()} == {
+        1: (None, "2026-01-01"), 2: ("y", "2026-02-01"), 3: ("x", "2026-01-01"), 4: ("z", "2026-02-01"),
+    }
