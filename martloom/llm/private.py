@@ -10,8 +10,9 @@ valid card checksum if the original had one, and for names the gender of the
 form of address and the script of the letters.
 
 Surrogates are then checked: two entities must not get the same one, and none
-may be an entity of the corpus. Who loses such a collision gets the next value
-of its hash, until all are apart.
+may be an entity of the corpus, of whatever kind. Who loses such a collision gets the next value
+of its hash, until all are apart. Where few values are left, numbers get more digits
+from round to round, names more syllables, so that a form is never used up.
 
 Only texts with an entity are shuffled; they meet their surrogates by the hash
 of the text, since positions depend on nothing else.
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 from martloom.llm.common import stored
 
 KEY = "set a secret of your own"
-ROUNDS = 12  # collision rounds before a surrogate may grow longer than its original; a name gets a syllable more each round
+ROUNDS = 12  # collision rounds before any surrogate may grow longer than its original; a name gets a syllable more each round
+GROW = 4  # rounds after which numbers get a digit more each round
+TASK_ROWS = 2_000  # surrogates made in a task
 
 _EDGE, _NO_MORE = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _WOMEN, _MEN = r"(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа)", r"(?:Mr|Herr|Monsieur|Señor|Sr|Господин)"
@@ -121,10 +124,12 @@ def _surrogate(kind: Column, canon: Column, attempt: int, key: str) -> Column:
     ip = F.array_join(F.transform(F.split(canon, r"\."), part), ".")
     code = F.length(F.regexp_extract(canon, _CALLING, 0))
     country = F.when(code > 0, code).otherwise(F.greatest(F.length(canon) - 10, F.lit(0)))
-    phone = _characters(canon, lambda c, i: F.when(i <= country, c).otherwise(pick(digits, i)))
-    ssn = _characters(canon, lambda c, i: pick(digits, i))
+    more = max(0, attempt - GROW + 1)  # digits beyond the original's
+    tail = F.substring(digits, 150, more) if more else F.lit("")
+    phone = F.concat(_characters(canon, lambda c, i: F.when(i <= country, c).otherwise(pick(digits, i))), tail)
+    ssn = F.concat(_characters(canon, lambda c, i: pick(digits, i)), tail)
     body = F.substring(canon, F.lit(1), F.length(canon) - 1)
-    drawn = _characters(body, lambda c, i: F.when(i == 1, c).otherwise(pick(digits, i)))
+    drawn = F.concat(_characters(body, lambda c, i: F.when(i == 1, c).otherwise(pick(digits, i))), tail)
     valid = _luhn(body) == F.right(canon, F.lit(1))
     card = F.concat(drawn, F.when(valid, _luhn(drawn)).otherwise(pick(digits, F.length(canon))))
     ipv6 = _characters(canon, lambda c, i: F.when(c == ":", c).otherwise(pick(stream, i)))
@@ -156,17 +161,16 @@ def _surrogate(kind: Column, canon: Column, attempt: int, key: str) -> Column:
     out = F.when(kind == "name", F.lower(F.concat(F.left(canon, F.lit(2)), name)))
     for value, made in kinds.items():
         out = out.when(kind == value, made)
-    return F.when(kind.isin("name", "ip"), out).otherwise(F.concat(out, F.lit(f"-{attempt}"))) if attempt >= ROUNDS else out
+    return F.when(kind.isin("name", "ip", *_DIGITS_ONLY), out).otherwise(F.concat(out, F.lit(f"-{attempt}"))) if attempt >= ROUNDS else out
 
 
 def _written(kind: Column, raw: Column, made: Column) -> Column:
     """The surrogate in the format of this spelling: its grouping, case and form of address."""
+    number, own = F.regexp_replace(made, r"^\+", ""), F.length(F.regexp_replace(raw, "[^0-9]", ""))
     digits = _characters(
-        raw,
-        lambda c, i: F.when(
-            c.rlike("[0-9]"), F.substring(F.regexp_replace(made, r"^\+", ""), F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), "[^0-9]", "")), F.lit(1))
-        ).otherwise(c),
+        raw, lambda c, i: F.when(c.rlike("[0-9]"), F.substring(number, F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), "[^0-9]", "")), F.lit(1))).otherwise(c)
     )
+    digits = F.concat(digits, F.substring(number, own + 1, F.length(number)))  # a longer surrogate is not cut
     cased = F.concat(
         _characters(raw, lambda c, i: F.when(c.rlike(r"\p{Lu}"), F.upper(F.substring(made, i, F.lit(1)))).otherwise(F.substring(made, i, F.lit(1)))),
         F.substring(made, F.length(raw) + 1, F.length(made)),
@@ -174,6 +178,7 @@ def _written(kind: Column, raw: Column, made: Column) -> Column:
     title = F.regexp_extract(raw, f"^(?:{_WOMEN}|{_MEN})" + r"\.? ", 0)
     name = F.concat(title, F.initcap(F.substring(made, F.lit(3), F.length(made))))
     grouped = _characters(raw, lambda c, i: F.when(c == " ", c).otherwise(F.substring(made, F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), " ", "")), F.lit(1))))
+    grouped = F.concat(grouped, F.substring(made, F.length(F.regexp_replace(raw, " ", "")) + 1, F.length(made)))
     return F.when(kind.isin(*_DIGITS_ONLY), digits).when(kind == "name", name).when(kind == "iban", grouped).when(kind == "token", made).otherwise(cased)
 
 
@@ -190,15 +195,18 @@ def entities(docs: DataFrame) -> DataFrame:
 
 
 def surrogate_map(known: DataFrame, key: str = KEY) -> DataFrame:
-    """(kind, canon, made): one surrogate for every (kind, canon), all different and none an entity itself."""
+    """(kind, canon, made): one surrogate for every (kind, canon), all different and none an entity itself, of any kind."""
     real = stored(known.select("kind", "canon").distinct(), "private-real")
+    taken = real.select(F.col("canon").alias("made")).distinct()
     left, done, attempt = real, None, 0
     while True:
-        tried = left.withColumn("made", _surrogate(F.col("kind"), F.col("canon"), attempt, key))
-        free = tried.join(real.select("kind", F.col("canon").alias("made")), ["kind", "made"], "left_anti")
+        # few bytes, much work: dealt by rows, which adaptive execution would not do
+        dealt = left.repartition(max(1, -(-left.count() // TASK_ROWS)), "kind", "canon")
+        tried = dealt.withColumn("made", _surrogate(F.col("kind"), F.col("canon"), attempt, key))
+        free = tried.join(taken, "made", "left_anti")
         if done is not None:
-            free = free.join(done.select("kind", "made"), ["kind", "made"], "left_anti")
-        won = free.groupBy("kind", "made").agg(F.min("canon").alias("canon")).select("kind", "canon", "made")
+            free = free.join(done.select("made"), "made", "left_anti")
+        won = free.groupBy("made").agg(F.min(F.struct("kind", "canon")).alias("won")).select("won.kind", "won.canon", "made")
         won = stored(won, "private-won")
         done = won if done is None else stored(done.unionByName(won), "private-done")
         left = stored(left.join(won, ["kind", "canon"], "left_anti"), "private-left")

@@ -329,6 +329,34 @@ def test_surrogates_stay_apart(spark):
     assert len(set(found)) == len(rows) and not set(found) & {t for _, t in rows}
 
 
+def test_more_numbers_than_a_form_has(spark):
+    """6,000 of the 10,000 numbers of a form are entities: no two surrogates are alike, none is a number of the texts."""
+    rows = [(i, f"call +354 {i:04d} now") for i in range(6_000)] + [(7_000 + i, f"card 4111 1111 1111 {i:04d} or 123-45-{i:04d}") for i in range(300)]
+    found = [r["text"] for r in private.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()]
+    assert len(set(found)) == len(rows) and not set(found) & {t for _, t in rows}
+    calls = [re.fullmatch(r"call \+354 (\d{4,}) now", t) for t in found if t.startswith("call")]
+    assert len(calls) == 6_000 and all(calls)
+
+
+def test_surrogates_keep_apart_across_kinds_and_together_across_spellings(spark):
+    """Brute force over the result: one surrogate per entity in all its spellings, different ones for different entities."""
+    make = np.random.default_rng(11)
+    rows, truth = [], defaultdict(set)
+    for i in range(400):
+        n = int(make.integers(0, 60))
+        spelling = [f"555-{n:04d}", f"+44 20 7946 {n:04d}", f"+4420794{6:01d}{n:04d}", f"u{n}@ex.com", f"U{n}@EX.COM", f"4111 1111 1111 {n:04d}", f"411111111111{n:04d}"]
+        k = int(make.integers(0, len(spelling)))
+        rows.append((i, spelling[k]))
+        truth[i] = re.sub(r"[^0-9a-z@.+]", "", spelling[k].lower())
+    found = {r["doc_id"]: re.sub(r"[^0-9a-z@.+]", "", r["text"].lower()) for r in private.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    forward, back = defaultdict(set), defaultdict(set)
+    for i, entity in truth.items():
+        forward[entity].add(found[i])
+        back[found[i]].add(entity)
+    assert all(len(x) == 1 for x in forward.values()) and all(len(x) == 1 for x in back.values())
+    assert not set(back) & set(forward)
+
+
 def _dual(tokens, shares, wanted, cap):
     """The rates of least squared miss by the dual, one number per domain, with a slight pull towards one."""
     goal, y = wanted / tokens.sum(), np.zeros(shares.shape[1])
