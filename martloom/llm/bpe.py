@@ -30,7 +30,7 @@ from martloom.llm.common import slim_batches, tidied
 
 # The published pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SLICE_BYTES = 1 << 20  # text encoded in one go
+SLICE_BYTES = 3 << 20  # text encoded in one go
 CACHE_BYTES = 48 << 20  # of pieces remembered by a task, about
 PAIRS = 1 << 19  # pairs of tokens remembered by a task
 _NEVER = 1 << 60
@@ -50,7 +50,8 @@ class TrieEncoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model, letters = spec["model"], _byte_letters()
-        as_bytes = lambda token: bytes(letters[c] for c in token)
+        shown = {ord(c): b for c, b in letters.items()}
+        as_bytes = lambda token: token.translate(shown).encode("latin-1")
         self.ids = {as_bytes(t): i for t, i in model["vocab"].items()}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*self.ids.values(), *self.added.values()]) + 1
@@ -62,8 +63,8 @@ class TrieEncoder:
         self.rank: dict[tuple[int, int], int] = {}
         self.halves: dict[int, tuple[int, int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
-            left, right = (self.ids[as_bytes(x)] for x in (pair if isinstance(pair, list) else pair.split(" ")))
-            made = self.ids[self.token[left] + self.token[right]]
+            one, two = pair if isinstance(pair, list) else pair.split(" ")
+            left, right, made = model["vocab"][one], model["vocab"][two], model["vocab"][one + two]
             self.rank[left, right] = rank
             self.halves.setdefault(made, (left, right, rank))
         self.single = [self.ids[bytes([b])] for b in range(256)]
@@ -81,6 +82,9 @@ class TrieEncoder:
     def forget(self) -> None:
         """Drop what was remembered of texts; the tables of the vocabulary stay."""
         self._fits.clear()
+        self._forget_pieces()
+
+    def _forget_pieces(self) -> None:
         self._seen: dict[str, bytes] = {text: self._packed[i] for text, i in self.added.items()}
         self._seen_bytes = 0
 
@@ -199,7 +203,7 @@ class TrieEncoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self._pieces(text or "") for text in texts]
         if self._seen_bytes > CACHE_BYTES:
-            self.forget()
+            self._forget_pieces()
         seen = self._seen
         if new := set().union(*cut) - seen.keys():
             self._learn(new)
