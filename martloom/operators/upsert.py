@@ -10,9 +10,11 @@ match.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.operators.clean import dedup_latest
 from martloom.session import pinned
@@ -21,9 +23,30 @@ from martloom.session import pinned
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _is_small(df: DataFrame, limit: int) -> bool:
-    text = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
-    return (df.agg(F.sum(text + 16 * len(df.columns)).alias("bytes")).first().bytes or 0) <= limit
+# A target of fewer rows than this many times the increment's is joined as it is, without a filter of keys.
+FILTER_FROM = 8
+
+
+@dataclass(frozen=True)
+class Size:
+    """Rows of an increment, and about how many bytes they take in memory."""
+
+    rows: int
+    bytes: int
+
+
+def measured(df: DataFrame) -> Size:
+    """Texts and nested values are measured; other values count with their fixed place."""
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    long = [f.name for f in df.schema.fields if not isinstance(f.dataType, fixed)]
+    sums = [F.sum(F.octet_length(F.col(c).cast("string"))) for c in long]
+    found = df.agg(F.count(F.lit(1)), *sums).first()
+    return Size(found[0], found[0] * 24 * len(df.columns) + sum(n or 0 for n in found[1:]))
+
+
+def marked(df: DataFrame, size: Size, limit: int | None = None) -> DataFrame:
+    """Mark a measured increment for broadcast if it is small enough."""
+    return F.broadcast(df) if size.bytes <= (BROADCAST_BYTES if limit is None else limit) else df
 
 
 def small_side(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -33,7 +56,7 @@ def small_side(df: DataFrame, limit: int | None = None) -> DataFrame:
     target even for a handful of incoming rows. The mark holds for columns
     picked from the result as well.
     """
-    return F.broadcast(df) if _is_small(df, BROADCAST_BYTES if limit is None else limit) else df
+    return marked(df, measured(df), limit)
 
 
 # A Bloom filter in blocks of 4 KB: about BITS bits and PROBES marks per key, 16 MB in all at most.
@@ -66,7 +89,7 @@ def may_match(target: DataFrame, bloom: DataFrame, keys: Sequence[str]) -> DataF
 
     The filter is pinned and broadcast: its size is bounded by MAX_BLOCKS.
     """
-    bloom = pinned(bloom)
+    bloom = pinned(bloom)  # a few rows of bitmaps
     first = bloom.first()
     if first is None:
         return target.limit(0)
@@ -83,15 +106,19 @@ def may_match(target: DataFrame, bloom: DataFrame, keys: Sequence[str]) -> DataF
     return marked.join(sides, "_block").where(hit).select(passed)
 
 
-def matching(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def matching(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], size: Size | None = None, target_rows: int | None = None
+) -> DataFrame:
     """Target rows whose key occurs in the (stored) source.
 
     A small source is broadcast. Otherwise a Bloom filter of its keys goes to the
-    target's scan first, so that what is shuffled for the join is near the matches and not the target.
+    target's scan first, so that what is shuffled for the join is near the matches and not the target;
+    not so where the target is known to be no more than FILTER_FROM times the source.
     """
     keys = list(keys)
     wanted = source.select(*keys)
-    if not _is_small(source, BROADCAST_BYTES):
+    size = size or measured(source)
+    if size.bytes > BROADCAST_BYTES and (target_rows is None or target_rows > FILTER_FROM * size.rows):
         target = may_match(target, key_filter(wanted, keys), keys)
     return target.join(wanted, keys, "left_semi")
 

@@ -18,8 +18,12 @@ one entry per table partition, never rows.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import add
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,8 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.layout import MAX_FILE_ROWS, clustered
-from martloom.operators.upsert import matching, merge_latest, merge_partial, merge_upsert, require_unique, small_side
-from martloom.session import pinned
+from martloom.operators import upsert as merges
+from martloom.operators.clean import dedup_latest
+from martloom.operators.upsert import marked, matching, measured, merge_latest, merge_partial, merge_upsert, require_unique
+from martloom.session import kept
 
 ENTRY = (
     "operation string, writer string, batch_id bigint, run string, marks map<string, bigint>, row_count bigint,"
@@ -105,6 +111,14 @@ def _part_key(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns])) if columns else F.lit("")
 
 
+def _keys_of(df: DataFrame, columns: Sequence[str]) -> set[str]:
+    """The part keys that occur; made for a row per table partition and task, not for every row."""
+    if not columns:
+        return set() if df.isEmpty() else {""}
+    values = df.select([F.col(c).cast("string").alias(c) for c in columns]).distinct()
+    return {r.k for r in values.select(_part_key(columns).alias("k")).distinct().collect()}
+
+
 def _read_folders(spark: SparkSession, root: str, entry: T.Row, folders: Sequence[T.Row]) -> DataFrame:
     schema = _schema(entry)
     if not folders:
@@ -135,12 +149,15 @@ def _write_data(df: DataFrame, root: str, version: int, layout: Layout) -> list[
         writer = writer.partitionBy(*layout.partition_by)
     writer.parquet(target)
     stored = spark.read.schema(df.schema).option("basePath", target).parquet(target)
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    # rows are counted per file; texts are made for a row per file and task
+    values = [F.col(c).cast("string").alias(c) for c in layout.partition_by]
+    files = stored.groupBy(F.col("_metadata.file_path").alias("_file"), *values).agg(F.count(F.lit(1)).alias("_rows"))
+    path = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B")))
     folder = F.regexp_extract(path, rf"/v={version}/(?:(.*)/)?[^/]+$", 1)
     return (
-        stored.select(_part_key(layout.partition_by).alias("part_key"), folder.alias("folder"))
+        files.select(_part_key(layout.partition_by).alias("part_key"), folder.alias("folder"), "_rows")
         .groupBy("part_key", "folder")
-        .agg(F.count(F.lit(1)).alias("row_count"))
+        .agg(F.sum("_rows").alias("row_count"))
         .select("part_key", "folder", F.lit(version).alias("v"), "row_count")
         .collect()
     )
@@ -300,7 +317,7 @@ def replace(
     if _already_done(entry, writer, batch_id):
         return Published(None)
     schema = _schema(entry)
-    gone = {r.k for r in touched.select(_part_key(entry.partition_by).alias("k")).distinct().collect()}
+    gone = _keys_of(touched, entry.partition_by)
     if not gone:
         return _mark(spark, root, entry, writer, batch_id)
     version = entry.version + 1
@@ -320,7 +337,7 @@ def read_parts(spark: SparkSession, root: str, touched: DataFrame) -> DataFrame
     entry = _entry(spark, root)
     if entry is None:
         return None
-    wanted = {r.k for r in touched.select(_part_key(entry.partition_by).alias("k")).distinct().collect()}
+    wanted = _keys_of(touched, entry.partition_by)
     return _read_folders(spark, root, entry, [p for p in entry.parts if p.part_key in wanted])
 
 
@@ -382,46 +399,59 @@ def upsert(
     schema = _schema(entry)
     layout = Layout(entry.partition_by, layout.cluster_by, layout.spread_by)
     columns = schema.fieldNames()
-    source = small_side(pinned(_null_parts(source.select(columns), entry.partition_by)))
-    require_unique(source, keys)
-    by_key = {}
+    by_key = defaultdict(list)
     for part in entry.parts:
-        by_key.setdefault(part.part_key, []).append(part)
+        by_key[part.part_key].append(part)
 
-    def stored(part_keys) -> DataFrame:
+    def stored(part_keys: Iterable[str]) -> DataFrame:
         return _read_folders(spark, root, entry, [p for k in part_keys for p in by_key.get(k, [])])
 
-    def keys_of(df: DataFrame) -> set[str]:
-        return {r.k for r in df.select(_part_key(layout.partition_by).alias("k")).distinct().collect()}
-
-    compared = list(update_columns) if update_columns else [c for c in columns if c not in keys]
-    home = matching(stored(keys_of(source)), source, keys)
-    if newest_first:  # rows that lose against the stored one change nothing
-        source = merge_latest(home, source, keys, newest_first)
-    home = home.alias("t")
-    same = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
-    same += [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in compared]
-    changes = small_side(pinned(source.alias("s").join(home, same, "left_anti")))
-    if changes.isEmpty():
-        return _mark(spark, root, entry, writer, batch_id)
-
-    touched = keys_of(changes)
-    if rows_may_move and layout.partition_by:
-        everywhere = stored(by_key)
-        touched |= keys_of(matching(everywhere, changes, keys))
-    target = stored(touched)
-    if newest_first:
-        merged = merge_latest(target, changes, keys, newest_first)
-    elif update_columns:
-        merged = merge_partial(target, changes, keys, update_columns)
-    else:
-        merged = merge_upsert(target, changes, keys)
-
-    version = entry.version + 1
-    added = _write_data(merged, root, version, layout)
-    kept = [part for part in entry.parts if part.part_key not in touched]
+    def matched(part_keys: Iterable[str], rows: DataFrame, size: merges.Size) -> DataFrame:
+        part_keys = [k for k in part_keys if k in by_key]
+        return matching(stored(part_keys), rows, keys, size, sum(p.row_count for k in part_keys for p in by_key[k]))
+
+    with ExitStack() as until_done:
+        source = until_done.enter_context(kept(_null_parts(source.select(columns), entry.partition_by), "source"))
+        size = measured(source)
+        source = marked(source, size)
+        require_unique(source, keys)
+        at_home = _keys_of(source, layout.partition_by)
+        home = matched(at_home, source, size)
+        if newest_first:  # rows that lose against the stored one change nothing
+            source = dedup_latest(home.select(columns).unionByName(source), keys, newest_first)
+        elif size.bytes > merges.BROADCAST_BYTES and sum(p.row_count for k in at_home for p in by_key.get(k, [])) <= merges.FILTER_FROM * size.rows:
+            home = stored(at_home)  # one join with all of it instead of two
+        compared = list(update_columns) if update_columns else [c for c in columns if c not in keys]
+        changes = source.alias("s").join(home.alias("t"), _same(keys, compared), "left_anti")
+        changes = until_done.enter_context(kept(changes, "changes"))
+        size = measured(changes)
+        if not size.rows:
+            return _mark(spark, root, entry, writer, batch_id)
+        changes = marked(changes, size)
+
+        touched = _keys_of(changes, layout.partition_by)
+        if rows_may_move and layout.partition_by and (others := [k for k in by_key if k not in touched]):
+            touched |= _keys_of(matched(others, changes, size), layout.partition_by)
+        target = stored(touched)
+        if newest_first and rows_may_move:
+            merged = merge_latest(target, changes, keys, newest_first)
+        elif update_columns and not newest_first:
+            merged = merge_partial(target, changes, keys, update_columns)
+        else:  # what comes in has won against the stored rows of its partition
+            merged = merge_upsert(target, changes, keys)
+
+        version = entry.version + 1
+        added = _write_data(merged, root, version, layout)
+    unread = [part for part in entry.parts if part.part_key not in touched]
     total = _commit(
-        spark, root, version, [*kept, *added], "upsert", schema, layout.partition_by, writer, batch_id, _marks(entry)
+        spark, root, version, [*unread, *added], "upsert", schema, layout.partition_by, writer, batch_id, _marks(entry)
     )
     inserted = total - entry.row_count
-    return Published(version, inserted, changes.count() - inserted)
+    return Published(version, inserted, size.rows - inserted)
+
+
+def _same(keys: Sequence[str], compared: Sequence[str]) -> Column:
+    """Rows ``s`` and ``t`` agree. Only the keys are for a join to shuffle by; the rest is looked at where they meet."""
+    same = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
+    differing = [F.when(F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")), 0).otherwise(1) for c in compared]
+    return same & (reduce(add, differing) == 0) if differing else same

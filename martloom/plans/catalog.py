@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from martloom.functions import calendar, money, text
 from martloom.operators import clean, layout, quality, upsert, versions
 from martloom.plans import bi, inputs, marts, orders, pipeline, retail
-from martloom.session import pinned, scratch_dir
+from martloom.session import pinned, scratch_dir, stored
 from martloom.sources import feed, files
 from martloom.streaming import jobs
 
@@ -573,7 +573,7 @@ def _merge_sides(spark, folder) -> tuple[DataFrame, DataFrame]:
 
     The cleaned fact is stored once: both sides, and the merge itself, read it.
     """
-    fact = pinned(_clean(spark, folder))
+    fact = stored(_clean(spark, folder), "cleaned")
     more = fact.filter(F.col("order_date") >= day("1999-01-01")).withColumn("quantity", F.col("quantity") + 1)
     source = more.withColumn("total_amount", money.line_total("quantity", "unit_price"))
     return fact.filter(F.col("order_date") < day("2000-01-01")), source

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,9 +62,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def pinned(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the checkpoint folder and go on from the stored rows.
 
-    Used where several branches of a job must see the very same rows (row
-    positions, the source of an upsert): a recomputed branch after a lost
-    executor could otherwise differ.
+    Used where several branches of a job must see the very same rows in the same
+    places (row positions): a recomputed branch after a lost executor could otherwise differ.
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """The same for large tables read several times, each time for some columns: kept as parquet, in no order."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def kept(df: DataFrame, label: str = "kept") -> Iterator[DataFrame]:
+    """``stored`` for as long as the block runs; its files go with it."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

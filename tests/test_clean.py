@@ -174,3 +174,12 @@ def test_a_seeded_pick_does_not_hang_on_the_partitioning(spark):
     assert [r.v for r in clean.seeded_pick(df, "v", 8, 5).collect()] != picks[0]
     halves = [clean.seeded_pick(df.filter(h), "v", 7, 5) for h in ("v < 25", "v >= 25")]
     assert [r.v for r in clean.seeded_pick(halves[0].unionByName(halves[1]), "v", 7, 5).collect()] == picks[0]
+
+
+def test_days_are_read_as_their_format_says(spark):
+    from martloom.functions import text
+
+    odd = ["1998-03-02", "1998-02-30", "0000-01-01", "1998-3-2", " 1998-03-02", "1998-03-02 ", "1998", "+12345-01-01", "-001-01-01", "", "bad-date", None, "1998-03-02T00:00", "9999-12-31", "1998-03-02\n", "١٩٩٨-٠٣-٠٢"]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string")
+    read = rows.select("t", text.to_day("t").alias("a"), F.expr("try_to_date(t, 'yyyy-MM-dd')").alias("b"))
+    assert [r.t for r in read.filter("not (a <=> b)").collect()] == []

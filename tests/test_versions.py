@@ -183,3 +183,26 @@ def test_empty_text_in_a_partition_column(spark, fresh):
     for v in ("1", "2"):
         versions.upsert(table(spark, (1, "", v)), fresh, ["k"], LAYOUT)
     assert [(r.k, r.amount) for r in versions.read(spark, fresh).collect()] == [(1, 2)]
+
+
+def test_a_large_increment_of_a_table_its_size_is_joined_as_it_is(spark, fresh, monkeypatch):
+    """No filter of keys for a target that is not much larger, and partitions that are rewritten anyway are not searched."""
+    from martloom.operators import upsert
+
+    monkeypatch.setattr(upsert, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(upsert, "key_filter", None)
+    searched, read_folders = [], versions._read_folders
+    monkeypatch.setattr(versions, "_read_folders", lambda s, r, e, parts: searched.append(sorted({p.part_key for p in parts})) or read_folders(s, r, e, parts))
+    versions.publish(table(spark, *[(i, "abc"[i % 3], "1") for i in range(30)]), fresh, layout=LAYOUT)
+    done = versions.upsert(table(spark, *[(i, "abc"[i % 3], "2") for i in range(33) if i % 3 < 2], (2, "a", "9")), fresh, ["k"], LAYOUT)
+    assert (done.inserted, done.updated) == (2, 21)
+    assert ['{"part":"c"}'] in searched and ['{"part":"a"}', '{"part":"b"}', '{"part":"c"}'] in searched
+    found = {r.k: (r.part, r.amount) for r in versions.read(spark, fresh).collect()}
+    assert len(found) == 32 and found[2] == ("a", 9) and found[5] == ("c", 1) and found[31] == ("b", 2)
+
+
+def test_an_upsert_leaves_nothing_but_versions(spark, fresh):
+    versions.publish(table(spark, (1, "a", "1")), fresh, layout=LAYOUT)
+    before = set(Path(fresh).parent.glob("*"))
+    versions.upsert(table(spark, (1, "a", "2"), (2, "b", "2")), fresh, ["k"], LAYOUT)
+    assert set(Path(fresh).parent.glob("*")) == before
