@@ -14,7 +14,7 @@ from martloom.functions.text import col
 # Upper bound of one data file, in rows: about 1 GB of a 10-column fact.
 MAX_FILE_ROWS = 20_000_000
 # What one writing task takes on: bytes as stored, and files it may have to open.
-TASK_BYTES, TASK_FILES = 256 << 20, 300
+TASK_BYTES, TASK_FILES = 32 << 20, 300
 
 
 def write_width(scanned: DataFrame, partitions: int = 1) -> int:

@@ -134,3 +134,9 @@ def test_width_of_a_write(spark, fresh):
     table = spark.read.parquet(fresh)
     assert layout.write_width(table) == 1
     assert layout.write_width(table, 3_000) == 10
+
+
+def test_a_writing_task_takes_a_bounded_share(spark):
+    """80 MB of input are more than one task sorts in memory at a time."""
+    assert layout.write_width(spark.range(10_000_000)) == 3
+    assert layout.write_width(spark.range(10), 3_000) == 10
