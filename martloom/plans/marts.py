@@ -16,6 +16,7 @@ got, so a run that died is repeated and steps that were done are skipped.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from martloom.operators import versions
 from martloom.operators.upsert import matching
 from martloom.plans import orders
-from martloom.session import pinned
+from martloom.session import kept
 
 BUCKETS = 64
 PART, BUCKET = "_part", "_bucket"
@@ -107,18 +108,26 @@ def refresh(
     A part without rows on one side is new, or gone.
     """
     mark = {"writer": writer, "batch_id": batch_id}
-    before, after = pinned(with_part(before, grain)), pinned(with_part(after, grain))
-    parts = pinned(before.select(PART).unionByName(after.select(PART)).distinct())
-    versions.replace(after, f"{lake}/stg_orders", parts, BY_PART, **mark)
-    versions.replace(_fact(after, grain), f"{lake}/fct_orders", parts, BY_PART, **mark)
-    changed = pinned(before.exceptAll(after).unionByName(after.exceptAll(before)))
-    for dim in DIMENSIONS:
-        root, keys = f"{lake}/{dim.name}", pinned(changed.select(*dim.keys).distinct())
-        versions.replace(_aggregated(after, [PART, *dim.keys], dim.partial), f"{root}_parts", parts, _by_key(dim, PART), **mark)
-        merged = _finished(_of_keys(versions.read(spark, f"{root}_parts"), keys, dim.keys), dim)
-        buckets = keys.select(_bucket(dim.keys)).distinct()
-        kept = versions.read_parts(spark, root, buckets).alias("t").join(keys.alias("k"), _same(dim.keys), "left_anti")
-        versions.replace(kept.unionByName(merged), root, buckets, _by_key(dim, BUCKET), **mark)
+    with ExitStack() as until_done:
+        hold = lambda df, label: until_done.enter_context(kept(df, label))
+        before, after = hold(with_part(before, grain), "before"), hold(with_part(after, grain), "after")
+        parts = hold(before.select(PART).unionByName(after.select(PART)).distinct(), "parts")
+        versions.replace(after, f"{lake}/stg_orders", parts, BY_PART, **mark)
+        versions.replace(_fact(after, grain), f"{lake}/fct_orders", parts, BY_PART, **mark)
+        changed = hold(_unequal(before, after), "changed")
+        for dim in DIMENSIONS:
+            root, keys = f"{lake}/{dim.name}", hold(changed.select(*dim.keys).distinct(), "keys")
+            versions.replace(_aggregated(after, [PART, *dim.keys], dim.partial), f"{root}_parts", parts, _by_key(dim, PART), **mark)
+            merged = _finished(_of_keys(versions.read(spark, f"{root}_parts"), keys, dim.keys), dim)
+            buckets = keys.select(_bucket(dim.keys)).distinct()
+            rest = versions.read_parts(spark, root, buckets).alias("t").join(keys.alias("k"), _same(dim.keys), "left_anti")
+            versions.replace(rest.unionByName(merged), root, buckets, _by_key(dim, BUCKET), **mark)
+
+
+def _unequal(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The rows that one side has more often than the other, once each: one shuffle of both sides together."""
+    sides = before.withColumn("_side", F.lit(1)).unionByName(after.withColumn("_side", F.lit(-1)))
+    return sides.groupBy(*before.columns).agg(F.sum("_side").alias("_more")).filter("_more <> 0").drop("_more")
 
 
 def _same(keys: Sequence[str]) -> Column:

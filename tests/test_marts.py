@@ -92,3 +92,11 @@ def test_a_run_that_died_is_made_up_for(spark, fresh, monkeypatch, step):
     _merge(spark, fresh, ("O9", "E", "P9", "1.00", 9, 9))
     marts.follow(spark, fresh, f"{fresh}/latest")
     _same_as_whole(spark, fresh)
+
+
+def test_changed_rows_are_found_in_one_shuffle(spark, plan_of):
+    row = lambda *ids: spark.createDataFrame([(i, None) for i in ids], "k int, v string")
+    found = marts._unequal(row(1, 1, 2, 3), row(1, 2, 2, 4, 4))
+    assert plan_of(found).count("hashpartitioning") == 1
+    assert sorted(r.k for r in found.collect()) == [1, 2, 3, 4]
+    assert marts._unequal(row(1, 2, 2), row(2, 1, 2)).isEmpty()
