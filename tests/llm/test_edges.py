@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import sys
 import zlib
 from collections import defaultdict
 
@@ -145,6 +146,45 @@ def test_trie_encoder_on_odd_texts():
         assert mine.decode(ids) == tokenizer.decode(expected, skip_special_tokens=False)
 
 
+def _random_words(n: int, letters: str, longest: int) -> list[str]:
+    make = np.random.default_rng(3)
+    return ["".join(make.choice(list(letters), size)) for size in make.integers(1, longest, n).tolist()]
+
+
+def test_trie_encoder_by_level_and_by_node(monkeypatch):
+    """Random words against the library, whichever way they are walked and however often lookups push each other out."""
+    from tokenizers import Tokenizer
+
+    words = _random_words(400, "aeinrst", 12) + _random_words(200, "thé日😀Ω", 40) + _random_words(200, "ab1.,!' \n", 50)
+    texts = [" ".join(words), *words]
+    expected = [e.ids for e in Tokenizer.from_file(BYTE).encode_batch(texts, add_special_tokens=False)]
+    slots = bpe._Slots.__init__
+    for deep, at_once, bits in ((32, 1 << 15, 20), (0, 1, 20), (7, 10, 3)):
+        monkeypatch.setattr(bpe, "DEEP", deep)
+        monkeypatch.setattr(bpe, "WORDS", at_once)
+        monkeypatch.setattr(bpe._Slots, "__init__", lambda self, _, make, bits=bits: slots(self, bits, make))
+        mine = bpe.TrieEncoder(BYTE)
+        assert [np.frombuffer(x, "<u4").tolist() for x in mine.encode_batch(texts)] == expected
+
+
+def test_new_words_take_few_calls():
+    """The work for the letters of new words is not done a letter at a time."""
+    words = [*dict.fromkeys(_random_words(30_000, "aeinrst", 16))]
+    mine, calls = bpe.TrieEncoder(BYTE), 0
+    mine.encode_batch([" ".join(words[:10_000])])
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        mine.encode_batch([" ".join(words)])
+    finally:
+        sys.setprofile(None)
+    assert calls < sum(map(len, words))
+
+
 def test_word_encoder_on_odd_texts():
     import pyarrow as pa
     from tokenizers import Tokenizer
