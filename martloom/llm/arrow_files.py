@@ -37,14 +37,23 @@ from martloom.session import scratch_dir
 LENGTH = 2048  # ids in a sequence
 PER_BATCH = 64  # sequences in a record batch
 END = 1
-CACHE = 300_000  # distinct words remembered by a task, at most
+CACHE = 300_000  # distinct pieces of words remembered by a worker, about
 _MARKS = ".,!?;:|$%&*#"  # never letters, numbers or part of a contraction
+_LATIN = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$"  # letters that do not change with their neighbours when lower-cased
 MANIFEST = "first_id bigint, shard string, n_docs bigint, n_tokens bigint"
 
+def _gathered(pool: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` with these begins and sizes, one after the other."""
+    ends = np.cumsum(sizes)
+    return pool[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class WordEncoder:
     """Ids of texts for a tokenizer that drops white space and encodes each word by itself.
 
-    Distinct words go through the tokenizers library once and are remembered.
+    Marks behind letters are a pre-token of their own, and case does not matter: a word is
+    letters and marks, or one piece as it is. Distinct pieces go through the tokenizers library
+    once and are remembered.
     """
 
     def __init__(self, path: str):
@@ -58,62 +67,73 @@ class WordEncoder:
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.size)]
         self.last = np.array([bool(suffix) and t.endswith(suffix) for t in tokens])  # ids that end a word
-        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = {"": 0}  # number of a piece; by number the place of its ids in the pool, and how many
+        self.begins, self.sizes, self.pool = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and the number of ids of each."""
         words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = words.values.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
         if len(self.known) > CACHE:
-            self.known.clear()
-        if new := [w for w in distinct if w not in self.known]:
-            self._learn(new)
-        ids = [self.known[w] for w in distinct]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+            self._forget()
+        pieces = self._pieces(coded.dictionary)
+        pool = _gathered(self.pool, self.begins[pieces].ravel(), self.sizes[pieces].ravel())
+        sizes = self.sizes[pieces].sum(axis=1)
         begins = np.cumsum(sizes) - sizes
-        pool = np.frombuffer(b"".join(ids), dtype="<u4")
         codes = coded.indices.to_numpy()
-        each = sizes[codes]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        flat = pool[np.repeat(begins[codes] - ends[:-1], each) + np.arange(ends[-1])]
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+        flat = _gathered(pool, begins[codes], sizes[codes])
         return flat, np.diff(ends[words.offsets.to_numpy() - words.offsets[0].as_py()])
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode new words; marks behind letters are a pre-token of their own, so forms of a word are encoded once."""
-        parts = {}
-        for word in words:
-            base = word.rstrip(_MARKS)
-            tail = word[len(base) :]
-            if base.isalpha():
-                base = base.lower() if base.isascii() else base
-                parts[word] = (base, tail) if tail else (base,)
-            else:
-                parts[word] = (word,)
-        ids = self._pieces(set().union(*parts.values()))
-        for word, pieces in parts.items():
-            self.known[word] = ids[pieces[0]] if len(pieces) == 1 else ids[pieces[0]] + ids[pieces[1]]
-
-    def _pieces(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of distinct pieces; those of letters only are one pre-token each and go in together."""
+    def _pieces(self, words: pa.Array) -> np.ndarray:
+        """Numbers of the two pieces of each word: its letters and the marks behind them, or the word and nothing."""
+        base = pc.utf8_rtrim(words, characters=_MARKS)
+        latin = pc.match_substring_regex(base, _LATIN)
+        letters = latin.to_numpy(zero_copy_only=False).copy()
+        other = np.flatnonzero(~letters)
+        letters[other] = [x.isalpha() for x in base.take(pa.array(other)).to_pylist()]
+        first = pc.if_else(pa.array(letters), pc.if_else(latin, pc.utf8_lower(base), base), words).dictionary_encode()
+        n_marks = np.where(letters, pc.subtract(pc.binary_length(words), pc.binary_length(base)).to_numpy(), 0)
+        marked = np.flatnonzero(n_marks)
+        marks = [w[-n:] for w, n in zip(words.take(pa.array(marked)).to_pylist(), n_marks[marked].tolist(), strict=True)]
+        distinct = first.dictionary.to_pylist()
+        if new := set(distinct).union(marks) - self.known.keys():
+            self._learn(new)
+        number = lambda x: np.fromiter(map(self.known.__getitem__, x), dtype=np.int64, count=len(x))
+        out = np.zeros((len(words), 2), dtype=np.int64)
+        out[:, 0] = number(distinct)[first.indices.to_numpy()]
+        out[marked, 1] = number(marks)
+        return out
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode new pieces; those of letters only are one pre-token each and go in together."""
         letters, rest = [], []
         for piece in pieces:
             (letters if piece.isalpha() else rest).append(piece)
-        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        packed = lambda e: np.array(e.ids, dtype="<u4").tobytes()
-        out = {p: packed(e) for p, e in zip(rest, found, strict=True)}
         groups = [letters[at : at + 256] for at in range(0, len(letters), 256)]
         found = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        names, ids, sizes = [], [], []
         for group, e in zip(groups, found, strict=True):
-            ids = np.array(e.ids, dtype="<u4")
-            ends = [0, *(4 * np.flatnonzero(self.last[ids]) + 4).tolist()]
-            if len(ends) == len(group) + 1:
-                raw = ids.tobytes()
-                out.update((p, raw[a:b]) for p, a, b in zip(group, ends[:-1], ends[1:], strict=True))
+            part = np.array(e.ids, dtype=np.uint32)
+            ends = np.flatnonzero(self.last[part]) + 1
+            if len(ends) == len(group):
+                names += group
+                ids.append(part)
+                sizes.append(np.diff(ends, prepend=0))
             else:  # no mark at word ends, or a letter that the tokenizer's tables do not count as one
-                for piece in group:
-                    out[piece] = packed(self.tokenizer.encode(piece, add_special_tokens=False))
-        return out
+                rest += group
+        names += rest
+        for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False):
+            ids.append(np.array(e.ids, dtype=np.uint32))
+            sizes.append(np.array([len(e.ids)]))
+        sizes = np.concatenate(sizes)
+        self.known.update(zip(names, range(len(self.sizes), len(self.sizes) + len(names)), strict=True))
+        self.begins = np.concatenate([self.begins, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.pool = np.concatenate([self.pool, *ids])
 
 
 _loaded: dict[str, WordEncoder] = {}

@@ -198,6 +198,40 @@ def test_word_encoder_on_odd_texts():
         at += n
 
 
+def test_word_encoder_on_random_words():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    words = _random_words(500, "aeinrstAEß", 9) + _random_words(400, "éÉǅΣσİñÑªµ日", 6) + _random_words(400, "aB1.,!é' <|>", 8)
+    texts = [" ".join(words), *words, "|||", ".a.", "É.,É", "<|endoftext|>."]
+    tokenizer, mine = Tokenizer.from_file(WORD), arrow_files.WordEncoder(WORD)
+    for _ in range(2):  # learnt, then remembered
+        flat, sizes = mine(pa.array(texts))
+        expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+        assert flat.tolist() == sum(expected, []) and sizes.tolist() == [len(x) for x in expected]
+    assert [len(x) for x in mine(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_forms_of_a_word_are_encoded_once():
+    import pyarrow as pa
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += texts
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    mine = arrow_files.WordEncoder(WORD)
+    mine.tokenizer = Counting(mine.tokenizer)
+    mine(pa.array(["alpha été gamma ."]))
+    assert sorted(" ".join(mine.tokenizer.texts).split()) == [".", "alpha", "gamma", "été"]
+    mine.tokenizer.texts.clear()
+    mine(pa.array(["Alpha. alpha. Été ÉTÉ. GAMMA.,"]))
+    assert mine.tokenizer.texts == [".,"]
+
+
 def test_arrow_files_give_sequences_and_masks(docs):
     manifest = arrow_files.write(docs, WORD, length=16).collect()
     tokens = 0
