@@ -37,6 +37,7 @@ from martloom.llm.common import LOWER, batches, mixed, stored, tidied
 
 SHARDS = 256
 MIN_CHARS, MIN_DOCS = 40, 5
+BLOCK_KEYS = 1 << 16  # keys of a task that are dealt to their shards at once
 SLOTS, KICKS = 4, 500  # entries of a bucket; moves before a filter grows
 _BLANK = b" \t\n\x0b\x0c\r"
 
@@ -124,16 +125,22 @@ def _long_keys(text: str | None, min_chars: int) -> list[bytes | None]:
     return out
 
 
+def _posted(batch: pa.RecordBatch, min_chars: int) -> tuple[list[bytes], list[int | None]]:
+    """Distinct long keys of every row of a batch, and the row's id beside each."""
+    keys, ids = [], []
+    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        own = set(_long_keys(text, min_chars)) - {None}
+        keys += own
+        ids += [doc_id] * len(own)
+    return keys, ids
+
+
 def postings(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(key, doc_id): the distinct long keys of every row; the key is a 128-bit hash."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            keys, ids = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                own = set(_long_keys(text, min_chars)) - {None}
-                keys += own
-                ids += [doc_id] * len(own)
+            keys, ids = _posted(batch, min_chars)
             yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], names=["key", "doc_id"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidied(run), "key binary, doc_id bigint")
@@ -175,10 +182,10 @@ class LineIndex:
         log = change if first else self.log.unionByName(change)
         touched = log if first else log.join(stored(change.select("key").distinct(), "lines-keys"), "key", "left_semi")
         held = touched if first else touched.groupBy("key", "doc_id").agg(F.sum("sign").alias("sign")).where("sign > 0")
-        shard = (F.xxhash64("key") % self.n_shards + self.n_shards) % self.n_shards
+        shard = F.conv(F.hex(F.substring("key", 15, 2)), 16, 10).cast("int") % self.n_shards  # bytes that the filter does not use
         counts = held.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep_id"))
         now = counts.where((F.col("n_docs") >= self.min_docs) & F.col("keep_id").isNotNull())
-        now = now.select("key", shard.cast("int").alias("shard"), "n_docs", "keep_id")
+        now = now.select("key", shard.alias("shard"), "n_docs", "keep_id")
         if not first:
             now = now.unionByName(self.refs.join(stored(change.select("key").distinct(), "lines-keys"), "key", "left_anti"))
         refs = stored(now, "lines-refs")
@@ -189,12 +196,14 @@ class LineIndex:
         return LineIndex(log, refs, stored(rebuilt, "lines-shards"), self.min_chars, self.min_docs, self.n_shards)
 
     def droppable(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, key) of the lines that documents lose: common ones that a larger id keeps."""
-        min_chars, n_shards = self.min_chars, self.n_shards
-        held = postings(docs, min_chars)
-        held = held.select("key", "doc_id", ((F.xxhash64("key") % n_shards + n_shards) % n_shards).cast("int").alias("shard"))
-        blocks = held.mapInArrow(tidied(_blocks), "shard int, keys binary, ids binary, nulls binary")
-        asked = blocks.join(self.shards.withColumnRenamed("keys", "common"), "shard")
+        """(doc_id, key) of the lines that documents lose: common ones that a larger id keeps.
+
+        The shards are joined by a shuffle however small they are: with a broadcast the maps before and
+        after the join would run in one task, each in a worker of its own, and executors keep those workers.
+        """
+        columns = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+        blocks = columns.mapInArrow(tidied(_blocks(self.min_chars, self.n_shards)), "shard int, keys binary, ids binary, nulls binary")
+        asked = blocks.join(self.shards.withColumnRenamed("keys", "common").hint("merge"), "shard")
         return asked.mapInArrow(tidied(_ask), "doc_id bigint, key binary")
 
     def apply(self, docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
@@ -245,26 +254,37 @@ def _update(changes: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([row])
 
 
-def _blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys and ids by shard, a row per batch and shard."""
-    for batch in batches(rows, 65_536):
-        if not batch.num_rows:
-            continue
-        shard = batch.column("shard").to_numpy()
-        keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), dtype="V16")
-        nulls = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-        ids = batch.column("doc_id").fill_null(0).to_numpy()
+def _blocks(min_chars: int, n_shards: int):
+    """Long keys of texts and their ids by shard, a row per shard and about BLOCK_KEYS keys."""
+
+    def block(keys: list[bytes], ids: list[int | None]) -> pa.RecordBatch:
+        found, owners = np.frombuffer(b"".join(keys), dtype="V16"), pa.array(ids, pa.int64())
+        shard = found.view(np.uint8).reshape(-1, 16)[:, 14:].copy().view(">u2").ravel() % n_shards
+        nulls = owners.is_null().to_numpy(zero_copy_only=False)
         order = np.argsort(shard, kind="stable")
-        cuts = np.flatnonzero(np.diff(shard[order])) + 1
-        parts = np.split(order, cuts)
-        yield pa.record_batch(
+        parts = np.split(order, np.flatnonzero(np.diff(shard[order])) + 1)
+        return pa.record_batch(
             [
                 pa.array([int(shard[p[0]]) for p in parts], pa.int32()),
-                *(pa.array([x[p].tobytes() for p in parts], pa.binary()) for x in (keys, ids, nulls)),
+                *(pa.array([x[p].tobytes() for p in parts], pa.binary()) for x in (found, owners.fill_null(0).to_numpy(), nulls)),
             ],
             names=["shard", "keys", "ids", "nulls"],
         )
 
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids = [], []
+        for batch in batches(rows):
+            new = _posted(batch, min_chars)
+            keys += new[0]
+            ids += new[1]
+            if len(keys) >= BLOCK_KEYS:
+                yield block(keys, ids)
+                keys, ids = [], []
+        if keys:
+            yield block(keys, ids)
+
+    return run
+
 
 def _ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The (id, key) that a shard's filter lets through and its exact table confirms, with a larger id to keep the line."""

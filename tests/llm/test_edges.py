@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -262,6 +263,40 @@ def test_lines_and_back(spark, docs):
     assert fewer.refs.isEmpty()
 
 
+def _maps_of_a_task(node):
+    """(maps in Python that share a task with the top of the plan, the most that share any task)."""
+    if node.getClass().getSimpleName().endswith("QueryStageExec"):
+        return _maps_of_a_task(node.plan())
+    below = [_maps_of_a_task(node.children().apply(i)) for i in range(node.children().length())]
+    own = sum(n for n, _ in below) + (node.nodeName() == "MapInArrow")
+    return 0 if "Exchange" in node.nodeName() else own, max([own, *(most for _, most in below)])
+
+
+def test_looking_up_lines_takes_one_worker_for_a_task(spark, docs):
+    """Executors keep the Python workers of a task with several maps, each with its memory, through all later stages."""
+    found = corpus_pipeline.line_deduplication(spark, docs, "")
+    assert found.count() == len(_rows())
+    found.collect()
+    assert _maps_of_a_task(found._jdf.queryExecution().executedPlan().executedPlan())[1] == 1
+
+
+def test_keys_are_dealt_to_shards_in_blocks(monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK_KEYS", 2)
+    texts = [f"{LINE} {i}\n{LINE} {i + 1}\n{LINE} {i}\nshort" for i in range(5)] + [None, "short"]
+    ids = [7, None, 8, 8, 9, 10, 11]
+    rows = pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    made = [b.to_pylist() for b in line_dedup._blocks(40, 3)(iter([rows, rows.slice(0, 0), rows.slice(5)]))]
+    found = []
+    for row in (r for block in made for r in block):
+        assert len(row["keys"]) == 16 * len(row["nulls"]) == 2 * len(row["ids"])
+        for i, null in enumerate(row["nulls"]):
+            key = row["keys"][16 * i : 16 * i + 16]
+            assert int.from_bytes(key[14:], "big") % 3 == row["shard"]
+            found.append((key, None if null else int.from_bytes(row["ids"][8 * i : 8 * i + 8], "little")))
+    keys = [{k for k in line_dedup._long_keys(t, 40) if k} for t in texts]
+    assert sorted(map(str, found)) == sorted(str((k, i)) for own, i in zip(keys, ids, strict=True) for k in own)
+
+
 def test_cuckoo_filter_takes_items_back():
     items = np.unique(np.random.default_rng(1).integers(0, 2**63, 3000).astype(np.uint64))
     made = line_dedup.CuckooFilter.of(items)
